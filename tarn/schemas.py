@@ -1,0 +1,36 @@
+"""Fixed schemas: empty or odd objects give NULL columns, never missing ones."""
+
+from __future__ import annotations
+
+from pyspark.sql import types as T
+
+
+def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields])
+
+
+_s, _i, _l, _d, _b = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.BooleanType()
+_vec = T.ArrayType(T.FloatType())
+
+OBJECTS = _struct(
+    ("bucket", _s), ("key", _s), ("size", _l), ("content_type", _s), ("modified", T.TimestampType())
+)
+TEXT_PROFILE = _struct(
+    ("key", _s), ("size_bytes", _l), ("encoding", _s), ("empty", _b), ("too_short", _b),
+    ("low_printable_ratio", _b), ("lines", _i), ("avg_tokens_per_paragraph", _d),
+    ("max_tokens_paragraph", _i), ("min_tokens_paragraph", _i),
+    ("paragraph_token_list", T.ArrayType(_i)), ("origin_language", _s),
+)
+MEDIA_PROFILE = _struct(
+    ("file_name", _s), ("file_size", _d), ("width", _i), ("height", _i),
+    ("aspect_ratio", _d), ("mode", _s), ("channels", _i),
+)
+CHUNK = _struct(("key", _s), ("paragraph_no", _i), ("chunk_no", _i), ("text", _s), ("n_tokens", _i))
+FRAME = _struct(("video_id", _s), ("frame_no", _l), ("embedding", _vec))
+VECTOR = _struct(
+    ("collection", _s), ("id", _s), ("document", _s), ("modality", _s), ("embedding", _vec)
+)
+HIT = _struct(
+    ("query_id", _s), ("rank", _i), ("id", _s), ("document", _s), ("modality", _s),
+    ("distance", _d), ("similarity", _d),
+)

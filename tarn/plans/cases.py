@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from tarn.plans import cases_landing, cases_text
+from tarn.plans import cases_landing, cases_media, cases_search, cases_text
 
-ALL = {**cases_landing.CASES, **cases_text.CASES}
+ALL = {**cases_landing.CASES, **cases_text.CASES, **cases_media.CASES, **cases_search.CASES}

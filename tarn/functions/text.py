@@ -167,9 +167,24 @@ def paragraphs(text: Column, separator: str = "\n\n") -> Column:
 
 
 def python_round(value: Column, digits: int = 2) -> Column:
-    """Round half to even."""
+    """Round to nearest by the exact binary value, half to even.
+
+    ``value * scale`` may land on a half only because the product was rounded. The product's error,
+    exact by splitting the value in two halves of its digits, then tells the side.
+    """
     scale = float(10**digits)
-    return F.rint(value * scale) / scale
+    product = value * scale
+    split = value * 134217729.0
+    high = split - (split - value)
+    error = (high * scale - product) + (value - high) * scale
+    floor = F.floor(product)
+    half = product - floor == 0.5
+    nearest = (
+        F.when(half & (error > 0), floor + 1.0)
+        .when(half & (error < 0), floor.cast("double"))
+        .otherwise(F.rint(product))
+    )
+    return nearest / scale
 
 
 def line_count(text: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tarn.functions import keys as K
 from tarn.functions import vectors as V
 from tarn.functions.encoders import as_matrix
+from tarn.operators.hold import hold
 from tarn.session import checkpoint_root
 
 # Defaults of the searches.
@@ -200,33 +201,39 @@ def knn_approx(
     collection: DataFrame,
     k: int = NEIGHBOURS,
     tables: int = 8,
-    bucket_length: float = 0.5,
+    projections: int = 3,
+    bucket_length: float = 0.4,
     seed: int = 7,
     broadcast_rows: int = 10_000,
     salts: int = 16,
 ) -> DataFrame:
     """Approximate k nearest rows by Euclidean distance: hash buckets, then exact distances.
 
-    A pair that meets in several tables is kept in the first one only, so no distinct over pairs is
-    needed. Queries are broadcast up to a counted number; beyond it both sides are joined with the
-    collection salted, so that a crowded bucket is spread. Queries whose buckets hold fewer than k rows
-    are answered exactly.
+    A table's bucket is one cell of several random projections; rows that share a cell with the query
+    in any table are candidates. A pair that meets in several tables is kept in the first one only, so
+    no distinct over pairs is needed. Queries are broadcast up to a counted number; beyond it both
+    sides are shuffled with the collection salted, so that a crowded bucket is spread. Queries whose
+    buckets hold fewer than k rows are answered exactly.
     """
     n_queries = queries.limit(broadcast_rows + 1).count()
     rows = collection.select(
-        "id", "document", "modality", "embedding",
+        "id", "document", "modality", V.as_double(F.col("embedding")).alias("vector"),
         array_to_vector(V.as_double(F.col("embedding"))).alias("features"),
     )
     asked = queries.select(
         "query_id",
-        F.col("embedding").alias("query_embedding"),
+        V.as_double(F.col("embedding")).alias("query_vector"),
         array_to_vector(V.as_double(F.col("embedding"))).alias("features"),
     )
     model = BucketedRandomProjectionLSH(
-        inputCol="features", outputCol="hashes", numHashTables=tables, bucketLength=bucket_length, seed=seed
+        inputCol="features",
+        outputCol="hashes",
+        numHashTables=tables * projections,
+        bucketLength=bucket_length,
+        seed=seed,
     ).fit(rows)
-    hashed = _bucketed(model.transform(rows), "row", tables)
-    hashed_queries = _bucketed(model.transform(asked), "query", tables)
+    hashed = _bucketed(model.transform(rows), "row", tables, projections)
+    hashed_queries = _bucketed(model.transform(asked), "query", tables, projections)
     keys = ["table_no", "bucket"]
     if n_queries <= broadcast_rows:
         pairs = hashed.join(F.broadcast(hashed_queries), keys)
@@ -239,26 +246,31 @@ def knn_approx(
     shared = F.zip_with("row_buckets", "query_buckets", lambda a, b: a == b)
     candidates = pairs.filter(F.array_position(shared, F.lit(True)) == F.col("table_no") + 1).select(
         "query_id", "id", "document", "modality",
-        V.distance(F.col("query_embedding"), F.col("embedding")).alias("distance"),
+        V.distance(F.col("query_vector"), F.col("vector")).alias("distance"),
+        (F.spark_partition_id() % MERGE_GROUPS).alias("scan_group"),
     )
-    group = F.spark_partition_id() % MERGE_GROUPS
     checkpoint_root(collection.sparkSession)
     # At most k rows per query; written down, because the fallback below asks for them again.
-    found = _ranked(candidates.withColumn("scan_group", group), k).checkpoint()
+    found = _ranked(candidates, k).checkpoint()
     answered = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= k)
     short = queries.join(answered, "query_id", "left_anti")
     exact = knn(short, collection, k)
     return found.join(answered.select("query_id"), "query_id", "left_semi").unionByName(exact)
 
 
-def _bucketed(df: DataFrame, side: str, tables: int) -> DataFrame:
+def _bucketed(df: DataFrame, side: str, tables: int, projections: int) -> DataFrame:
     """One row per hash table, with the buckets of all tables beside it."""
+    cells = F.transform("hashes", lambda cell: F.get(vector_to_array(cell), F.lit(0)).cast("long"))
+    flat = hold(df.select(*(c for c in df.columns if c not in ("features", "hashes")), "hashes"), "hashes", cells)
     buckets = F.array(
-        *(F.get(vector_to_array(F.get("hashes", F.lit(t))), F.lit(0)).cast("long") for t in range(tables))
+        *(
+            F.xxhash64(*(F.get("hashes", F.lit(t * projections + p)) for p in range(projections)))
+            for t in range(tables)
+        )
     )
     return (
-        df.withColumn(f"{side}_buckets", buckets)
-        .drop("features", "hashes")
+        flat.withColumn(f"{side}_buckets", buckets)
+        .drop("hashes")
         .select("*", F.posexplode(f"{side}_buckets").alias("table_no", "bucket"))
     )
 

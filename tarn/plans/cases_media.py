@@ -327,7 +327,7 @@ CASES = {
               CASE WHEN label <> 9 THEN CASE label % 5 WHEN 0 THEN 'L' WHEN 1 THEN 'RGB' WHEN 2 THEN 'P' WHEN 3 THEN 'LA' ELSE 'RGBA' END END AS mode
               FROM embeddings)
         SELECT file_name, file_size, width, height,
-               CASE WHEN height > 0 THEN round_even(width / nullif(height, 0)::DOUBLE * 100, 0) / 100 END AS aspect_ratio,
+               CASE WHEN height > 0 THEN {V.round_sql('width / nullif(height, 0)::DOUBLE')} END AS aspect_ratio,
                mode, {_CHANNELS} AS channels FROM h""",
     ),
     "media_profile": (

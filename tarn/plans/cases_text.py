@@ -183,7 +183,7 @@ def _code_sql(column: str) -> str:
     return f"CASE lower({column}) {arms} ELSE {column} END"
 
 
-_STATS = """CASE WHEN len(p) = 0 THEN 0.0::DOUBLE ELSE round_even(list_sum(p)::DOUBLE / len(p) * 100, 0) / 100 END AS avg_tokens_per_paragraph,
+_STATS = f"""CASE WHEN len(p) = 0 THEN 0.0::DOUBLE ELSE {V.round_sql('list_sum(p)::DOUBLE / len(p)')} END AS avg_tokens_per_paragraph,
        coalesce(list_max(p), 0)::INT AS max_tokens_paragraph, coalesce(list_min(p), 0)::INT AS min_tokens_paragraph,
        array_to_string(p, ',') AS paragraph_token_list"""
 

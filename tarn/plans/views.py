@@ -153,7 +153,19 @@ def media_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-MEDIA_SQL = """
+def round_sql(value: str) -> str:
+    """Round to two digits by the exact binary value, half to even."""
+    product = f"(({value}) * 100)"
+    high = f"(({value}) * 134217729.0::DOUBLE - (({value}) * 134217729.0::DOUBLE - ({value})))"
+    error = f"(({high} * 100 - {product}) + (({value}) - {high}) * 100)"
+    half = f"{product} - floor({product}) = 0.5"
+    return (
+        f"(CASE WHEN {half} AND {error} > 0 THEN floor({product}) + 1 WHEN {half} AND {error} < 0 THEN floor({product}) "
+        f"ELSE round_even({product}, 0) END / 100)"
+    )
+
+
+MEDIA_SQL = f"""
 media_meta AS (
   SELECT 'images/' || l_orderkey || '_' || l_linenumber || '.png' AS key,
          floor(l_extendedprice)::BIGINT AS size, (l_quantity * 16)::INT AS width,
@@ -163,7 +175,7 @@ media_meta AS (
   FROM lineitem),
 media AS (
   SELECT key AS file_name, size / 1024.0::DOUBLE AS file_size, width, height,
-         CASE WHEN height > 0 THEN round_even(width / nullif(height, 0)::DOUBLE * 100, 0) / 100 END AS aspect_ratio,
+         CASE WHEN height > 0 THEN {round_sql('width / nullif(height, 0)::DOUBLE')} END AS aspect_ratio,
          mode, n_channels FROM media_meta)
 """
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tarn.functions import keys as K
 from tarn.functions.text import strip
 from tarn.operators.ordinal import ordinal
+from tarn.operators.skew import join_unique
 
 # Fixed value: rows kept of each source table.
 HEAD_ROWS = 500
@@ -167,7 +168,7 @@ def persistent_keys(
     stem = K.category_stem(F.col("category"))
     suffix = F.when(F.col("same_name") > 1, F.concat(F.lit("_"), F.col("place"))).otherwise("")
     return (
-        placed.join(sizes, ["category", "ext"])
+        join_unique(placed, sizes, ["category", "ext"], ["key"])
         .withColumn(
             "dest_key",
             F.concat(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tarn.functions.text import python_round
 from tarn.operators.ordinal import ordinal, running_total
+from tarn.operators.skew import join_unique
 
 # Pixel mode -> channels.
 CHANNELS_OF_MODE = {"RGB": 3, "RGBA": 4, "L": 1, "CMYK": 4}
@@ -261,13 +262,13 @@ def frame_sample(
     """At most ``max_frames`` evenly spaced frames of each video by 0-based ``frame_no``.
 
     ``total`` names a column with the video's frame count (NULL: unknown, take the first frames).
-    Without it the frames are counted; the counts are joined back, and a video with very many frames
-    is split by the adaptive skew join. Unreadable frames, with a NULL payload or embedding, drop out
+    Without it the frames are counted and the counts are joined back, salted, so that a video with very
+    many frames is spread. Unreadable frames, with a NULL payload or embedding, drop out
     after the choice.
     """
     if total is None:
         counts = frames.groupBy("video_id").agg(F.count("*").alias("_total"))
-        counted = frames.join(counts, "video_id")
+        counted = join_unique(frames, counts, ["video_id"], ["frame_no"])
     else:
         counted = frames.withColumn("_total", F.col(total))
     step = F.when(

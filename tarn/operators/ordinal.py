@@ -4,19 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarn.operators.skew import join_unique, null_safe
 from tarn.session import checkpoint_root
 
 
-def _null_safe(left: str, right: str, names: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}"))
-    return condition
-
-
 def running_total(df: DataFrame, by: Sequence[str], weight: str, name: str) -> DataFrame:
     """Add ``name``: the sum of ``weight`` over all earlier rows in the order of ``by``.
 
@@ -80,18 +74,13 @@ def ordinal(
     )
     if within:
         starts = numbered.groupBy(*within).agg(F.min(name).alias("_first"))
-        numbered = (
-            numbered.alias("n")
-            .join(starts.alias("s"), _null_safe("n", "s", within))
-            .select(
-                *(F.col(f"n.{key}") for key in keys),
-                (F.col(f"n.{name}") - F.col("s._first") + 1).alias(name),
-            )
+        numbered = join_unique(numbered, starts, within, [name]).select(
+            *keys, (F.col(name) - F.col("_first") + 1).alias(name)
         )
     if set(df.columns) == set(keys):
         return numbered.select(*df.columns, name)
     return (
         df.alias("d")
-        .join(numbered.alias("k"), _null_safe("d", "k", keys))
+        .join(numbered.alias("k"), null_safe("d", "k", keys))
         .select("d.*", f"k.{name}")
     )

@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -27,10 +28,10 @@ QUERY_BYTES = 32 << 20
 # Query sets up to this size are fetched in one go.
 _FEW_QUERIES = 1024
 # Kept hits per task: queries x k.
-TASK_HITS = 4_000_000
+TASK_HITS = 1_000_000
 # Collection rows measured at once inside a task.
 _ROWS_AT_ONCE = 4096
-# Tasks that scan a collection; each hands on k hits per query.
+# Tasks that scan a collection, or four per core if that is more; each hands on k hits per query.
 SCAN_TASKS = 4096
 # Groups between the tasks' hits and the final ranking of a query.
 MERGE_GROUPS = 64
@@ -65,7 +66,7 @@ def _scan(query_ids: list[str], queries: np.ndarray, k: int, metric: str, exclud
     """Per task: the k nearest rows of each query, kept while the rows stream by."""
     from pyspark import TaskContext
 
-    names = np.array(query_ids, dtype=object)
+    names = list(query_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -78,28 +79,29 @@ def _scan(query_ids: list[str], queries: np.ndarray, k: int, metric: str, exclud
                 rows = as_matrix(part.column("embedding"))
                 if rows.shape[1] != queries.shape[1]:
                     raise ValueError("query and collection vectors differ in width")
-                info = np.column_stack(
-                    [
-                        np.array(part.column(name).to_pylist(), dtype=object)
-                        for name in ("id", "document", "modality")
-                    ]
-                )
+                labels = [part.column(name) for name in ("id", "document", "modality")]
                 rough = _pairwise(queries, rows, metric)
-                for q in range(len(names)):
+                # Above the rounding error of the matrix product.
+                slack = 1e-12 * (1.0 + (queries**2).sum(axis=1).max() + (rows**2).sum(axis=1).max())
+                for q, name in enumerate(names):
                     line = rough[q]
                     if exclude_self:
-                        line = np.where(info[:, 0] == names[q], np.inf, line)
+                        own = pc.equal(labels[0], name).to_numpy(zero_copy_only=False)
+                        line = np.where(own, np.inf, line)
                     # Rows within rounding of the k-th are kept for the exact comparison.
                     bound = limit[q]
-                    if len(line) > k:
-                        bound = min(bound, np.partition(line, k)[k])
-                    near = np.flatnonzero(~(line > bound + 1e-9))
+                    if bound == np.inf and len(line) > k:
+                        bound = np.partition(line, k)[k]
+                    near = np.flatnonzero(~(line > bound + slack))
                     if exclude_self:
-                        near = near[info[near, 0] != names[q]]
+                        near = near[~own[near]]
                     if len(near) == 0:
                         continue
                     distances = _exact(queries[q], rows[near], metric)
-                    found = info[near]
+                    taken = pa.array(near)
+                    found = np.column_stack(
+                        [label.take(taken).to_numpy(zero_copy_only=False) for label in labels]
+                    )
                     if best[q] is not None:
                         distances = np.concatenate([best[q][0], distances])
                         found = np.concatenate([best[q][1], found])
@@ -149,7 +151,8 @@ def knn(
     """
     if metric not in V.METRICS:
         raise ValueError(f"unknown metric {metric!r}; choose from {V.METRICS}")
-    scan = collection.select("id", "document", "modality", "embedding").coalesce(SCAN_TASKS)
+    tasks = max(SCAN_TASKS, 4 * collection.sparkSession.sparkContext.defaultParallelism)
+    scan = collection.select("id", "document", "modality", "embedding").coalesce(tasks)
     hits = None
     for block in _query_blocks(queries, k, query_bytes):
         names = [row["query_id"] for row in block]

@@ -75,11 +75,6 @@ def is_ascii(text: Column) -> Column:
     return F.octet_length(text) == F.length(text)
 
 
-def replace_where(text: Column, pattern: str, replacement: str) -> Column:
-    """``regexp_replace`` for patterns most texts do not hold: testing is cheaper than replacing."""
-    return F.when(text.rlike(pattern), F.regexp_replace(text, pattern, replacement)).otherwise(text)
-
-
 def collapse(text: Column, space: str) -> Column:
     """Runs of the characters in ``space``, a class that holds the blank, become one blank.
 
@@ -198,13 +193,21 @@ def line_count(text: Column) -> Column:
 def basic_clean(text: Column) -> Column:
     """NFKC, no byte-order marks or control characters, tidy lines, at most one blank line."""
 
-    def tidy(clean: Column) -> Column:
-        lines = F.transform(F.split(collapse(clean, INLINE_SPACE), "\n"), strip)
-        return squeeze_blank_lines(F.array_join(lines, "\n"))
+    def tidy(spaced: Column) -> Column:
+        lines = F.array_join(F.transform(F.split(spaced, "\n"), strip), "\n")
+        return let(
+            lines,
+            lambda joined: F.when(
+                F.contains(joined, F.lit("\n\n\n")), squeeze_blank_lines(joined)
+            ).otherwise(joined),
+        )
 
     unmarked = F.replace(nfkc(text), F.lit("\ufeff"), F.lit(""))
     plain = unix_lines(F.regexp_replace(unmarked, CONTROL, ""))
-    return let(F.when(text.rlike(ODD), plain).otherwise(text), tidy)
+    # Texts without odd characters only lack single blanks and trimmed lines.
+    easy = F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, " {2,}", " ")).otherwise(text)
+    odd = text.rlike(ODD)
+    return tidy(F.when(odd, F.regexp_replace(plain, f"[{INLINE_SPACE}]+", " ")).otherwise(easy))
 
 
 def split_sentences(text: Column) -> Column:
@@ -220,13 +223,17 @@ def final_scrub(text: Column, keep_unicode: bool = False) -> Column:
     """NFKC without combining marks, control characters and emoji; then ASCII only.
 
     Control characters, runs of emoji and runs of other non-ASCII characters each become a blank. One
-    pass finds all three; its lookahead passes over ordinary characters with a single test.
+    pass finds all three; texts without odd characters hold letters at most.
     """
-    marked = F.when(is_ascii(text), text).otherwise(F.regexp_replace(nfkc(text), COMBINING, ""))
+    marked = F.regexp_replace(nfkc(text), COMBINING, "")
+    odd = text.rlike(ODD)
     if keep_unicode:
-        return replace_where(replace_where(marked, CONTROL, " "), f"[{EMOJI}]+", " ")
-    odd = rf"(?=[^\t\n\r -~])(?:{CONTROL}|[{EMOJI}]+|[^\x00-\x7F{EMOJI}]+)"
-    return F.regexp_replace(marked, odd, " ")
+        full = F.regexp_replace(F.regexp_replace(marked, CONTROL, " "), f"[{EMOJI}]+", " ")
+        return F.when(odd, full).otherwise(text)
+    full = F.regexp_replace(marked, rf"{CONTROL}|[{EMOJI}]+|[^\x00-\x7F{EMOJI}]+", " ")
+    return (
+        F.when(odd, full).when(is_ascii(text), text).otherwise(F.regexp_replace(text, NON_ASCII, " "))
+    )
 
 
 def words(text: Column) -> Column:

@@ -72,11 +72,11 @@ def collection_merge(dest: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def collection_peek(collection: DataFrame, x: int | None = None, dims: int = 5) -> DataFrame:
-    """Id, document and first dimensions in id order; all rows unless ``x`` is given."""
+    """Id, document and first dimensions of the first ``x`` rows by id, or of all rows."""
     shown = collection.select(
         "id", "document", F.slice("embedding", 1, dims).alias("first_dims")
-    ).orderBy("id")
-    return shown.limit(x) if x else shown
+    )
+    return shown.orderBy("id").limit(x) if x else shown
 
 
 class CollectionStore:
@@ -87,7 +87,7 @@ class CollectionStore:
         self.tables = Snapshots(spark, root)
 
     def names(self) -> list[str]:
-        return self.tables.names()
+        return [name for name in self.tables.names() if not name.startswith("_")]
 
     def get_or_create(self, name: str) -> DataFrame:
         if not self.tables.exists(name):

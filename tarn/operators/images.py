@@ -1,8 +1,8 @@
-"""Images to one size and pixel format. Pixels need numpy; Spark hands out the images in small batches."""
+"""Images and frames to one size and pixel format. Pixels need numpy; Spark hands out small batches."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -13,10 +13,10 @@ TARGET_SIZE = (512, 512)
 # Standardised images handed back per Arrow batch.
 _BATCH = 16
 
-_SCHEMA = "origin string, height int, width int, nChannels int, data binary"
+_PIXELS = "height int, width int, nChannels int, data binary"
 
 
-def _resample_weights(size: int, target: int) -> np.ndarray:
+def lanczos_weights(size: int, target: int) -> np.ndarray:
     """Lanczos-3 weights, one row per output pixel; the kernel widens when shrinking."""
     scale = size / target
     stretch = max(scale, 1.0)
@@ -26,20 +26,72 @@ def _resample_weights(size: int, target: int) -> np.ndarray:
     return weights / weights.sum(axis=1, keepdims=True)
 
 
+def area_weights(size: int, target: int) -> np.ndarray:
+    """Share of each input pixel in the area of each output pixel."""
+    edges = np.arange(target + 1) * (size / target)
+    low = np.maximum(edges[:-1, None], np.arange(size)[None, :])
+    high = np.minimum(edges[1:, None], np.arange(1, size + 1)[None, :])
+    weights = np.clip(high - low, 0.0, None)
+    return weights / weights.sum(axis=1, keepdims=True)
+
+
 def _to_bytes(values: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(values + 0.5), 0, 255)
 
 
+def resize(pixels: np.ndarray, across: np.ndarray, down: np.ndarray) -> np.ndarray:
+    """Resample ``(height, width, 3)`` by one weight matrix per direction, rounding in between."""
+    height, width, channels = pixels.shape
+    columns = pixels.transpose(1, 0, 2).reshape(width, height * channels)
+    wide = _to_bytes(across @ columns).reshape(-1, height, channels)
+    lines = wide.transpose(1, 0, 2).reshape(height, -1)
+    return _to_bytes(down @ lines).reshape(len(down), len(across), channels).astype(np.uint8)
+
+
 def standardize_pixels(
-    data: bytes, height: int, width: int, channels: int, target: tuple[int, int] = TARGET_SIZE
+    data: bytes,
+    height: int,
+    width: int,
+    channels: int,
+    target: tuple[int, int] = TARGET_SIZE,
+    weights: Callable[[int, int], np.ndarray] = lanczos_weights,
 ) -> np.ndarray:
     """RGB bytes ``(height, width, 3)`` at the target size from BGR, BGRA or grey bytes."""
     pixels = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
     rgb = np.repeat(pixels, 3, axis=2) if channels == 1 else pixels[:, :, 2::-1]
-    out_width, out_height = target
-    across = np.einsum("hwc,ow->hoc", rgb.astype(np.float64), _resample_weights(width, out_width), optimize=True)
-    down = np.einsum("hoc,ph->poc", _to_bytes(across), _resample_weights(height, out_height), optimize=True)
-    return _to_bytes(down).astype(np.uint8)
+    return resize(rgb.astype(np.float64), weights(width, target[0]), weights(height, target[1]))
+
+
+def _standardize(
+    images: DataFrame,
+    keys: Sequence[str],
+    target: tuple[int, int],
+    weights: Callable[[int, int], np.ndarray],
+) -> DataFrame:
+    def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[tuple[int, int], np.ndarray] = {}
+
+        def remembered(size: int, wanted: int) -> np.ndarray:
+            if (size, wanted) not in known:
+                if len(known) >= 64:
+                    known.clear()
+                known[size, wanted] = weights(size, wanted)
+            return known[size, wanted]
+
+        for batch in batches:
+            for start in range(0, len(batch), _BATCH):
+                part = batch.iloc[start : start + _BATCH]
+                resized = [
+                    standardize_pixels(d, h, w, c, target, remembered).tobytes()
+                    for d, h, w, c in zip(
+                        part["data"], part["height"], part["width"], part["nChannels"], strict=True
+                    )
+                ]
+                yield part[list(keys)].assign(height=target[1], width=target[0], nChannels=3, data=resized)
+
+    kept = images.select(*keys)
+    schema = ", ".join([f"`{name}` {kind}" for name, kind in kept.dtypes] + [_PIXELS])
+    return images.select(*keys, "height", "width", "nChannels", "data").mapInPandas(convert, schema)
 
 
 def image_standardize(images: DataFrame, target: tuple[int, int] = TARGET_SIZE) -> DataFrame:
@@ -47,24 +99,9 @@ def image_standardize(images: DataFrame, target: tuple[int, int] = TARGET_SIZE)
 
     The result keeps the layout with three channels in RGB order; divide by 255 for a tensor in [0,1].
     """
+    return _standardize(images, ["origin"], target, lanczos_weights)
 
-    def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), _BATCH):
-                part = batch.iloc[start : start + _BATCH]
-                yield pd.DataFrame(
-                    {
-                        "origin": part["origin"],
-                        "height": target[1],
-                        "width": target[0],
-                        "nChannels": 3,
-                        "data": [
-                            standardize_pixels(d, h, w, c, target).tobytes()
-                            for d, h, w, c in zip(
-                                part["data"], part["height"], part["width"], part["nChannels"], strict=True
-                            )
-                        ],
-                    }
-                )
-
-    return images.select("origin", "height", "width", "nChannels", "data").mapInPandas(convert, _SCHEMA)
+
+def frame_standardize(frames: DataFrame, target: tuple[int, int] = TARGET_SIZE) -> DataFrame:
+    """Standardise decoded frames ``(video_id, frame_no, height, width, nChannels, data)`` by area."""
+    return _standardize(frames, ["video_id", "frame_no"], target, area_weights)

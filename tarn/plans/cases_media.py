@@ -10,6 +10,7 @@ from tarn.functions import encoders as E
 from tarn.operators import collections as CO
 from tarn.operators import embeddings as EM
 from tarn.operators import media as M
+from tarn.operators.images import frame_standardize as standardize_frames
 from tarn.operators.images import image_standardize as standardize
 from tarn.plans import views as V
 from tarn.plans.cases_text import _pieces
@@ -98,21 +99,33 @@ def purge_zero_size(spark: SparkSession, sf: str) -> DataFrame:
     return M.purge_zero_size(V.objects(spark, sf))
 
 
-def image_standardize(spark: SparkSession, sf: str) -> DataFrame:
-    """Vectors drawn as 8 x 8 grey images, at the target size; pixels are summed up per image."""
+def _grey_images(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors drawn as 8 x 8 grey images."""
     pixel = F.transform("embedding", lambda x: F.lpad(F.hex(F.floor((x + 1) * 127).cast("int")), 2, "0"))
-    images = V.table(spark, sf, "embeddings").select(
+    return V.table(spark, sf, "embeddings").select(
         F.col("vec_id").cast("string").alias("origin"),
+        F.concat(F.lit("video_"), "label").alias("video_id"),
+        F.col("vec_id").alias("frame_no"),
         F.lit(8).alias("height"),
         F.lit(8).alias("width"),
         F.lit(1).alias("nChannels"),
         F.unhex(F.array_join(pixel, "")).alias("data"),
     )
-    return standardize(images).select(
+
+
+def image_standardize(spark: SparkSession, sf: str) -> DataFrame:
+    """All images at the target size; pixels are shown as a digest."""
+    return standardize(_grey_images(spark, sf)).select(
         "origin", "height", "width", "nChannels", F.octet_length("data").alias("n_bytes"), F.md5("data").alias("md5")
     )
 
 
+def frame_standardize(spark: SparkSession, sf: str) -> DataFrame:
+    """All frames shrunk to 2 x 2: the mean of each quarter, so that SQL can follow."""
+    shrunk = standardize_frames(_grey_images(spark, sf), (2, 2))
+    return shrunk.select("video_id", "frame_no", F.hex("data").alias("pixels"))
+
+
 def frame_decimate(spark: SparkSession, sf: str) -> DataFrame:
     frames = V.ticks(spark, sf).withColumn("frame_no", F.col("frame_no") + 1)
     return M.frame_decimate(frames).select("video_id", "event_id", "frame_no", "frame_skip")
@@ -357,6 +370,14 @@ CASES = {
         f"WITH {V.OBJECTS_SQL} SELECT key, size, size = 0 AS purge FROM objects WHERE NOT (size = 0 AND key LIKE '%/')",
     ),
     "image_standardize": (image_standardize, None),
+    "frame_standardize": (
+        frame_standardize,
+        """WITH px AS (SELECT vec_id, label, unnest(range(64)) AS i, floor((unnest(embedding)::DOUBLE + 1) * 127) AS v FROM embeddings),
+        across AS (SELECT vec_id, label, i // 8 AS y, i % 8 // 4 AS x, floor(avg(v) + 0.5) AS v FROM px GROUP BY ALL),
+        down AS (SELECT vec_id, label, y // 4 AS y, x, floor(avg(v) + 0.5)::INT AS v FROM across GROUP BY ALL)
+        SELECT 'video_' || label AS video_id, vec_id AS frame_no,
+               string_agg(repeat(upper(lpad(to_hex(v), 2, '0')), 3), '' ORDER BY y, x) AS pixels FROM down GROUP BY vec_id, label""",
+    ),
     "frame_decimate": (
         frame_decimate,
         f"""WITH {V.TICKS_SQL}, s AS (SELECT video_id, event_id, frame_no + 1 AS frame_no,

@@ -20,8 +20,9 @@ from tarn.operators import embeddings as EM
 from tarn.operators import homogenize as H
 from tarn.operators import landing as L
 from tarn.operators import media as M
-from tarn.operators.images import image_standardize, standardize_pixels
+from tarn.operators.images import area_weights, image_standardize, standardize_pixels
 from tarn.operators.ordinal import ordinal, running_total
+from tarn.plans import exploitation as X
 from tarn.plans import zones as Z
 from tarn.sources import tables as S
 from tarn.sources.snapshots import Snapshots
@@ -197,6 +198,12 @@ def test_standardize_keeps_flat_colours():
     assert (same[:, :, 0] == ramp).all()
 
 
+def test_area_weights():
+    assert (area_weights(4, 2) == [[0.5, 0.5, 0, 0], [0, 0, 0.5, 0.5]]).all()
+    assert area_weights(3, 2).tolist() == [pytest.approx([2 / 3, 1 / 3, 0]), pytest.approx([0, 1 / 3, 2 / 3])]
+    assert (area_weights(2, 4) @ [1.0, 5.0]).tolist() == [1.0, 1.0, 5.0, 5.0]
+
+
 def test_quantiles_and_describe(spark):
     values = [1.0] * 40 + [2.0, 3.5, 7.0, 9.0, None]
     df = spark.createDataFrame([(v, "a" if i % 3 else "b") for i, v in enumerate(values)], "x double, s string")
@@ -308,6 +315,49 @@ def test_text_zone_end_to_end(spark, tmp_path):
     assert zone.read("text_profiles").count() == 2
 
 
+def test_exploitation_end_to_end(spark, tmp_path):
+    store = CO.CollectionStore(spark, str(tmp_path / "store"))
+    texts = spark.createDataFrame(
+        [("texts/b.txt", "red robot war"), ("texts/a.txt", "quiet farm life\n\ncows"), ("texts/c.txt", "")], "key string, text string"
+    )
+    X.store_texts(store, "texts", texts, E.hash_encoder(16))
+    images = spark.createDataFrame([("images/a.png", "red robot"), ("images/b.png", "farm")], "key string, payload string")
+    X.store_images(store, "images", images, E.hash_encoder(16))
+    videos = spark.createDataFrame([("videos/a.mp4",), ("videos/b.mp4",)], "key string")
+    frames = spark.createDataFrame([("videos/b.mp4", i, "red war robot") for i in range(40)], "video_id string, frame_no long, payload string")
+    X.store_videos(store, "videos", videos, frames, E.hash_encoder(24))
+    ids = {r["document"]: r["id"] for n in ("texts", "images", "videos") for r in store.get_or_create(n).collect()}
+    assert ids["trusted-zone/texts/b.txt"] == "text_2" and ids["trusted-zone/videos/b.mp4"] == "vid_2"
+    assert "trusted-zone/videos/a.mp4" not in ids
+    both = X.merge_collections(store, "texts_images", ["texts", "images"])
+    assert both.count() == 5
+    asked = EM.encode_batch(spark.createDataFrame([("q", "red robot war")], "query_id string, text string"), E.hash_encoder(16), "text")
+    hits = X.search(store, "texts_images", asked, texts, k=1).orderBy("rank").collect()
+    assert [(r["id"], r["text"]) for r in hits] == [("text_2", "red robot war"), ("img_1", None)]
+    wide = X.merge_collections(store, "all", ["texts", "images", "videos"], 24)
+    assert {len(r["embedding"]) for r in wide.collect()} == {24} and wide.count() == 6
+    weights, bias = X.stored_projection(store, 16, 24)
+    query = EM.project_linear(asked, weights, bias)
+    best = X.search(store, "all", query, k=1, videos=True).orderBy("rank").first()
+    assert best["id"] == "text_2" and best["distance"] == pytest.approx(0, abs=1e-9)
+    assert store.names() == ["all", "images", "texts", "texts_images", "videos"]
+
+
+def test_hot_groups(spark):
+    """One key with most of the rows: positions, samples and means stay right."""
+    n = 3000
+    rows = [("hot" if i % 3 else f"v{i % 7}", i, [float(i), 1.0]) for i in range(n)]
+    df = spark.createDataFrame(rows, "video_id string, k long, embedding array<double>").repartition(8)
+    frames = M.number_frames(df, "k")
+    hot = [r["frame_no"] for r in frames.filter("video_id = 'hot'").orderBy("k").collect()]
+    assert hot == list(range(len(hot)))
+    step = len(hot) // 16
+    sample = sorted(r["frame_no"] for r in M.frame_sample(frames).filter("video_id = 'hot'").collect())
+    assert sample == [step * i for i in range(16)]
+    means = {r["video_id"]: r["embedding"][0] for r in EM.mean_pool(df, ["video_id"]).collect()}
+    assert means["hot"] == pytest.approx(np.mean([i for i in range(n) if i % 3]))
+
+
 def test_stream_promotes_each_file_once(spark, tmp_path):
     source, dest, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
     schema = "bucket string, key string, size long, content_type string"

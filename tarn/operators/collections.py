@@ -54,21 +54,28 @@ def collection_add(collection: DataFrame, rows: DataFrame, mode: str = "add") ->
 
 
 def collection_width(collection: DataFrame) -> int | None:
-    """The common vector width; None for an empty collection."""
-    row = collection.agg(
-        F.min(F.size("embedding")).alias("low"), F.max(F.size("embedding")).alias("high")
-    ).first()
-    if row["low"] != row["high"]:
-        raise ValueError(f"a collection holds one width, found {row['low']} to {row['high']}")
-    return row["low"]
+    """The vector width, from one row: a collection holds a single width. None if it is empty."""
+    row = collection.select(F.size("embedding").alias("width")).first()
+    return None if row is None else row["width"]
+
+
+def enforce_width(rows: DataFrame, width: int | None) -> DataFrame:
+    """Fail on a vector of another width, while the rows pass by and without a scan of its own."""
+    if width is None:
+        return rows
+    message = F.concat(
+        F.lit(f"the collection holds vectors of width {width}, found width "), F.size("embedding")
+    )
+    checked = F.when(F.size("embedding") == width, F.col("embedding")).otherwise(
+        F.raise_error(message).cast("array<float>")
+    )
+    return rows.withColumn("embedding", checked)
 
 
 def collection_merge(dest: DataFrame, source: DataFrame) -> DataFrame:
     """All rows of both collections; ids of ``dest`` win. Both must have one vector width."""
-    widths = {w for w in (collection_width(dest), collection_width(source)) if w is not None}
-    if len(widths) > 1:
-        raise ValueError(f"cannot merge collections of widths {sorted(widths)}")
-    return collection_add(dest, source)
+    width = collection_width(dest)
+    return collection_add(dest, enforce_width(source, width))
 
 
 def collection_peek(collection: DataFrame, x: int | None = None, dims: int = 5) -> DataFrame:
@@ -97,19 +104,19 @@ class CollectionStore:
     def add(self, name: str, rows: DataFrame) -> DataFrame:
         """Append the rows whose id is new. Adding the same rows twice changes nothing."""
         stored = self.get_or_create(name)
-        new = one_per_id(as_collection(rows))
-        width = collection_width(stored)
-        if width is not None and collection_width(new) not in (None, width):
-            raise ValueError(f"collection {name!r} holds vectors of width {width}")
-        fresh = new.join(stored.select("id"), "id", "left_anti")
+        new = self._checked(stored, rows)
+        fresh = one_per_id(new).join(stored.select("id"), "id", "left_anti")
         return self.tables.append(name, fresh)
 
     def upsert(self, name: str, rows: DataFrame) -> DataFrame:
         """Replace rows by id in a new snapshot."""
         stored = self.get_or_create(name)
-        merged = collection_add(stored, as_collection(rows), "upsert")
-        collection_width(merged)
-        return self.tables.write(name, merged)
+        return self.tables.write(name, collection_add(stored, self._checked(stored, rows), "upsert"))
+
+    @staticmethod
+    def _checked(stored: DataFrame, rows: DataFrame) -> DataFrame:
+        new = as_collection(rows)
+        return enforce_width(new, collection_width(stored) or collection_width(new))
 
     def merge(self, dest: str, source: str) -> DataFrame:
         return self.add(dest, self.get_or_create(source))

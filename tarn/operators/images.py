@@ -36,7 +36,8 @@ def area_weights(size: int, target: int) -> np.ndarray:
 
 
 def _to_bytes(values: np.ndarray) -> np.ndarray:
-    return np.clip(np.floor(values + 0.5), 0, 255)
+    values += 0.5
+    return np.clip(values, 0, 255.5, out=values).astype(np.uint8)
 
 
 def resize(pixels: np.ndarray, across: np.ndarray, down: np.ndarray) -> np.ndarray:
@@ -45,7 +46,7 @@ def resize(pixels: np.ndarray, across: np.ndarray, down: np.ndarray) -> np.ndarr
     columns = pixels.transpose(1, 0, 2).reshape(width, height * channels)
     wide = _to_bytes(across @ columns).reshape(-1, height, channels)
     lines = wide.transpose(1, 0, 2).reshape(height, -1)
-    return _to_bytes(down @ lines).reshape(len(down), len(across), channels).astype(np.uint8)
+    return _to_bytes(down @ lines).reshape(len(down), len(across), channels)
 
 
 def standardize_pixels(

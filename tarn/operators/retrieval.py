@@ -207,18 +207,23 @@ def knn_approx(
     projections: int = 3,
     bucket_length: float = 0.4,
     seed: int = 7,
-    broadcast_rows: int = 10_000,
+    broadcast_bytes: int = QUERY_BYTES,
     salts: int = 16,
 ) -> DataFrame:
     """Approximate k nearest rows by Euclidean distance: hash buckets, then exact distances.
 
     A table's bucket is one cell of several random projections; rows that share a cell with the query
     in any table are candidates. A pair that meets in several tables is kept in the first one only, so
-    no distinct over pairs is needed. Queries are broadcast up to a counted number; beyond it both
+    no distinct over pairs is needed. Queries are broadcast up to a counted size; beyond it both
     sides are shuffled with the collection salted, so that a crowded bucket is spread. Queries whose
     buckets hold fewer than k rows are answered exactly.
     """
-    n_queries = queries.limit(broadcast_rows + 1).count()
+    first = queries.select(F.size("embedding").alias("width")).first()
+    if first is None:
+        return knn(queries, collection, k)
+    # A query is sent once per table.
+    fitting = broadcast_bytes // (8 * first["width"] * tables)
+    few = queries.limit(fitting + 1).count() <= fitting
     rows = collection.select(
         "id", "document", "modality", V.as_double(F.col("embedding")).alias("vector"),
         array_to_vector(V.as_double(F.col("embedding"))).alias("features"),
@@ -238,7 +243,7 @@ def knn_approx(
     hashed = _bucketed(model.transform(rows), "row", tables, projections)
     hashed_queries = _bucketed(model.transform(asked), "query", tables, projections)
     keys = ["table_no", "bucket"]
-    if n_queries <= broadcast_rows:
+    if few:
         pairs = hashed.join(F.broadcast(hashed_queries), keys)
     else:
         salted = hashed.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))

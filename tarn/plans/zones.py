@@ -15,15 +15,15 @@ from tarn.sources.snapshots import Snapshots
 
 
 def drain_landing(zone: Snapshots, ts_ms: int) -> DataFrame:
-    """Move everything staged in ``temporal`` to ``persistent``, by category.
+    """Move everything staged in ``temporal`` to ``persistent``, by batch and category.
 
-    The staging area is emptied by its next snapshot, after the move is written. Folder marks stay.
+    A batch owns its partitions: nothing moved earlier is read or written again, and a repeated drain
+    with the same stamp replaces its own output. The staging area is emptied by its next snapshot,
+    after the move is written. Folder marks stay.
     """
     staged = zone.read("temporal")
-    moved = L.promote_landing(staged, ts_ms)
-    if zone.exists("persistent"):
-        moved = moved.unionByName(zone.read("persistent"), allowMissingColumns=True)
-    written = zone.write("persistent", moved, ("category",))
+    moved = L.promote_landing(staged, ts_ms).withColumn("batch", F.lit(ts_ms).cast("long"))
+    written = zone.put_partitions("persistent", moved, ("batch", "category"))
     left = staged.filter(K.is_placeholder(F.col("key"), F.col("size")))
     zone.write("temporal", left)
     return written

@@ -65,5 +65,17 @@ class Snapshots:
         df.write.mode("append").parquet(self.latest(name))
         return self.read(name)
 
+    def put_partitions(self, name: str, df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+        """Write whole partitions into the newest snapshot; the others are not touched.
+
+        Writing a partition again replaces it, so a repeated job leaves no second copy.
+        """
+        path = self.latest(name) if self.exists(name) else f"{self.root}/{name}/v=1"
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partition_by).parquet(path)
+        # Dynamic overwriting leaves no mark of its own.
+        self._files().create(self._path(f"{path}/_SUCCESS"), True).close()
+        return self.read(name)
+
     def drop(self, name: str) -> None:
         self._files().delete(self._path(f"{self.root}/{name}"), True)

@@ -288,7 +288,7 @@ def test_collections(spark, tmp_path):
     assert {r["document"] for r in store.get_or_create("images").collect()} == {"z/new.mp4", "z/c.txt"}
     store.merge("all", "images")
     assert store.names() == ["all", "images"] and store.peek("all", 1).count() == 1
-    with pytest.raises(ValueError):
+    with pytest.raises(Exception, match="width 2, found width 1"):
         store.add("images", spark.createDataFrame([("9", "z/x.png", [1.0])], schema))
     store.drop("images")
     assert store.names() == ["all"]
@@ -309,6 +309,7 @@ def test_text_zone_end_to_end(spark, tmp_path):
     assert {r["category"] for r in moved.collect()} == {"texts", "images", "quarantine"}
     assert [r["key"] for r in zone.read("temporal").collect()] == ["temporal-landing/"]
     assert Z.drain_landing(zone, 6).count() == 4
+    assert zone.read("persistent").count() == 4
     assert Z.format_texts(zone).count() == 2
     trusted = Z.trust_texts(zone).collect()
     assert len(trusted) == 1 and trusted[0]["key"] == "texts/text_5.txt" and trusted[0]["text"].isascii()

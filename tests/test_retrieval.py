@@ -108,10 +108,10 @@ def test_quota(spark, data):
         assert ranked(hits) == want
 
 
-@pytest.mark.parametrize("broadcast_rows", [10_000, 2])
-def test_approximate_search(spark, data, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [32 << 20, 1024])
+def test_approximate_search(spark, data, broadcast_bytes):
     queries, matrix = data
-    hits = R.knn_approx(asked(spark, queries), collection(spark, matrix), 10, bucket_length=2.0, broadcast_rows=broadcast_rows)
+    hits = R.knn_approx(asked(spark, queries), collection(spark, matrix), 10, bucket_length=2.0, broadcast_bytes=broadcast_bytes)
     got, want = ranked(hits), brute(queries, matrix, 10)
     assert all(len(v) == 10 for v in got.values()) and set(got) == set(want)
     recall = np.mean([len(set(got[q]) & set(want[q])) / 10 for q in want])

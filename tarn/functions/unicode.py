@@ -44,6 +44,26 @@ def _unescape(texts: pa.Array) -> pa.Array:
     )
 
 
+@F.arrow_udf(T.StringType())
+def _decode_marked(bodies: pa.Array) -> pa.Array:
+    def decode(body: bytes | None) -> str | None:
+        if body is None:
+            return None
+        name = "utf-8-sig" if body.startswith(b"\xef\xbb\xbf") else "utf-16"
+        return body.decode(name, errors="ignore")
+
+    return pa.array([decode(body) for body in bodies.to_pylist()], pa.string())
+
+
+def decode_marked(content: Column, marked: Column) -> Column:
+    """Text of bodies that start with a byte-order mark, undecodable parts left out.
+
+    Spark's own decoding fails on a damaged body, and with it the job; only ``marked`` rows leave the
+    JVM.
+    """
+    return _decode_marked(F.when(marked, content))
+
+
 def nfkc(text: Column) -> Column:
     """Compatibility normal form. Rows that cannot change cross to Python as NULL, without their text."""
     return F.coalesce(_nfkc(F.when(text.rlike(_MAY_CHANGE), text)), text)

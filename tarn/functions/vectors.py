@@ -35,7 +35,8 @@ def distance(left: Column, right: Column, metric: str = "l2") -> Column:
         gaps = F.zip_with(as_double(left), as_double(right), lambda a, b: (a - b) * (a - b))
         return F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x)
     if metric == "cosine":
-        return 1.0 - dot(left, right) / (norm(left) * norm(right))
+        # NULL where a vector is zero.
+        return 1.0 - dot(left, right) / F.nullif(norm(left) * norm(right), F.lit(0.0))
     if metric == "ip":
         return 1.0 - dot(left, right)
     raise ValueError(f"unknown metric {metric!r}; choose from {METRICS}")

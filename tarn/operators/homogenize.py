@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarn.functions import keys as K
 from tarn.functions import text as X
+from tarn.functions.unicode import decode_marked
 from tarn.operators.skew import join_unique
 from tarn.sources.archives import with_members
 
@@ -132,13 +133,10 @@ def transcode_utf8(bodies: DataFrame) -> DataFrame:
         .otherwise("iso-8859-1")
     )
     found = bodies.withColumn("encoding", encoding)
+    marked = F.col("encoding").isin("utf-8-sig", "utf-16")
     text = (
         F.when(F.col("encoding").isin("empty", "ascii", "utf-8"), plain)
-        .when(
-            F.col("encoding") == "utf-8-sig",
-            F.make_valid_utf8(F.substring(content, 4, 2**31 - 1).cast("string")),
-        )
-        .when(F.col("encoding") == "utf-16", F.decode(content, "UTF-16"))
+        .when(marked, decode_marked(content, marked))
         .otherwise(F.decode(content, "ISO-8859-1"))
     )
     outcome = F.when(
@@ -188,7 +186,7 @@ def extract_texts(bodies: DataFrame) -> DataFrame:
         plain.unionByName(archives)
         .unionByName(branch([".html"], X.html_to_text(decoded), "html"))
         .unionByName(branch([".md"], X.markdown_strip_images(decoded), "markdown"))
-        .unionByName(branch([".rtf"], X.rtf_strip(decoded), "rtf"))
+        .unionByName(branch([".rtf"], X.rtf_strip(F.replace(decoded, F.lit("\ufffd"), F.lit(""))), "rtf"))
         .unionByName(rest)
     )
 

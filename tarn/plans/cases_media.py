@@ -136,7 +136,7 @@ def frame_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def l2_normalize(spark: SparkSession, sf: str) -> DataFrame:
-    scaled = F.transform("embedding", lambda x: x * F.col("label"))
+    scaled = F.transform("embedding", lambda x: x.cast("double") * F.col("label"))
     return V.digest(EM.l2_normalize(V.vectors(spark, sf).withColumn("embedding", scaled)), ["id"])
 
 

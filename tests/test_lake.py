@@ -129,6 +129,8 @@ def test_transcoding(spark):
         "iso-8859-1": "Füße".encode("latin-1"),
         "empty": b"",
     }
+    damaged = spark.createDataFrame([("x", bytearray(text.encode("utf-16") + b"\xd8"))], "key string, content binary")
+    assert H.transcode_utf8(damaged).first()["text"] == text
     df = spark.createDataFrame([(k, bytearray(v)) for k, v in cases.items()], "key string, content binary")
     got = {r["key"]: (r["encoding"], r["text"]) for r in H.transcode_utf8(df).collect()}
     want = {"ascii": "plain", "iso-8859-1": "Füße", "empty": ""}
@@ -256,6 +258,7 @@ def test_vectors(spark):
     want = weights @ np.array([3.0, 4.0]) + bias
     assert wide["a"] == pytest.approx(want / np.linalg.norm(want), abs=1e-6)
     apart = df.withColumn("o", F.col("embedding"))
+    assert [r[0] for r in apart.select(VE.distance(F.col("embedding"), F.col("o"), "cosine")).collect()] == [None, 0.0]
     assert [r[0] for r in apart.select(VE.distance(F.col("embedding"), F.col("o"))).collect()] == [0.0, 0.0]
 
 

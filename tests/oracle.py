@@ -66,7 +66,7 @@ def compare(spark, connection, name: str, case, sf_dir: str) -> str | None:
 
 
 def main() -> None:
-    from __spark_entry__ import ALL
+    from __spark_entry__ import CASES as ALL
     from tarn.session import local_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"

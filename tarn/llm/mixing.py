@@ -14,12 +14,14 @@ WEIGHTS = (1.0, 2.0, 3.0)
 MOST = 3
 # Probabilities that one step of the reduction tree pairs off, about.
 CHUNK = 32
+# Texts of over this many times their source's mean length are rounded before the others.
+LONG = 4
 # Sources up to this many are broadcast: a short row each.
 FEW_SOURCES = 100_000
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
-    """Add ``target`` to ``sizes (source, source_size)``, one row per source.
+    """``source, source_size, long_size, target`` of ``sizes (source, source_size, rows)``, one row per source.
 
     Sources by code point, null last, have the weights in turn and share the sum of all sizes. A target above
     ``most`` times its source's size stops there and the rest is shared anew by weight, until none is
@@ -30,7 +32,8 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float
     state = (
         numbered.withColumn("weight", F.get(cycle, F.pmod(F.col("ordinal") - 1, F.lit(len(weights))).cast("int")))
         .withColumn("most", F.col("source_size") * F.lit(float(most)))
-        .select("source", "source_size", "weight", "most")
+        .withColumn("long_size", F.col("source_size") / F.col("rows") * LONG)
+        .select("source", "source_size", "long_size", "weight", "most")
         .checkpoint()
     )
     total = state.agg(F.sum("source_size")).first()[0] or 0
@@ -46,7 +49,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float
             break
         stopped, level = seen.n, (total - (seen.taken or 0.0)) / seen.weight
     share = F.col("weight") * F.lit(level or 0.0)
-    return state.select("source", "source_size", F.least(share, F.col("most")).alias("target"))
+    return state.select("source", "source_size", "long_size", F.least(share, F.col("most")).alias("target"))
 
 
 def _step(state: Column, item: Column) -> Column:
@@ -118,12 +121,35 @@ def round_shares(shares: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return out
 
 
+def _deal(known: DataFrame) -> DataFrame:
+    """Add ``copies`` near ``times`` to rows that stand for ``n`` rows each, and give each its own row."""
+    shares = (
+        known.withColumn("base", F.floor("times"))
+        .withColumn("part", F.col("n") * (F.col("times") - F.col("base")))
+        .withColumn("whole", F.floor("part"))
+        .withColumn("p", F.col("part") - F.col("whole"))
+    )
+    rounded = round_shares(shares.where("p > 0").select("source", "id", "size", "p"))
+    key = lambda side: [F.col(f"{side}.{c}") for c in ("source", "id", "size")]
+    same = [a.eqNullSafe(b) for a, b in zip(key("k"), key("o"), strict=True)]
+    joined = shares.alias("k").join(rounded.alias("o"), same[0] & same[1] & same[2], "left")
+    extra = F.col("whole") + F.coalesce("one", F.lit(0))
+    return (
+        joined.select("k.*", extra.alias("extra"))
+        .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+        .withColumn("copies", (F.col("base") + (F.col("copy") < F.col("extra")).cast("long")).cast("int"))
+        .select("id", "source", "size", "source_size", "target", "copies")
+    )
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken`` for every row of ``docs (doc_id, source, text)``.
 
     Size is the number of words; a null text has none. A row of a source is taken target / source_size
-    times: as often as that is whole, and the fraction is rounded by :func:`round_shares`, so a source's
-    taken words miss its target by less than its longest text. ``taken`` is copies times size. Rows that
+    times in the mean: as often as that is whole, and the fraction is rounded by :func:`round_shares`. Texts of
+    over ``LONG`` times their source's mean are rounded first, and what they miss of their share is laid on
+    the source's other texts, so a source misses its target by less than one text of that length (where the
+    others can bear it). ``taken`` is copies times size. Rows that
     repeat source, id and size share one number of copies, dealt as evenly as it goes. A source of no
     words has target 0 and takes nothing, an empty text is not copied, a null source is a source. An empty table
     gives no rows. All is decided by seeded hashes of id and size, so reruns agree. Other columns are ignored.
@@ -132,31 +158,27 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST)
     words = F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long")
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("source").cast("string").alias("source"), words.alias("size"))
     rows = rows.groupBy("source", "id", "size").agg(F.count("*").alias("n")).checkpoint()
-    sizes = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
+    sizes = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("rows"))
     planned = targets(sizes, weights, most).checkpoint()
     few = planned.count() <= FEW_SOURCES
-    known = rows.alias("r").join(
-        (F.broadcast(planned) if few else planned).alias("t"), F.col("r.source").eqNullSafe(F.col("t.source"))
-    )
-    times = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    known = (
-        known.select("r.*", "source_size", "target")
-        .withColumn("base", F.floor(times))
-        .withColumn("part", F.col("n") * (times - F.col("base")))
-        .withColumn("whole", F.floor("part"))
-        .withColumn("p", F.col("part") - F.col("whole"))
-    )
-    rounded = round_shares(known.where("p > 0").select("source", "id", "size", "p"))
-    key = lambda side: [F.col(f"{side}.{c}") for c in ("source", "id", "size")]
-    same = [a.eqNullSafe(b) for a, b in zip(key("k"), key("o"), strict=True)]
-    joined = known.alias("k").join(rounded.alias("o"), same[0] & same[1] & same[2], "left")
-    extra = F.col("whole") + F.coalesce("one", F.lit(0))
-    return (
-        joined.select("k.*", extra.alias("extra"))
-        .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-        .withColumn("copies", (F.col("base") + (F.col("copy") < F.col("extra")).cast("long")).cast("int"))
-        .select(
-            F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "copies",
-            (F.col("copies") * F.col("size")).alias("taken"),
+
+    def with_source(left: DataFrame, right: DataFrame, *columns: str) -> DataFrame:
+        joined = left.alias("r").join(
+            (F.broadcast(right) if few else right).alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")), "left"
         )
+        return joined.select("r.*", *(f"t.{c}" for c in columns))
+
+    known = with_source(rows, planned, "source_size", "target", "long_size")
+    long = F.col("size") > F.col("long_size")
+    first = _deal(known.where(long).withColumn("times", F.col("target") / F.col("source_size"))).checkpoint()
+    taken = first.groupBy("source").agg(
+        F.sum("size").alias("had"), F.sum(F.col("copies") * F.col("size")).alias("got")
+    )
+    had, got = F.coalesce("had", F.lit(0)), F.coalesce("got", F.lit(0))
+    times = F.greatest(F.lit(0.0), F.least(F.lit(float(most)), (F.col("target") - got) / (F.col("source_size") - had)))
+    others = with_source(known.where(~long), taken, "had", "got")
+    second = _deal(others.withColumn("times", F.when(F.col("size") > 0, times).otherwise(F.lit(0.0))))
+    return first.unionByName(second).select(
+        F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "copies",
+        (F.col("copies") * F.col("size")).alias("taken"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.llm import chat, exact_dedup, mixing, sharding
+from tarn.llm import chat, exact_dedup, mixing, secret_scan, sharding
 from tarn.llm.common import table
 
 
@@ -46,6 +46,29 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    kinds = [*secret_scan.KINDS, "weak", "endpoint"]
+    ranked = lambda spans: F.transform(
+        spans,
+        lambda s: F.struct(s["begin"], F.array_position(F.lit(kinds), s["kind"]).alias("rank"), s["end"].alias("end")),
+    )
+    written = lambda spans: F.array_join(
+        F.transform(
+            F.sort_array(spans),
+            lambda s: F.concat_ws(":", F.get(F.lit(kinds), (s["rank"] - 1).cast("int")), s["begin"], s["end"]),
+        ),
+        ",",
+    )
+    number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *(number(kind).alias(f"n_{kind}") for kind in secret_scan.KINDS),
+        F.sha2(written(ranked("base")), 256).alias("base_sha256"),
+        written(F.concat(ranked("base"), ranked("linked"))).alias("spans"),
+    )
+
+
 OP7_SQL = r"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -77,5 +100,6 @@ CASES = {
     "op4_mixing": (op4_mixing, None),
     "op5_sharding": (op5_sharding, None),
     "op7_chat_formatting": (op7_chat_formatting, OP7_SQL),
+    "op10_secret_scans": (op10_secret_scans, None),
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
 }

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.llm import chat, exact_dedup, mixing, secret_scan, sharding
+from tarn.llm import chat, exact_dedup, mixing, secret_scan, sharding, token_blocks
 from tarn.llm.common import table
+from tarn.session import work_path
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,14 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = work_path(spark, "token-blocks")
+    token_blocks.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_blocks.read_ids(spark, path)
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = "</s>[INST] ok [/INST]"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -99,6 +108,7 @@ FROM hashed WINDOW w AS (PARTITION BY text_sha256)
 CASES = {
     "op4_mixing": (op4_mixing, None),
     "op5_sharding": (op5_sharding, None),
+    "op6_token_blocks": (op6_token_blocks, None),
     "op7_chat_formatting": (op7_chat_formatting, OP7_SQL),
     "op10_secret_scans": (op10_secret_scans, None),
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),

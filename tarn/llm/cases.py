@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.llm import chat, exact_dedup, mixing, secret_scan, sharding, token_blocks
+from tarn.llm import chat, exact_dedup, jaccard_join, mixing, secret_scan, sharding, token_blocks
 from tarn.llm.common import table
 from tarn.session import work_path
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -106,6 +110,7 @@ FROM hashed WINDOW w AS (PARTITION BY text_sha256)
 """
 
 CASES = {
+    "op3_jaccard_join": (op3_jaccard_join, None),
     "op4_mixing": (op4_mixing, None),
     "op5_sharding": (op5_sharding, None),
     "op6_token_blocks": (op6_token_blocks, None),

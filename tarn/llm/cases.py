@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.llm import chat, exact_dedup, jaccard_join, mixing, secret_scan, sharding, token_blocks
+from tarn.llm import chat, decontaminate, exact_dedup, jaccard_join, mixing, secret_scan, sharding, token_blocks
 from tarn.llm.common import table
 from tarn.session import work_path
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(table(spark, sf_dir, "documents"))
 
@@ -110,6 +115,7 @@ FROM hashed WINDOW w AS (PARTITION BY text_sha256)
 """
 
 CASES = {
+    "op2_decontamination": (op2_decontamination, None),
     "op3_jaccard_join": (op3_jaccard_join, None),
     "op4_mixing": (op4_mixing, None),
     "op5_sharding": (op5_sharding, None),

@@ -30,10 +30,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTES = np.arange(256)
-IS_WORD = ~((_BYTES == 0x20) | ((_BYTES >= 0x09) & (_BYTES <= 0x0D)))
+#: Bytes of words: all but white space; and only ASCII letters and digits and what is beyond ASCII.
+SPACED = ~((_BYTES == 0x20) | ((_BYTES >= 0x09) & (_BYTES <= 0x0D)))
 _LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES)
+LETTERS = (_BYTES >= 0x80) | ((_LOWER >= 97) & (_LOWER <= 122)) | ((_BYTES >= 48) & (_BYTES <= 57))
 _CODE = _numbers(1000, 256)[_LOWER]
-_CODE[~IS_WORD] = 0
 _BASE = int(_numbers(7, 1)[0])
 
 
@@ -66,11 +67,16 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         first = end
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each word, and for each text (and the end) the number of its first word."""
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, letters: np.ndarray = SPACED
+) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word, and for each text (and the end) the number of its first word.
+
+    Words are runs of the bytes that ``letters`` marks.
+    """
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    inside = IS_WORD[data]
+    inside = letters[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     edges = offsets[:-1][offsets[:-1] < len(data)]
@@ -79,10 +85,12 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     place = np.arange(starts[0], len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))
-    place[~inside[starts[0] :]] = 0
+    outside = ~inside[starts[0] :]
+    place[outside] = 0
     longest = int(place.max()) + 1
     values = (_POWERS if longest <= len(_POWERS) else _powers(longest))[place]
     values *= _CODE[data[starts[0] :]]
+    values[outside] = 0
     return mix(np.add.reduceat(values, starts - starts[0])), np.searchsorted(starts, offsets)
 
 

@@ -318,7 +318,7 @@ def link(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFram
     # Up to its last cold match a prefix holds at + 1 tokens; those not shared are missing from the overlap.
     overlap = F.ceil((F.col("x_n") + F.col("y_n")) * percent / (100 + percent))
     could = lambda s: F.col(f"{s}_n") - (F.col(f"{s}_at") + 1) + F.col("met") + F.least("x_hot", "y_hot")
-    likely = (F.col("met") + F.least("x_hot", "y_hot")) / F.greatest("x_at", "y_at")
+    likely = (F.col("met") + F.least("x_hot", "y_hot")) / (F.greatest("x_at", "y_at") + 1)
     pairs = (
         pairs.where((F.col("met") >= ask) & (F.least(could("x"), could("y")) >= overlap))
         .select("a", "b", likely.alias("likely")).checkpoint()

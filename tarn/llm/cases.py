@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.llm import chat, decontaminate, exact_dedup, jaccard_join, mixing, secret_scan, sharding, token_blocks
+from tarn.llm import chat, decontaminate, exact_dedup, jaccard_join, mixing, secret_scan, sharding, token_blocks, toxicity
 from tarn.llm.common import table
 from tarn.session import work_path
 
@@ -59,6 +59,17 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Whether labels of this row are kept from the fit."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic")
+    scored = toxicity.score(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", F.get("evidence", F.lit(0))["doc_id"].alias("nearest"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.deduplicate(table(spark, sf_dir, "documents"), exact_dedup.new_index(spark))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -122,5 +133,6 @@ CASES = {
     "op6_token_blocks": (op6_token_blocks, None),
     "op7_chat_formatting": (op7_chat_formatting, OP7_SQL),
     "op10_secret_scans": (op10_secret_scans, None),
+    "op8_toxicity": (op8_toxicity, None),
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
 }

@@ -17,7 +17,9 @@ from tarn.session import checkpoint_root
 # Bounds of the fit: labelled rows that terms are chosen from, terms, and examples that are kept.
 FIT_ROWS, TERMS, EXAMPLES = 20_000, 512, 4_000
 # Least labelled texts of a term, and the share of chosen terms that may be chance.
-LEAST_TEXTS, FALSE_TERMS = 3, 0.1
+LEAST_TEXTS, FALSE_TERMS = 3, 0.02
+# Bytes of a stem: endings are cut off behind them.
+STEM = 6
 NEIGHBOURS = 15
 # Weight of the base rate among the votes, examples of one block of the lists, and the score that marks a text.
 PRIOR, BLOCK, TOXIC = 0.5, 64, 0.7
@@ -30,21 +32,24 @@ def _counted(keys: list[str], only: np.ndarray | None):
         for batch in batches:
             terms, times = [], []
             for _, _, data, offsets in words.slices(batch.column("text")):
-                hashes, begins = words.word_hashes(data, offsets, words.LETTERS)
-                if only is None:
-                    for a, b in zip(begins[:-1], begins[1:], strict=True):
-                        found, n = np.unique(hashes[a:b], return_counts=True)
-                        terms.append(found.view(np.int64))
-                        times.append(n)
-                    continue
-                at = np.searchsorted(only, hashes)
-                hit = np.flatnonzero(only[np.minimum(at, len(only) - 1)] == hashes) if len(only) else np.zeros(0, np.int64)
-                row = np.searchsorted(begins, hit, "right") - 1
-                cuts = np.searchsorted(row, np.arange(len(offsets)))
+                hashes, begins, stems = words.word_hashes(data, offsets, words.LETTERS, STEM)
+                longer = np.flatnonzero(stems != hashes)
+                row = np.searchsorted(begins, np.concatenate((np.arange(len(hashes)), longer)), "right") - 1
+                term = np.concatenate((hashes, stems[longer]))
+                is_stem = np.arange(len(term)) >= len(hashes)
+                if only is not None:
+                    at = np.searchsorted(only, term)
+                    hit = np.flatnonzero(only[np.minimum(at, len(only) - 1)] == term) if len(only) else np.zeros(0, np.int64)
+                    term, row, is_stem = at[hit], row[hit], is_stem[hit]
+                order = np.argsort(row, kind="stable")
+                cuts = np.searchsorted(row[order], np.arange(len(offsets)))
                 for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                    found, n = np.unique(at[hit[a:b]], return_counts=True)
-                    terms.append(found)
-                    times.append(n)
+                    own = order[a:b]
+                    found, first, n = np.unique(term[own], return_index=True, return_counts=True)
+                    # A stem tells something where it comes again.
+                    kept = ~is_stem[own][first] | (n > 1)
+                    terms.append(found[kept] if only is not None else found[kept].view(np.int64))
+                    times.append(n[kept])
             ends = np.concatenate(([0], np.cumsum([len(t) for t in terms]))).astype(np.int32)
             lists = [
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *values]).astype(np.int64)))
@@ -132,7 +137,7 @@ def _scored(model: Model, idf: np.ndarray, k: int):
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Terms and examples from at most ``FIT_ROWS`` rows of ``labels (doc_id, toxic)``, drawn by the ids' hashes.
 
-    Terms are words (letters and digits, lower case) that a likelihood-ratio test ties to either label, at a
+    Terms are words (letters and digits, lower case) and stems of ``STEM`` bytes that a likelihood-ratio test ties to either label, at a
     false discovery rate of ``FALSE_TERMS``; at most ``TERMS``. Examples are labelled texts with a term, at most
     ``EXAMPLES``; the others only count for the base rates. Of several labels of one id the greatest holds; null
     ids and labels are left out.

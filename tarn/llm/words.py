@@ -68,14 +68,16 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
 
 
 def word_hashes(
-    data: np.ndarray, offsets: np.ndarray, letters: np.ndarray = SPACED
-) -> tuple[np.ndarray, np.ndarray]:
+    data: np.ndarray, offsets: np.ndarray, letters: np.ndarray = SPACED, stem: int = 0
+) -> tuple[np.ndarray, ...]:
     """The hash of each word, and for each text (and the end) the number of its first word.
 
-    Words are runs of the bytes that ``letters`` marks.
+    Words are runs of the bytes that ``letters`` marks. With ``stem``, also the hash of each word's first so many bytes,
+    which is the word's own where it has no more.
     """
+    none = np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), *([np.zeros(0, np.uint64)] if stem else [])
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return none
     inside = letters[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -83,7 +85,7 @@ def word_hashes(
     begins[edges] = inside[edges]
     starts = np.flatnonzero(begins)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return none
     place = np.arange(starts[0], len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))
     outside = ~inside[starts[0] :]
     place[outside] = 0
@@ -91,7 +93,12 @@ def word_hashes(
     values = (_POWERS if longest <= len(_POWERS) else _powers(longest))[place]
     values *= _CODE[data[starts[0] :]]
     values[outside] = 0
-    return mix(np.add.reduceat(values, starts - starts[0])), np.searchsorted(starts, offsets)
+    hashes, begins = mix(np.add.reduceat(values, starts - starts[0])), np.searchsorted(starts, offsets)
+    if not stem:
+        return hashes, begins
+    values[place >= stem] = 0
+    stems = mix(np.add.reduceat(values, starts - starts[0]))
+    return hashes, begins, np.where(stems == hashes, hashes, mix(stems))
 
 
 def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:

@@ -5,11 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.llm import chat, decontaminate, exact_dedup, jaccard_join, mixing, secret_scan, sharding, token_blocks, toxicity
+from tarn.llm import chat, decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, secret_scan, sharding, token_blocks, toxicity
 from tarn.llm.common import table
 from tarn.session import work_path
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
+        F.aggregate("runs", F.lit(0).cast("long"), lambda s, r: s + r["end"] - r["start"]).alias("n_deleted"),
+        F.array_join(F.transform("runs", lambda r: F.concat_ws("-", r["start"], r["end"])), ",").alias("deleted"),
+        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))
@@ -126,6 +137,7 @@ FROM hashed WINDOW w AS (PARTITION BY text_sha256)
 """
 
 CASES = {
+    "op1_line_dedup": (op1_line_dedup, None),
     "op2_decontamination": (op2_decontamination, None),
     "op3_jaccard_join": (op3_jaccard_join, None),
     "op4_mixing": (op4_mixing, None),

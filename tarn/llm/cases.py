@@ -27,7 +27,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.link(table(spark, sf_dir, "documents"))
+    return jaccard_join.link(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,9 +75,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
 
 
+def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic")
-    scored = toxicity.score(table(spark, sf_dir, "documents"), labels)
+    scored = toxicity.score(table(spark, sf_dir, "documents"), training_labels(spark, sf_dir))
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", F.get("evidence", F.lit(0))["doc_id"].alias("nearest"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # White space and words as the contracts write them.
@@ -22,3 +22,41 @@ def text_of(column: str = "text") -> Column:
 def unit(*parts: Column) -> Column:
     """A number in [0, 1) that depends on ``parts`` alone."""
     return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(1 << 53))
+
+
+# Rows of ids that may be broadcast: two numbers each.
+FEW_IDS = 500_000
+
+
+def only(rows: DataFrame, ids: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
+    """The rows of these ids (``left_anti``: the others), null being equal to null.
+
+    A short list, by count, is broadcast; a long one is joined by shuffle.
+    """
+    left, right = rows.alias("l"), (F.broadcast(ids) if ids.count() <= FEW_IDS else ids).alias("r")
+    same = F.lit(True)
+    for name in on:
+        same = same & F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}"))
+    return left.join(right, same, how)
+
+
+def only_texts(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of ``docs`` whose id and text's hash are in ``ids (doc_id, key)``, with their own columns alone."""
+    whole = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"))
+    return only(whole, ids, ["doc_id", "key"], how).select("row.*")
+
+
+def dealt(docs: DataFrame, extra: dict[str, Column], decisions: DataFrame, on: list[str], value: str) -> DataFrame:
+    """``row`` (all of a row of ``docs``) and one of the ``value`` s that ``decisions`` hold for its key.
+
+    ``on`` names columns of ``decisions``; ``extra`` gives them for ``docs``. Rows of one key get its values in turn, in
+    the order of their texts' hashes.
+    """
+    listed = decisions.groupBy(*on).agg(F.sort_array(F.collect_list(value)).alias("values"))
+    whole = docs.select(F.struct("*").alias("row"), *(c.alias(name) for name, c in extra.items()))
+    same = F.lit(True)
+    for name in on:
+        same = same & F.col(f"d.{name}").eqNullSafe(F.col(f"k.{name}"))
+    joined = whole.alias("d").join(listed.alias("k"), same).select("d.*", "k.values")
+    turn = Window.partitionBy(*on).orderBy(F.xxhash64("row.text"))
+    return joined.withColumn("turn", F.row_number().over(turn)).select("row", F.get("values", F.col("turn") - 1).alias(value))

@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.llm import words
+from tarn.llm.common import only, only_texts
 from tarn.session import checkpoint_root
 
 # Words of a seed; the part of an item's rarity that a text's seeds must hold to be aligned; the score that counts as a copy.
 SEED, SHARE, SCORE = 4, 0.05, 0.4
 MATCH, MISMATCH, GAP = 2, 1, 1
-# Seeds (8 bytes each) and texts (16 bytes each) up to this many are sent to all tasks, more are joined by shuffle.
-FEW_SEEDS, FEW_TEXTS = 1_000_000, 500_000
+# Seeds (8 bytes each) up to this many are sent to all tasks, more are joined by shuffle.
+FEW_SEEDS = 1_000_000
 
 
 def _grams(column: pa.Array, size: int, only: np.ndarray | None, short: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -109,21 +110,21 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     low, high = max(0, part[0] - reach), min(len(own), part[-1] + reach)
                     score, end = _align(x, own[low:high])
                     best = max(best, (score, low + end))
-                out.append((row["doc_id"], item["item_id"], best[0] / (MATCH * len(x)), best[1]))
-        columns = list(zip(*out, strict=True)) or [[], [], [], []]
-        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "score", "ends_at"])
+                out.append((row["doc_id"], row["key"], item["item_id"], best[0] / (MATCH * len(x)), best[1]))
+        columns = list(zip(*out, strict=True)) or [[]] * 5
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "key", "item_id", "score", "ends_at"])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, size: int = SEED, share: float = SHARE, score: float = SCORE) -> DataFrame:
-    """``doc_id, item_id, score, ends_at``: each row of ``docs (doc_id, text)`` and item of ``benchmark (item_id, text)`` that it leaks.
+    """``doc_id, key, item_id, score, ends_at``: each row of ``docs (doc_id, text)`` and item of ``benchmark (item_id, text)`` that it leaks.
 
     Words are runs of letters and digits in lower case. The seeds of an item are its runs of ``size`` words (a
     shorter item's whole sequence). A seed is the rarer, the fewer texts of the corpus hold it (``log(1 + rows /
     texts)``), and a text is aligned to an item if its seeds hold ``share`` of the rarity of all seeds of that item; so
     a frequent phrase alone brings no alignment, but an item that is leaked often is still found. Around
     its seeds the text is aligned by Smith-Waterman over words; the score over that of a whole copy is
-    ``score``, from 0 to 1, and ``ends_at`` is the word after the alignment. Rows below the least score are left out.
+    ``score``, from 0 to 1, and ``ends_at`` is the word after the alignment; ``key`` is the text's hash. Rows below the least score are left out.
     Null and empty texts and items without words leak nothing; of repeated rows each has its rows; items that
     repeat an id are one item with several texts, the best score counts. Other columns are ignored.
     """
@@ -142,16 +143,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = SEED, share: float
     lengths = numbered.select("item", F.least(F.lit(size), F.regexp_count("text", F.lit(r"[A-Za-z0-9\x{80}-\x{10FFFF}]+"))).alias("n"))
     sizes = [r.n for r in lengths.select("n").distinct().collect() if r.n]  # at most ``size`` numbers
     few = seeds.count() <= FEW_SEEDS
-    only = None
+    sent = None
     if few:
-        only = np.unique(np.array([r.seed for r in seeds.select("seed").distinct().collect()], np.int64).view(np.uint64))
-        only = spark.sparkContext.broadcast(only)
+        sent = np.unique(np.array([r.seed for r in seeds.select("seed").distinct().collect()], np.int64).view(np.uint64))
+        sent = spark.sparkContext.broadcast(sent)
     found = None
     for n in sizes:
-        part = texts.mapInArrow(_broadcast_scan(n, only), f"doc_id long, key long, {lists}")
+        part = texts.mapInArrow(_broadcast_scan(n, sent), f"doc_id long, key long, {lists}")
         found = part if found is None else found.unionByName(part)
     if found is None:
-        return spark.createDataFrame([], "doc_id long, item_id long, score double, ends_at long")
+        return spark.createDataFrame([], "doc_id long, key long, item_id long, score double, ends_at long")
     hits = found.select("doc_id", "key", F.inline(F.arrays_zip("seeds", "places"))).withColumnsRenamed({"seeds": "seed", "places": "place"})
     if not few:
         hits = hits.join(seeds.select("seed").distinct(), "seed", "left_semi")
@@ -171,25 +172,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = SEED, share: float
         .groupBy("key").agg(F.collect_list(F.struct("item_id", "text", "places")).alias("items"))
         .checkpoint()
     )
-    narrow = pairs.count() <= FEW_TEXTS
-    wanted = pairs.select("key")
-    chosen = texts.join(F.broadcast(wanted) if narrow else wanted, "key", "left_semi")
-    scored = chosen.join(pairs, "key").select("doc_id", "text", "items").mapInArrow(
-        _score, "doc_id long, item_id long, score double, ends_at long"
+    chosen = only(texts, pairs.select("key"), ["key"])
+    scored = chosen.join(pairs, "key").select("doc_id", "key", "text", "items").mapInArrow(
+        _score, "doc_id long, key long, item_id long, score double, ends_at long"
     )
     return scored.where(F.col("score") >= score)
 
 
-def _broadcast_scan(size: int, only):
-    """:func:`_scan` of texts with the seeds that were sent to all tasks, or with all where ``only`` is None."""
+def _broadcast_scan(size: int, sent):
+    """:func:`_scan` of texts with the seeds that were sent to all tasks, or with all where ``sent`` is None."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _scan(size, None if only is None else only.value, ["doc_id", "key"], False)(batches)
+        return _scan(size, None if sent is None else sent.value, ["doc_id", "key"], False)(batches)
 
     return run
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that leak no item, with all their columns."""
-    found = leaks(docs, benchmark).select("doc_id").distinct()
-    return docs.alias("d").join(found.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_anti").select("d.*")
+    found = leaks(docs, benchmark).select("doc_id", "key").distinct().checkpoint()
+    return only_texts(docs, found, "left_anti")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarn.llm import words
+from tarn.llm.common import only, only_texts
 from tarn.llm.components import components
 from tarn.session import checkpoint_root
 
@@ -20,8 +21,6 @@ WORDS, PERCENT = 5, 80
 HOT = 32
 # What checking a pair costs, in pairs made.
 CHECK = 8.0
-# Ids up to this many are broadcast (16 bytes each), more are shuffled.
-FEW = 500_000
 # A block of a dense group: texts and shingles, at most (one larger text is a block).
 BLOCK_ROWS, BLOCK_TOKENS = 512, 1_000_000
 
@@ -79,16 +78,6 @@ def _sets(size: int, percent: int, whole: bool):
 _SETS = "doc_id long, key long, n long, c1 long, c2 long, tokens array<long>"
 
 
-def _only(rows: DataFrame, ids: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
-    """The rows of these ids. A counted short list is broadcast; a long one is joined by shuffle."""
-    few = ids.count() <= FEW
-    left, right = rows.alias("l"), (F.broadcast(ids) if few else ids).alias("r")
-    same = F.lit(True)
-    for name in on:
-        same = same & F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}"))
-    return left.join(right, same, how)
-
-
 def _choose(tokens: Column, n: Column, percent: int) -> Column:
     """The level and the cold matches a text asks for: ``struct(level, need)``, null where all is hot.
 
@@ -254,11 +243,12 @@ def _dense(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def link(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs (doc_id, text)``.
+    """``doc_id, key, n_shingles, component_id`` for every row of ``docs (doc_id, text)``.
 
     A text's set holds its distinct runs of ``size`` words (lower case, split at white space), the whole
     sequence if it is shorter; no words or no text give an empty set, linked with nothing. Two rows link when
-    ``100 * intersection >= percent * union``; ``component_id`` is the smallest doc_id reachable by links.
+    ``100 * intersection >= percent * union``; ``component_id`` is the smallest doc_id reachable by links,
+    and ``key`` the hash of the text.
 
     1. Sets are put in the order of their shingles' hashes. Only the first ``n - least + 1 + room`` tokens, the
        prefix, leave the task, with a digest of the set; rows with equal sets go on as one.
@@ -285,7 +275,7 @@ def link(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFram
         .checkpoint()
     )
     others = found.where("n > 0").select("row").join(classes.select(F.col("set").alias("row")), "row", "left_anti").checkpoint()
-    own = _only(found.where("n > 0").select("row", "n", "tokens"), others, ["row"], "left_anti")
+    own = only(found.where("n > 0").select("row", "n", "tokens"), others, ["row"], "left_anti")
     # Level 1 is the base prefix, each further token is a level of its own.
     least = F.ceil(F.col("n") * percent / 100).cast("int")
     base = (F.col("n") - least + 1).cast("int")
@@ -327,7 +317,7 @@ def link(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFram
     wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).union(dense.select("set")).distinct().join(
         classes.select("set", "doc_id", "key", "c1", "c2"), "set"
     ).checkpoint()
-    again = _only(texts, wanted.select("doc_id", "key").distinct(), ["doc_id", "key"]).mapInArrow(_sets(size, percent, True), _SETS)
+    again = only(texts, wanted.select("doc_id", "key").distinct(), ["doc_id", "key"]).mapInArrow(_sets(size, percent, True), _SETS)
     sets = (
         again.join(wanted.select("set", "c1", "c2"), ["c1", "c2"]).select("set", "n", "tokens")
         .dropDuplicates(["set"]).checkpoint()
@@ -349,6 +339,23 @@ def link(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFram
     heads = within.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = within.join(heads, "component").select("c1", "c2", "component_id")
     return (
-        found.select("doc_id", "n", "c1", "c2").join(named, ["c1", "c2"], "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        found.select("doc_id", "key", "n", "c1", "c2").join(named, ["c1", "c2"], "left")
+        .select("doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     )
+
+
+def one_of_each(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The row with the smallest doc_id of each group of linked rows, with all its columns.
+
+    Rows without words are groups of their own. Of rows that repeat the id, the one whose text has the least hash stays,
+    and one row of those that repeat the text too. Rows that have no id, where none of their group has, all stay.
+    """
+    stays = link(docs, size, percent).where("doc_id <=> component_id")
+    ids = stays.groupBy("doc_id").agg(F.min("key").alias("key"), F.count("*").alias("n"))
+    ids = ids.where("doc_id IS NOT NULL").unionByName(
+        stays.where("doc_id IS NULL").groupBy("doc_id", "key").agg(F.lit(1).cast("long").alias("n"))
+    ).checkpoint()
+    kept = only_texts(docs, ids.select("doc_id", "key"))
+    if not ids.where("n > 1").limit(1).count():
+        return kept
+    return kept.where("doc_id IS NULL").unionByName(kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm.common import WORDS, unit
+from tarn.llm.common import WORDS, dealt, unit
 from tarn.operators.ordinal import ordinal
 from tarn.session import checkpoint_root
 
@@ -142,6 +142,12 @@ def _deal(known: DataFrame) -> DataFrame:
     )
 
 
+def _identity(doc_id: str) -> dict[str, Column]:
+    """What a row of documents is dealt copies by."""
+    words = F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long")
+    return {doc_id: F.col("doc_id").cast("long"), "source": F.col("source").cast("string"), "size": words}
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken`` for every row of ``docs (doc_id, source, text)``.
 
@@ -155,8 +161,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST)
     gives no rows. All is decided by seeded hashes of id and size, so reruns agree. Other columns are ignored.
     """
     checkpoint_root(docs.sparkSession)
-    words = F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long")
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("source").cast("string").alias("source"), words.alias("size"))
+    rows = docs.select(*(c.alias(name) for name, c in _identity("id").items()))
     rows = rows.groupBy("source", "id", "size").agg(F.count("*").alias("n")).checkpoint()
     sizes = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("rows"))
     planned = targets(sizes, weights, most).checkpoint()
@@ -182,3 +187,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST)
         F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "copies",
         (F.col("copies") * F.col("size")).alias("taken"),
     )
+
+
+def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """The rows of ``docs``, each as often as :func:`mix` takes it, with all their columns."""
+    decided = mix(docs, weights, most).where("copies > 0").select("doc_id", "source", "size", "copies")
+    rows = dealt(docs, _identity("doc_id"), decided, ["doc_id", "source", "size"], "copies")
+    return rows.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarn.llm.common import text_of, unit
+from tarn.llm.common import dealt, text_of, unit
 from tarn.session import checkpoint_root
 
 # Rows that one range is planned for, draws of the sample for each range, and how full a range may be
@@ -59,6 +59,12 @@ def _splitters(rows: DataFrame, pieces: Column, bytes_each: Column) -> list[str]
     return [r.key for r in placed.select("key").distinct().collect()]
 
 
+def _identity() -> dict[str, Column]:
+    """What a row of documents is placed by."""
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
+    return {"doc_id": F.col("doc_id").cast("long"), "size": size, "text_crc32": F.crc32(text_of()).cast("long")}
+
+
 def shard(docs: DataFrame, shards: int = 16, range_rows: int = RANGE_ROWS) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` of every row of ``docs (doc_id, text)``.
 
@@ -72,10 +78,7 @@ def shard(docs: DataFrame, shards: int = 16, range_rows: int = RANGE_ROWS) -> Da
     null ids come last in their group. An empty table gives no rows. Other columns are ignored.
     """
     checkpoint_root(docs.sparkSession)
-    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), size.alias("size"), F.crc32(text_of()).cast("long").alias("crc")
-    )
+    rows = docs.select(*(c.alias(name) for name, c in _identity().items())).withColumnRenamed("text_crc32", "crc")
     rows = (
         rows.groupBy("doc_id", "size", "crc").agg(F.count("*").alias("n"))
         .withColumn("key", _key(F.col("crc"), F.col("size"), F.col("doc_id")))
@@ -142,3 +145,11 @@ def shard(docs: DataFrame, shards: int = 16, range_rows: int = RANGE_ROWS) -> Da
     return joined.join(F.broadcast(starts), "shard").select(
         "doc_id", "size", F.col("crc").alias("text_crc32"), "shard", (F.col("place") - F.col("start")).alias("slot")
     )
+
+
+def sharded(docs: DataFrame, shards: int = 16) -> DataFrame:
+    """The rows of ``docs`` with ``shard`` and ``slot`` (which replace columns of these names)."""
+    places = shard(docs, shards).withColumn("place", F.struct("shard", "slot"))
+    rows = dealt(docs, _identity(), places, ["doc_id", "size", "text_crc32"], "place")
+    names = [c for c in docs.columns if c not in ("shard", "slot")]
+    return rows.select(*(f"row.`{c}`" for c in names), "place.shard", "place.slot")

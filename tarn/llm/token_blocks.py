@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,10 +21,12 @@ BLOCK = 128
 PERCENTILE = 90
 SEGMENT = 1 << 17
 END_ID = 2
-# Pieces of text that a task remembers the ids of, and the longest that it remembers.
-REMEMBERED, SHORT = 400_000, 64
+# Pieces of text that a task remembers the ids of in each of two generations, and the longest that it remembers.
+REMEMBERED, SHORT = 300_000, 64
 # Between two characters that are no white space, a space or line end begins a new token: texts are cut there.
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+# So does a mark behind a letter or digit.
+_MARK = re.compile(r"(?<=[^\W_])(?=[.,;:!?])")
 
 
 def _ceil_log2(values: np.ndarray) -> np.ndarray:
@@ -116,25 +119,46 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Special tokens are found in texts, so none may be cut.
+        if any(_MARK.search(x.content) or " " in x.content or "\n" in x.content for x in self.tokenizer.get_added_tokens_decoder().values()):
+            raise ValueError("a special token of this tokenizer would be cut")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _encoded(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that are not known: what their parts are encoded to, and of each part only once."""
+        codes = {p: self.older[p] for p in pieces if p in self.older}
+        cut = {p: _MARK.split(p) for p in pieces if p not in codes}
+        parts = {x for own in cut.values() for x in own}
+        known = {x: code for x in parts if (code := self.known.get(x) or self.older.get(x)) is not None}
+        fresh = [x for x in parts if x not in known]
+        found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
+        known.update((x, array("I", c.ids).tobytes()) for x, c in zip(fresh, found, strict=True))
+        codes.update((p, known[own[0]] if len(own) == 1 else b"".join([known[x] for x in own])) for p, own in cut.items())
+        self.known.update((x, known[x]) for x in fresh if len(x) <= SHORT)
+        return codes
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian 32-bit integers."""
-        cut = [_pieces(t) for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known, self.older = {}, self.known
+        cut = [_pieces(t) for t in texts]
+        wanted = set().union(*cut)
+        wanted.difference_update(self.known)
+        codes = self._encoded(wanted)
+        self.known.update(codes)
         known = self.known
-        fresh = list({p for pieces in cut for p in pieces} - known.keys())
-        codes = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        known.update((p, np.array(c.ids, "<u4").tobytes()) for p, c in zip(fresh, codes, strict=True))
         coded = [b"".join([known[p] for p in pieces]) for pieces in cut]
-        for piece in fresh:
+        for piece in codes:
             if len(piece) > SHORT:
-                del known[piece]
+                known.pop(piece, None)
         return coded
 
 
 def _pieces(text: str) -> list[str]:
+    if len(text.split()) == text.count(" ") + text.count("\n") + 1 and "\0" not in text:
+        # Every white space stands alone, so each begins a piece.
+        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
     return _CUT.split(text) if text else []
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.llm import words
+from tarn.llm.common import only_texts
 from tarn.session import checkpoint_root
 
 # Bounds of the fit: labelled rows that terms are chosen from, terms, and examples that are kept.
@@ -127,8 +128,8 @@ def _scored(model: Model, idf: np.ndarray, k: int):
                 )
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(evidence, kind)],
-                names=["row", "doc_id", "score", "evidence"],
+                [batch.column("doc_id"), batch.column("key"), pa.array(scores, pa.float64()), pa.array(evidence, kind)],
+                names=["doc_id", "key", "score", "evidence"],
             )
 
     return run
@@ -185,20 +186,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def score(docs: DataFrame, labels: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
-    """``doc_id, score, predicted, evidence`` for every row of ``docs (doc_id, text)``, as ``labels (doc_id, toxic)`` mark it.
+    """``doc_id, key, score, predicted, evidence`` for every row of ``docs (doc_id, text)``, as ``labels (doc_id, toxic)`` mark it.
 
     Texts are vectors of ``(1 + ln tf) * idf`` over the terms of :func:`fit`, with document frequencies over
     all of ``docs``. The ``k`` nearest examples by exact cosine vote with their cosine as weight, and the base rate
     with ``PRIOR``; ``evidence`` lists them. A text without a term (an empty or null one too) has the share of
     toxic ones among labelled texts without a term. ``predicted`` is 1 from ``TOXIC`` on. Rows that repeat are
-    scored each; without labels the score is a half. Only text enters a score. Other columns are ignored.
+    scored each; without labels the score is a half. Only text enters a score; ``key`` is its hash. Other columns are ignored.
     """
     checkpoint_root(docs.sparkSession)
     model = fit(docs, labels)
     rows = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .mapInArrow(_counted(["doc_id"], model.terms), "doc_id long, terms array<long>, times array<long>")
-        .withColumn("row", F.monotonically_increasing_id())
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), F.col("text").cast("string").alias("text"))
+        .mapInArrow(_counted(["doc_id", "key"], model.terms), "doc_id long, key long, terms array<long>, times array<long>")
         .checkpoint()
     )
     # One row per term.
@@ -206,6 +206,12 @@ def score(docs: DataFrame, labels: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
     n = rows.count()
     idf = np.array([math.log((n + 1) / (held.get(i, 0) + 1)) + 1 for i in range(len(model.terms))])
     done = rows.mapInArrow(
-        _scored(model, idf, k), "row long, doc_id long, score double, evidence array<struct<doc_id:long,toxic:int,cosine:double>>"
+        _scored(model, idf, k), "doc_id long, key long, score double, evidence array<struct<doc_id:long,toxic:int,cosine:double>>"
     )
-    return done.select("doc_id", "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"), "evidence")
+    return done.select("doc_id", "key", "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"), "evidence")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, with all their columns."""
+    found = score(docs, labels).where("predicted = 1").select("doc_id", "key").distinct().checkpoint()
+    return only_texts(docs, found, "left_anti")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarn.llm import words
 from tarn.session import checkpoint_root
 
 # Ids of one block, the share of them that the packed width must hold, and ids of a segment, about.
@@ -21,12 +21,10 @@ BLOCK = 128
 PERCENTILE = 90
 SEGMENT = 1 << 17
 END_ID = 2
-# Pieces of text that a task remembers the ids of in each of two generations, and the longest that it remembers.
-REMEMBERED, SHORT = 300_000, 64
-# Between two characters that are no white space, a space or line end begins a new token: texts are cut there.
-_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
-# So does a mark behind a letter or digit.
-_MARK = re.compile(r"(?<=[^\W_])(?=[.,;:!?])")
+# Pieces of text that a task remembers the ids of, and bytes of the longest that it remembers.
+REMEMBERED, SHORT = 2_000_000, 64
+# A piece that white space before or behind it does not change.
+_ALONE = re.compile(r"[ \n]?\S(?:.*\S)?\Z", re.DOTALL)
 
 
 def _ceil_log2(values: np.ndarray) -> np.ndarray:
@@ -111,8 +109,46 @@ def unpack(data: bytes, starts: np.ndarray, n_ids: int) -> np.ndarray:
     return (rows + least[:, None]).reshape(-1)[:n_ids]
 
 
+def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where pieces begin that the tokenizer takes one by one.
+
+    They begin at texts' starts; at a space or line end that stands alone between two other characters; and at a
+    mark behind a letter or digit. Where a neighbour might be white space or no letter beyond ASCII, there is no cut.
+    """
+    n = len(data)
+    padded = np.zeros(n + 6, np.uint8)
+    padded[3 : n + 3] = data
+    b3, b2, b1, own, a1, a2 = (padded[i : i + n] for i in range(6))
+    kind = _KIND[own]
+    space = np.flatnonzero(kind == 1)
+    p3, p2, p1, f1, f2 = b3[space], b2[space], b1[space], a1[space], a2[space]
+    wide = lambda lead: (lead >= 0xE1) & (lead <= 0xE3)
+    odd = lambda lead, rest: (lead == 0xC2) & ((rest == 0x85) | (rest == 0xA0))
+    plain = (_KIND[p1] != 1) & (_KIND[p1] != 2) & (_KIND[f1] != 1) & (_KIND[f1] != 2)
+    space = space[plain & ~odd(p2, p1) & ~wide(p3) & ~odd(f1, f2) & ~wide(f1)]
+    mark = np.flatnonzero(kind == 3)
+    p2, p1 = b2[mark], b1[mark]
+    mark = mark[(_KIND[p1] == 4) | ((p2 == 0xC3) & (p1 >= 0x80) & (p1 != 0x97) & (p1 != 0xB7))]
+    begins = np.zeros(n + 1, bool)
+    begins[space] = begins[mark] = True
+    begins[offsets] = True
+    begins[n] = False
+    return np.flatnonzero(begins)
+
+
+# Bytes: 1 space and line end, 2 other white space and controls, 3 marks, 4 ASCII letters and digits, 0 the rest.
+_KIND = np.zeros(256, np.uint8)
+_KIND[:33] = 2
+_KIND[[32, 10]] = 1
+_KIND[[ord(c) for c in ".,;:!?"]] = 3
+_KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 4
+
+
 class Encoder:
-    """A tokenizer that remembers the ids of short pieces of text."""
+    """A tokenizer that encodes each different piece of text once.
+
+    Pieces are known by 64-bit hashes; the bytes of a piece's tokens must also be as many as its own.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -120,46 +156,66 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         # Special tokens are found in texts, so none may be cut.
-        if any(_MARK.search(x.content) or " " in x.content or "\n" in x.content for x in self.tokenizer.get_added_tokens_decoder().values()):
-            raise ValueError("a special token of this tokenizer would be cut")
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _encoded(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that are not known: what their parts are encoded to, and of each part only once."""
-        codes = {p: self.older[p] for p in pieces if p in self.older}
-        cut = {p: _MARK.split(p) for p in pieces if p not in codes}
-        parts = {x for own in cut.values() for x in own}
-        known = {x: code for x in parts if (code := self.known.get(x) or self.older.get(x)) is not None}
-        fresh = [x for x in parts if x not in known]
-        found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        known.update((x, array("I", c.ids).tobytes()) for x, c in zip(fresh, found, strict=True))
-        codes.update((p, known[own[0]] if len(own) == 1 else b"".join([known[x] for x in own])) for p, own in cut.items())
-        self.known.update((x, known[x]) for x in fresh if len(x) <= SHORT)
-        return codes
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian 32-bit integers."""
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        cut = [_pieces(t) for t in texts]
-        wanted = set().union(*cut)
-        wanted.difference_update(self.known)
-        codes = self._encoded(wanted)
-        self.known.update(codes)
-        known = self.known
-        coded = [b"".join([known[p] for p in pieces]) for pieces in cut]
-        for piece in codes:
-            if len(piece) > SHORT:
-                known.pop(piece, None)
-        return coded
-
-
-def _pieces(text: str) -> list[str]:
-    if len(text.split()) == text.count(" ") + text.count("\n") + 1 and "\0" not in text:
-        # Every white space stands alone, so each begins a piece.
-        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-    return _CUT.split(text) if text else []
+        for token in self.tokenizer.get_added_tokens_decoder().values():
+            raw = np.frombuffer(token.content.encode(), np.uint8)
+            if len(_cuts(raw, np.array([0, len(raw)]))) > 1:
+                raise ValueError("a special token of this tokenizer would be cut")
+        self.lengths = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.lengths[number] = len(token)  # byte-level tokens are written with a letter for each byte
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes, self.at, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _fresh(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces, and how many each has. Most are encoded together, as lines of one text."""
+        alone = [i for i, p in enumerate(pieces) if _ALONE.match(p)]
+        together = set(alone)
+        found: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(pieces)
+        groups = [alone[at : at + 1024] for at in range(0, len(alone), 1024)]
+        joined = ["\n" + "\n".join([pieces[i] for i in some]) + "\n" for some in groups]
+        for some, code in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.array(code.ids, np.uint32)
+            sizes = np.array([len(pieces[i].encode()) + 1 for i in some])
+            # The token of the line end before each piece, and the one behind the last.
+            marks = np.searchsorted(np.cumsum(self.lengths[ids]), 1 + np.concatenate(([0], np.cumsum(sizes)))).tolist()
+            for i, a, b in zip(some, marks[:-1], marks[1:], strict=True):
+                found[i] = ids[a + 1 : b]
+        others = [i for i in range(len(pieces)) if i not in together]
+        codes = self.tokenizer.encode_batch_fast([pieces[i] for i in others], add_special_tokens=False)
+        for i, code in zip(others, codes, strict=True):
+            found[i] = np.array(code.ids, np.uint32)
+        return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(f) for f in found], np.int64)
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where each text's begin (and the end)."""
+        starts = _cuts(data, offsets)
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        sizes = np.diff(np.append(starts, len(data)))
+        different, first, which = np.unique(words.range_hashes(data, starts, sizes), return_index=True, return_inverse=True)
+        if len(self.hashes) > REMEMBERED:
+            self._forget()
+        place = np.minimum(np.searchsorted(self.hashes, different), max(0, len(self.hashes) - 1))
+        known = self.hashes[place] == different if len(self.hashes) else np.zeros(len(different), bool)
+        new = np.flatnonzero(~known)
+        raw = data.tobytes()
+        begins, ends = starts[first[new]], starts[first[new]] + sizes[first[new]]
+        ids, count = self._fresh([raw[a:b].decode() for a, b in zip(begins.tolist(), ends.tolist(), strict=True)])
+        store = np.concatenate((self.ids, ids))
+        at, n = np.empty(len(different), np.int64), np.empty(len(different), np.int64)
+        at[known], n[known] = self.at[place[known]], self.count[place[known]]
+        at[new], n[new] = len(self.ids) + np.cumsum(count) - count, count
+        keep = new[sizes[first[new]] <= SHORT]
+        spot = np.searchsorted(self.hashes, different[keep])
+        self.hashes = np.insert(self.hashes, spot, different[keep])
+        self.at, self.count, self.ids = np.insert(self.at, spot, at[keep]), np.insert(self.count, spot, n[keep]), store
+        each = n[which]
+        upto = np.concatenate(([0], np.cumsum(each)))
+        out = store[np.repeat(at[which] - upto[:-1], each) + np.arange(upto[-1])]
+        return out, upto[np.searchsorted(starts, offsets)]
 
 
 _SEGMENT = pa.schema(
@@ -173,16 +229,16 @@ _SEGMENT = pa.schema(
 
 def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path), np.array([end_id], "<u4").tobytes()
+        encoder, end = Encoder(path), np.array([end_id], np.uint32)
         part, number, first = TaskContext.get().partitionId(), 0, 0
-        ids: list[bytes] = []
+        ids: list[np.ndarray] = []
         doc_ids: list[int | None] = []
         held = 0
 
         def segment() -> pa.RecordBatch:
             nonlocal number, first, held
-            lengths = [len(x) // 4 for x in ids]
-            data, starts = pack(np.frombuffer(b"".join(ids), "<u4"))
+            lengths = [len(x) for x in ids]
+            data, starts = pack(np.concatenate(ids))
             row = [part, number, first, held, doc_ids[:], lengths, starts, data]
             number, first, held = number + 1, first + held, 0
             ids.clear()
@@ -190,13 +246,14 @@ def _encode(path: str, end_id: int):
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _SEGMENT, strict=True)], schema=_SEGMENT)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
-                texts = [t or "" for t in some.column("text").to_pylist()]
-                for doc_id, code in zip(some.column("doc_id").to_pylist(), encoder(texts), strict=True):
-                    ids.append(code + end)
+            numbers = batch.column("doc_id").to_pylist()
+            for low, high, data, offsets in words.slices(batch.column("text")):
+                coded, begins = encoder(data, offsets)
+                for i, doc_id in enumerate(numbers[low:high]):
+                    own = np.append(coded[begins[i] : begins[i + 1]], end)
+                    ids.append(own)
                     doc_ids.append(doc_id)
-                    held += len(code) // 4 + 1
+                    held += len(own)
                     if held >= SEGMENT:
                         yield segment()
         if ids:

@@ -35,6 +35,7 @@ SPACED = ~((_BYTES == 0x20) | ((_BYTES >= 0x09) & (_BYTES <= 0x0D)))
 _LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES)
 LETTERS = (_BYTES >= 0x80) | ((_LOWER >= 97) & (_LOWER <= 122)) | ((_BYTES >= 48) & (_BYTES <= 57))
 _CODE = _numbers(1000, 256)[_LOWER]
+_EXACT = _numbers(2000, 256)
 _BASE = int(_numbers(7, 1)[0])
 
 
@@ -101,6 +102,15 @@ def word_hashes(
     return hashes, begins, np.where(stems == hashes, hashes, mix(stems))
 
 
+def range_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The hash of each range of bytes; ranges follow each other from the first to the end of ``data``."""
+    place = np.arange(starts[0], len(data)) - np.repeat(starts, sizes)
+    longest = int(sizes.max()) + 1
+    values = (_POWERS if longest <= len(_POWERS) else _powers(longest))[place]
+    values *= _EXACT[data[starts[0] :]]
+    return mix(np.add.reduceat(values, starts - starts[0]))
+
+
 def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """The hash of every run of ``n`` words (over the borders of texts too)."""
     count = max(0, len(words) - n + 1)

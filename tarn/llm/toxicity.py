@@ -85,7 +85,7 @@ class BlockMaxIndex:
         weights[model.columns, model.rows] = (1 + np.log(model.counts)) * idf[model.columns]
         norms = np.sqrt((weights**2).sum(axis=0))
         weights /= np.where(norms > 0, norms, 1)
-        self.weights = weights.reshape(len(idf), -1, BLOCK)
+        self.weights = weights.reshape(len(idf), n // BLOCK, BLOCK)
         self.most = self.weights.max(axis=2)
 
     def nearest(self, terms: np.ndarray, times: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

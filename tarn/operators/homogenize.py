@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tarn.functions import keys as K
 from tarn.functions import text as X
 from tarn.functions.unicode import decode_marked
-from tarn.operators.skew import join_unique
+from tarn.operators.skew import join_facts
 from tarn.sources.archives import with_members
 
 # Target extension and content type of each category.
@@ -47,7 +47,7 @@ def conversion_plan(objects: DataFrame, target: str, content_type: str) -> DataF
         F.count("*").alias("n_sources"), F.max("old_key").alias("winner")
     )
     return (
-        join_unique(listed.filter("convert"), claims, ["new_key"], ["old_key"])
+        join_facts(listed.filter("convert"), claims, ["new_key"])
         .select(
             "old_key",
             "new_key",

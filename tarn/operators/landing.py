@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from tarn.functions import keys as K
 from tarn.functions.text import strip
 from tarn.operators.ordinal import ordinal
-from tarn.operators.skew import join_unique
 
 # Fixed value: rows kept of each source table.
 HEAD_ROWS = 500
@@ -123,8 +122,10 @@ def fetch_outcomes(links: DataFrame, fetch_log: DataFrame) -> DataFrame:
     A link may repeat any number of times: the log side is unique, so the adaptive skew join can
     split a hot url's links.
     """
-    joined = links.join(fetch_log.select("url", "status", "error"), "url", "left")
     blank = F.col("url").isNull() | (F.col("url") == "")
+    # Blank links would all meet in one key; they need no look-up.
+    known = links.filter(~blank).join(fetch_log.select("url", "status", "error"), "url", "left")
+    joined = known.unionByName(links.filter(blank), allowMissingColumns=True)
     outcome = (
         F.when(blank, "skipped_empty")
         .when(F.col("status") == 404, "skipped_not_found")
@@ -163,13 +164,11 @@ def persistent_keys(
     in source-key order keeps their names apart.
     """
     named = objects.withColumn("ext", K.link_extension(F.col("key")))
-    placed = ordinal(named, ["key"], "place", within=["category", "ext"])
-    sizes = named.groupBy("category", "ext").agg(F.count("*").alias("same_name"))
+    placed = ordinal(named, ["key"], "place", ["category", "ext"], "same_name")
     stem = K.category_stem(F.col("category"))
     suffix = F.when(F.col("same_name") > 1, F.concat(F.lit("_"), F.col("place"))).otherwise("")
     return (
-        join_unique(placed, sizes, ["category", "ext"], ["key"])
-        .withColumn(
+        placed.withColumn(
             "dest_key",
             F.concat(
                 F.lit(dest), "category", F.lit("/"), stem, F.lit(f"_{ts_ms}"), suffix, F.lit("."), "ext"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tarn.functions.text import python_round
 from tarn.operators.ordinal import ordinal, running_total
-from tarn.operators.skew import join_unique
+from tarn.operators.skew import join_facts, null_safe
 
 # Pixel mode -> channels.
 CHANNELS_OF_MODE = {"RGB": 3, "RGBA": 4, "L": 1, "CMYK": 4}
@@ -262,26 +262,27 @@ def frame_sample(
     """At most ``max_frames`` evenly spaced frames of each video by 0-based ``frame_no``.
 
     ``total`` names a column with the video's frame count (NULL: unknown, take the first frames).
-    Without it the frames are counted and the counts are joined back, salted, so that a video with very
-    many frames is spread. Unreadable frames, with a NULL payload or embedding, drop out
+    Without it the frames are counted, the choice is made on their numbers alone, and only the chosen
+    frames are looked up, so no other payload moves. Unreadable frames, with a NULL payload or embedding, drop out
     after the choice.
     """
+    number = F.col("frame_no")
+
+    def chosen(counted: DataFrame, count: Column) -> DataFrame:
+        step = F.when(count > 0, F.greatest(F.lit(1), F.floor(count / max_frames))).otherwise(F.lit(1))
+        return counted.filter((number % step == 0) & (number < step * max_frames))
+
     if total is None:
         counts = frames.groupBy("video_id").agg(F.count("*").alias("_total"))
-        counted = join_unique(frames, counts, ["video_id"], ["frame_no"])
+        numbers = join_facts(frames.select("video_id", "frame_no").distinct(), counts, ["video_id"])
+        wanted = chosen(numbers, F.col("_total")).select("video_id", "frame_no")
+        sampled = frames.alias("f").join(wanted.alias("w"), null_safe("f", "w", ["video_id", "frame_no"]), "left_semi")
     else:
-        counted = frames.withColumn("_total", F.col(total))
-    step = F.when(
-        F.col("_total") > 0, F.greatest(F.lit(1), F.floor(F.col("_total") / max_frames))
-    ).otherwise(F.lit(1))
-    number = F.col("frame_no")
-    chosen = counted.withColumn("_step", step).filter(
-        (number % F.col("_step") == 0) & (number < F.col("_step") * max_frames)
-    )
+        sampled = chosen(frames, F.col(total))
     for payload in ("payload", "embedding"):
         if payload in frames.columns:
-            chosen = chosen.filter(F.col(payload).isNotNull())
-    return chosen.drop("_total", "_step")
+            sampled = sampled.filter(F.col(payload).isNotNull())
+    return sampled
 
 
 def before_after_profile(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarn.operators.skew import join_unique, null_safe
+from tarn.operators.skew import join_facts
 from tarn.session import checkpoint_root
 
 
@@ -42,19 +42,22 @@ def running_total(df: DataFrame, by: Sequence[str], weight: str, name: str) -> D
 
 
 def ordinal(
-    df: DataFrame, by: Sequence[str], name: str = "ordinal", within: Sequence[str] = ()
+    df: DataFrame,
+    by: Sequence[str],
+    name: str = "ordinal",
+    within: Sequence[str] = (),
+    size: str | None = None,
 ) -> DataFrame:
     """Add the 1-based position of every row in the order of ``by``, globally or inside ``within``.
 
-    ``within + by`` must identify a row. Only these key columns are sorted and written; the rest of the
-    row is joined back. A group may be of any size: its rows keep their share of the global order, and
-    the group's first position is subtracted.
+    Rows are range partitioned whole and written down once, so keys may repeat: rows of one key get
+    neighbouring positions. A group may be of any size: its rows keep their share of the global
+    order, and the group's first position is subtracted. ``size`` names a column for the group's rows.
     """
     keys = [*within, *by]
     checkpoint_root(df.sparkSession)
     placed = (
-        df.select(*keys)
-        .repartitionByRange(*(F.col(c).asc_nulls_first() for c in keys))
+        df.repartitionByRange(*(F.col(c).asc_nulls_first() for c in keys))
         .sortWithinPartitions(*(F.col(c).asc_nulls_first() for c in keys))
         # (partition << 33) + place inside the partition
         .withColumn("_row", F.monotonically_increasing_id())
@@ -69,18 +72,14 @@ def ordinal(
     offsets = sizes.select(
         "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
-    numbered = placed.join(F.broadcast(offsets), "_part").select(
-        *keys, (F.col("_offset") + F.col("_place") + 1).alias(name)
-    )
-    if within:
-        starts = numbered.groupBy(*within).agg(F.min(name).alias("_first"))
-        numbered = join_unique(numbered, starts, within, [name]).select(
-            *keys, (F.col(name) - F.col("_first") + 1).alias(name)
-        )
-    if set(df.columns) == set(keys):
-        return numbered.select(*df.columns, name)
-    return (
-        df.alias("d")
-        .join(numbered.alias("k"), null_safe("d", "k", keys))
-        .select("d.*", f"k.{name}")
+    numbered = (
+        placed.join(F.broadcast(offsets), "_part")
+        .withColumn(name, F.col("_offset") + F.col("_place") + 1)
+        .select(*df.columns, name)
     )
+    if not within:
+        return numbered
+    facts = numbered.groupBy(*within).agg(F.min(name).alias("_first"), F.count("*").alias("_rows"))
+    place = (F.col(name) - F.col("_first") + 1).alias(name)
+    more = [F.col("_rows").alias(size)] if size else []
+    return join_facts(numbered, facts, within).select(*df.columns, place, *more)

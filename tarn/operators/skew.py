@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Pieces a key's rows are spread over.
-SALTS = 32
-
 
 def null_safe(left: str, right: str, names: Sequence[str]) -> Column:
     """Equality of the named columns of two aliased frames, NULL being equal to NULL."""
@@ -19,19 +16,12 @@ def null_safe(left: str, right: str, names: Sequence[str]) -> Column:
     return condition
 
 
-def join_unique(
-    many: DataFrame, unique: DataFrame, on: Sequence[str], salt_by: Sequence[str], salts: int = SALTS
-) -> DataFrame:
-    """Inner join of a large frame to per-key facts with one short row per key.
+def join_facts(many: DataFrame, facts: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join of a large frame to per-key facts with one short row per key; NULL keys match.
 
-    A key's rows are spread by the hash of ``salt_by`` and its facts are copied to every piece, so no
-    task gets a whole hot key. Facts that turn out small at run time are broadcast by adaptive
-    execution instead. NULL keys match each other.
+    One side is unique, so the adaptive skew join may split a hot key's rows into as many tasks as
+    they need; facts that turn out small at run time are broadcast.
     """
-    facts = [c for c in unique.columns if c not in on]
-    spread = many.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
-    copied = unique.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = spread.alias("m").join(
-        copied.alias("u"), null_safe("m", "u", on) & (F.col("m._salt") == F.col("u._salt"))
-    )
-    return joined.select(*(f"m.`{c}`" for c in many.columns), *(f"u.`{c}`" for c in facts))
+    added = [c for c in facts.columns if c not in on]
+    joined = many.alias("m").join(facts.alias("u"), null_safe("m", "u", on))
+    return joined.select(*(f"m.`{c}`" for c in many.columns), *(f"u.`{c}`" for c in added))

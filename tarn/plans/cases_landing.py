@@ -46,7 +46,9 @@ def _projected(spark: SparkSession, sf: str) -> list[DataFrame]:
 
 
 def project_modalities(spark: SparkSession, sf: str) -> DataFrame:
-    return _projected(spark, sf)[0]
+    """Both sources under one schema."""
+    first, second = _projected(spark, sf)
+    return first.unionByName(second)
 
 
 def union_sources(spark: SparkSession, sf: str) -> DataFrame:
@@ -366,7 +368,7 @@ def _rtf_sql() -> str:
 
 CASES = {
     "source_head": (source_head, "SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT 500"),
-    "project_modalities": (project_modalities, f"WITH {V.GAMES_SQL} SELECT pos, text, image, video FROM games1"),
+    "project_modalities": (project_modalities, f"""WITH {V.GAMES_SQL} SELECT pos, text, image, video FROM games1 UNION ALL SELECT pos, text, image, video FROM games2"""),
     "union_sources": (
         union_sources,
         f"""WITH {V.GAMES_SQL} SELECT 1::BIGINT AS source_no, pos, md5(text) AS text_md5, image, video FROM games1

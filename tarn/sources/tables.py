@@ -52,7 +52,7 @@ def list_files(spark: SparkSession, root: str, bucket: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     return files.select(
         F.lit(bucket).alias("bucket"),
-        _relative(F.col("path"), root).alias("key"),
+        relative(F.col("path"), root).alias("key"),
         F.col("length").alias("size"),
         content_type_of(F.col("path")).alias("content_type"),
         F.col("modificationTime").alias("modified"),
@@ -63,11 +63,11 @@ def read_bodies(spark: SparkSession, root: str) -> DataFrame:
     """``(key, size, content)`` of the files below ``root``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     return files.select(
-        _relative(F.col("path"), root).alias("key"), F.col("length").alias("size"), "content"
+        relative(F.col("path"), root).alias("key"), F.col("length").alias("size"), "content"
     )
 
 
-def _relative(path: Column, root: str) -> Column:
+def relative(path: Column, root: str) -> Column:
     folder = root.split("://", 1)[-1].removeprefix("file:").rstrip("/") + "/"
     return F.substring_index(path, folder, -1)
 
@@ -84,5 +84,5 @@ def image_metadata(images: DataFrame, objects: DataFrame, root: str) -> DataFram
     """``(key, size, width, height, mode)`` of images decoded below ``root``, sizes from their manifest."""
     # The image source's codes for 8-bit grey, BGR and BGRA.
     mode = F.when(F.col("mode") == 0, "L").when(F.col("mode") == 16, "RGB").when(F.col("mode") == 24, "RGBA")
-    shown = images.select(_relative(F.col("origin"), root).alias("key"), "width", "height", mode.alias("mode"))
+    shown = images.select(relative(F.col("origin"), root).alias("key"), "width", "height", mode.alias("mode"))
     return shown.join(objects.select("key", "size"), "key")

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tarn.operators.landing import promote_landing
-from tarn.sources.tables import content_type_of
+from tarn.sources.tables import content_type_of, relative
 
 
 def object_stream(
@@ -22,7 +22,7 @@ def object_stream(
 
 
 def file_stream(spark: SparkSession, root: str, bucket: str = "landing-zone") -> DataFrame:
-    """Files arriving below ``root`` as objects with their bodies."""
+    """Files arriving below ``root`` as objects with their bodies; the key is the path below it."""
     schema = "path string, modificationTime timestamp, length long, content binary"
     files = (
         spark.readStream.format("binaryFile")
@@ -32,7 +32,7 @@ def file_stream(spark: SparkSession, root: str, bucket: str = "landing-zone") ->
     )
     return files.select(
         F.lit(bucket).alias("bucket"),
-        F.concat(F.lit("temporal-landing/"), F.substring_index("path", "/", -1)).alias("key"),
+        F.concat(F.lit("temporal-landing/"), relative(F.col("path"), root)).alias("key"),
         F.col("length").alias("size"),
         content_type_of(F.col("path")).alias("content_type"),
         "content",

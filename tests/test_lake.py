@@ -61,6 +61,17 @@ def test_ordinal_is_dense_and_ordered(spark):
         so_far += row["v"]
 
 
+def test_ordinal_numbers_repeated_keys_apart(spark):
+    rows = [(i % 5, f"v{i}") for i in range(40)] + [(None, "n")] * 3
+    df = spark.createDataFrame(rows, "k int, v string").repartition(5)
+    got = ordinal(df, ["k"]).collect()
+    assert sorted(r["ordinal"] for r in got) == list(range(1, 44))
+    assert [r["k"] for r in sorted(got, key=lambda r: r["ordinal"])] == [None] * 3 + [i for i in range(5) for _ in range(8)]
+    inside = ordinal(df, ["v"], "n", ["k"], "size").collect()
+    assert len(inside) == 43 and {r["size"] for r in inside if r["k"] == 1} == {8}
+    assert sorted(r["n"] for r in inside if r["k"] is None) == [1, 2, 3]
+
+
 def test_ordinal_keeps_null_keys(spark):
     df = spark.createDataFrame([(None, "a"), ("x", "b"), ("y", "c")], "k string, v string")
     assert {r["v"]: r["ordinal"] for r in ordinal(df, ["k"]).collect()} == {"a": 1, "b": 2, "c": 3}
@@ -391,3 +402,19 @@ def test_binary_file_stream(spark, tmp_path):
     promote_landing_stream(file_stream(spark, str(source)), dest, str(tmp_path / "p"), 7).awaitTermination()
     got = {(r["key"], r["category"], bytes(r["content"])) for r in spark.read.parquet(dest).collect()}
     assert got == {("temporal-landing/a.txt", "texts", b"hello"), ("temporal-landing/b.png", "images", b"123")}
+
+
+def test_streamed_files_are_keyed_below_the_root(spark, tmp_path):
+    from tarn.streaming.drain import file_stream, promote_landing_stream
+
+    for name in ("u/a.txt", "v/a.txt"):
+        (tmp_path / "in" / name).parent.mkdir(parents=True)
+        (tmp_path / "in" / name).write_text(name)
+    stream = file_stream(spark, str(tmp_path / "in"))
+    promote_landing_stream(stream, str(tmp_path / "out"), str(tmp_path / "mark"), 7).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "out" / "batch=0")).collect()
+    assert sorted((r["key"], bytes(r["content"]).decode()) for r in rows) == [
+        ("temporal-landing/u/a.txt", "u/a.txt"),
+        ("temporal-landing/v/a.txt", "v/a.txt"),
+    ]
+    assert len({r["dest_key"] for r in rows}) == 2

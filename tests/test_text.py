@@ -40,15 +40,31 @@ ODD_TEXTS = [
 ]
 
 
-def test_strip_and_spacing(spark):
-    def norm(s):
-        s = s.replace("\r\n", "\n").replace("\r", "\n").strip()
-        return re.sub(r"\n{3,}", "\n\n", s)
+# What spacing rules leave of ODD_TEXTS, written out by hand.
+SPACED = [
+    "",
+    "",
+    "plain text",
+    "a\nb\nc\n\nd",
+    "padded",
+    "tab\tand\x0bvt\x0cff",
+    "bell\x07 zero\u200bwidth \ufeff bom",
+    ODD_TEXTS[7],
+    ODD_TEXTS[8],
+    ODD_TEXTS[9],
+    ODD_TEXTS[10].strip(),
+    "a b \x00 c",
+    "line one \n  \n\n line\t\t two",
+    "no space.at all?yes",
+    ODD_TEXTS[14],
+]
 
-    assert apply(spark, X.normalize_spacing, ODD_TEXTS) == [norm(t) for t in ODD_TEXTS]
-    assert apply(spark, X.normalize_spacing, [None]) == [""]
+
+def test_strip_and_spacing(spark):
     once = apply(spark, X.normalize_spacing, ODD_TEXTS)
+    assert once == SPACED
     assert apply(spark, X.normalize_spacing, once) == once
+    assert apply(spark, X.normalize_spacing, [None]) == [""]
 
 
 def test_line_count_matches_splitlines(spark):
@@ -122,62 +138,59 @@ def test_final_scrub(spark):
     assert apply(spark, lambda t: X.final_scrub(t, True), ["é✨\x07"]) == ["é  "]
 
 
-def brute_sentences(text):
-    out = []
-    for line in re.sub(r"\r\n?", "\n", text).strip().split("\n"):
-        line = re.sub(r"\s+", " ", line).strip()
-        if line:
-            out += [s for s in re.split("(?<=[.?!。！？])\\s+", line) if s.strip()]
-    return out
+# The sentences of ODD_TEXTS, written out by hand.
+SENTENCES = [
+    [],
+    [],
+    ["plain text"],
+    ["a", "b", "c", "d"],
+    ["padded"],
+    ["tab and vt ff"],
+    ["bell\x07 zero\u200bwidth \ufeff bom"],
+    [ODD_TEXTS[7]],
+    [ODD_TEXTS[8]],
+    ["one.", "two!", "three?", "four。", "five！", "six"],
+    ["x y z w v"],
+    ["a b \x00 c"],
+    ["line one", "line two"],
+    ["no space.at all?yes"],
+    [ODD_TEXTS[14]],
+]
 
 
 def test_split_sentences(spark):
-    assert apply(spark, X.split_sentences, ODD_TEXTS) == [brute_sentences(t) for t in ODD_TEXTS]
-
-
-def brute_chunks(text, budget, stride):
-    """Straight reading of the packing rules."""
-    chunks, open_, filled = [], [], 0
-
-    def flush():
-        nonlocal open_, filled
-        if open_:
-            joined = " ".join(open_)
-            chunks.append((joined, len(joined.split())))
-        open_, filled = [], 0
-
-    for sentence in brute_sentences(text):
-        tokens = sentence.split(" ")
-        if len(tokens) > budget:
-            flush()
-            start = 0
-            while True:
-                end = min(start + budget, len(tokens))
-                chunks.append((" ".join(tokens[start:end]), end - start))
-                if end == len(tokens):
-                    break
-                start = max(end - stride, start + 1)
-            continue
-        if filled + len(tokens) > budget:
-            flush()
-        open_.append(sentence)
-        filled += len(tokens)
-    flush()
-    return chunks
-
-
-@pytest.mark.parametrize("max_tokens,stride", [(7, 2), (5, 9), (12, 0), (3, 1)])
-def test_chunks(spark, max_tokens, stride):
-    texts = [
-        "",
-        "One two. Three four five six. Seven!",
-        "a b c d e f g h i j k l m n o p. Short one. " + "w " * 30 + "end. Last.",
-        "x. " * 25,
-        "exactly five words are here. exactly five words are here.",
+    assert apply(spark, X.split_sentences, ODD_TEXTS) == SENTENCES
+
+
+def test_chunks_written_out(spark):
+    texts = ["", "One two. Three four five six. Seven!", "a b c d e f g h. Short one.", "x. x. x. x."]
+    got = apply(spark, lambda t: C.chunk_text(t, 7, 2), texts)
+    assert [[(c["text"], c["n_tokens"]) for c in row] for row in got] == [
+        [],
+        [("One two.", 2), ("Three four five six. Seven!", 5)],
+        [("a b c d e", 5), ("d e f g h.", 5), ("Short one.", 2)],
+        [("x. x. x. x.", 4)],
     ]
-    got = apply(spark, lambda t: C.chunk_text(t, max_tokens, stride), texts)
-    want = [brute_chunks(t, max_tokens - 2, stride) for t in texts]
-    assert [[(c["text"], c["n_tokens"]) for c in row] for row in got] == want
+
+
+@pytest.mark.parametrize("max_tokens,stride", [(7, 2), (5, 2), (12, 0), (3, 0)])
+def test_chunks_are_greedy_and_lose_nothing(spark, max_tokens, stride):
+    """Distinct words tell where each token of a chunk comes from."""
+    budget, lengths = max_tokens - 2, [2, 4, 1, 31, 3, 3, 1, 1, 1, 14, 1]
+    number = iter(range(1000))
+    sentences = [[f"w{next(number)}" for _ in range(n)] for n in lengths]
+    owner = {w: i for i, words in enumerate(sentences) for w in words}
+    text = " ".join(" ".join(words) + "." for words in sentences)
+    chunks = [c["text"].replace(".", "").split() for c in apply(spark, lambda t: C.chunk_text(t, max_tokens, stride), [text])[0]]
+    assert all(len(c) <= budget for c in chunks)
+    assert list(dict.fromkeys(w for c in chunks for w in c)) == [w for words in sentences for w in words]
+    for one, other in zip(chunks, chunks[1:], strict=False):
+        shared = [w for w in one if w in other]
+        inside_long = owner[one[-1]] == owner[other[0]] and len(sentences[owner[other[0]]]) > budget
+        assert len(shared) == (stride if inside_long else 0)
+        if not inside_long:  # the next sentence would not have fitted, or a long one stands alone
+            following = len(sentences[owner[other[0]]])
+            assert len(one) + following > budget or len(sentences[owner[one[0]]]) > budget
 
 
 def test_chunk_budget_must_be_positive():

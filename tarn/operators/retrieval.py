@@ -12,7 +12,6 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tarn.functions import keys as K
 from tarn.functions import vectors as V
 from tarn.functions.encoders import as_matrix
 from tarn.operators.hold import hold
@@ -20,19 +19,14 @@ from tarn.session import checkpoint_root
 
 # Defaults of the searches.
 NEIGHBOURS = 5
-CANDIDATES = 2000
 MODALITIES = ("text", "image", "video")
 
 # Largest set of query vectors that is sent to every task, in bytes of doubles.
 QUERY_BYTES = 32 << 20
-# Query sets up to this size are fetched in one go.
-_FEW_QUERIES = 1024
 # Kept hits per task: queries x k.
 TASK_HITS = 1_000_000
 # Collection rows measured at once inside a task.
 _ROWS_AT_ONCE = 4096
-# Tasks that scan a collection, or four per core if that is more; each hands on k hits per query.
-SCAN_TASKS = 4096
 # Groups between the tasks' hits and the final ranking of a query.
 MERGE_GROUPS = 64
 
@@ -62,8 +56,8 @@ def _exact(query: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
         return 1.0 - products / (np.sqrt((query**2).sum()) * np.sqrt((rows**2).sum(axis=1)))
 
 
-def _scan(query_ids: list[str], queries: np.ndarray, k: int, metric: str, exclude_self: bool):
-    """Per task: the k nearest rows of each query, kept while the rows stream by."""
+def _scan(query_ids: list[str], queries: np.ndarray, k: int, metric: str, exclude_self: bool, per_modality: bool):
+    """Per task: the k nearest rows of each query (and modality), kept while the rows stream by."""
     from pyspark import TaskContext
 
     names = list(query_ids)
@@ -71,8 +65,8 @@ def _scan(query_ids: list[str], queries: np.ndarray, k: int, metric: str, exclud
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         group = context.partitionId() % MERGE_GROUPS if context else 0
-        best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(names)
-        limit = np.full(len(names), np.inf)
+        # (query, kind of rows) -> distances and labels of the rows kept
+        best: dict[tuple[int, str | None], tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
                 part = batch.slice(start, _ROWS_AT_ONCE)
@@ -80,48 +74,54 @@ def _scan(query_ids: list[str], queries: np.ndarray, k: int, metric: str, exclud
                 if rows.shape[1] != queries.shape[1]:
                     raise ValueError("query and collection vectors differ in width")
                 labels = [part.column(name) for name in ("id", "document", "modality")]
+                kinds = [(None, np.arange(len(rows)))]
+                if per_modality:
+                    own_kind = labels[2].to_numpy(zero_copy_only=False)
+                    present = pc.unique(labels[2]).to_pylist()
+                    kinds = [(kind, np.flatnonzero(own_kind == kind)) for kind in present]
                 rough = _pairwise(queries, rows, metric)
                 # Above the rounding error of the matrix product.
                 slack = 1e-12 * (1.0 + (queries**2).sum(axis=1).max() + (rows**2).sum(axis=1).max())
                 for q, name in enumerate(names):
-                    line = rough[q]
+                    others = None
                     if exclude_self:
-                        own = pc.equal(labels[0], name).to_numpy(zero_copy_only=False)
-                        line = np.where(own, np.inf, line)
-                    # Rows within rounding of the k-th are kept for the exact comparison.
-                    bound = limit[q]
-                    if bound == np.inf and len(line) > k:
-                        bound = np.partition(line, k)[k]
-                    near = np.flatnonzero(~(line > bound + slack))
-                    if exclude_self:
-                        near = near[~own[near]]
-                    if len(near) == 0:
-                        continue
-                    distances = _exact(queries[q], rows[near], metric)
-                    taken = pa.array(near)
-                    found = np.column_stack(
-                        [label.take(taken).to_numpy(zero_copy_only=False) for label in labels]
-                    )
-                    if best[q] is not None:
-                        distances = np.concatenate([best[q][0], distances])
-                        found = np.concatenate([best[q][1], found])
-                    order = np.lexsort((found[:, 0].astype(str), distances))[:k]
-                    best[q] = (distances[order], found[order])
-                    if len(order) == k:
-                        limit[q] = distances[order[-1]]
-        for q, kept in enumerate(best):
-            if kept is not None:
-                distances, found = kept
-                n = len(distances)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([names[q]] * n, pa.string()),
-                        *(pa.array(found[:, column].tolist(), pa.string()) for column in range(3)),
-                        pa.array(distances, pa.float64()),
-                        pa.array(np.full(n, group, dtype=np.int32)),
-                    ],
-                    names=["query_id", "id", "document", "modality", "distance", "scan_group"],
-                )
+                        others = ~pc.equal(labels[0], name).to_numpy(zero_copy_only=False)
+                    for kind, members in kinds:
+                        if others is not None:
+                            members = members[others[members]]
+                        line = rough[q, members]
+                        kept = best.get((q, kind))
+                        bound = kept[0][-1] if kept is not None and len(kept[0]) == k else np.inf
+                        if bound == np.inf and len(line) > k:
+                            bound = np.partition(line, k)[k]
+                        # Rows within rounding of the k-th are kept for the exact comparison.
+                        near = members[~(line > bound + slack)]
+                        distances = _exact(queries[q], rows[near], metric)
+                        # The cosine of a zero vector is not defined, and such a row is no hit.
+                        known = ~np.isnan(distances)
+                        near, distances = near[known], distances[known]
+                        if len(near) == 0:
+                            continue
+                        taken = pa.array(near)
+                        found = np.column_stack(
+                            [label.take(taken).to_numpy(zero_copy_only=False) for label in labels]
+                        )
+                        if kept is not None:
+                            distances = np.concatenate([kept[0], distances])
+                            found = np.concatenate([kept[1], found])
+                        order = np.lexsort((found[:, 0].astype(str), distances))[:k]
+                        best[q, kind] = (distances[order], found[order])
+        for (q, _), (distances, found) in best.items():
+            n = len(distances)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([names[q]] * n, pa.string()),
+                    *(pa.array(found[:, column].tolist(), pa.string()) for column in range(3)),
+                    pa.array(distances, pa.float64()),
+                    pa.array(np.full(n, group, dtype=np.int32)),
+                ],
+                names=["query_id", "id", "document", "modality", "distance", "scan_group"],
+            )
 
     return run
 
@@ -142,53 +142,54 @@ def knn(
     metric: str = "l2",
     exclude_self: bool = False,
     query_bytes: int = QUERY_BYTES,
+    per_modality: bool = False,
 ) -> DataFrame:
-    """Exact k nearest rows of every query ``(query_id, embedding)``.
+    """Exact k nearest rows of every query ``(query_id, embedding)``, or of every query and modality.
 
-    The collection is scanned in place and never shuffled: a task keeps k hits per query. The hits are
-    merged in two steps, by query and scan group and then by query. Queries travel to the tasks in
-    blocks of a checked size; more queries than one block holds mean further scans.
+    The collection is scanned in place and never shuffled: a task keeps k hits per query (and modality). The
+    hits are merged in two steps, by query and scan group and then by query. The queries are written down once and
+    travel to the tasks in blocks of a checked size: all in one scan up to ``query_bytes``, one more scan for each
+    further block. NULL vectors on either side are left out, and so is a zero vector under
+    ``cosine``, whose distance is not defined.
     """
     if metric not in V.METRICS:
         raise ValueError(f"unknown metric {metric!r}; choose from {V.METRICS}")
-    tasks = max(SCAN_TASKS, 4 * collection.sparkSession.sparkContext.defaultParallelism)
-    scan = collection.select("id", "document", "modality", "embedding").coalesce(tasks)
+    scan = collection.select("id", "document", "modality", "embedding").filter(F.col("embedding").isNotNull())
     hits = None
     for block in _query_blocks(queries, k, query_bytes):
         names = [row["query_id"] for row in block]
         matrix = np.array([row["v"] for row in block], dtype=np.float64)
-        part = scan.mapInArrow(_scan(names, matrix, k, metric, exclude_self), _HITS)
+        part = scan.mapInArrow(_scan(names, matrix, k, metric, exclude_self, per_modality), _HITS)
         hits = part if hits is None else hits.unionByName(part)
     if hits is None:
         hits = collection.sparkSession.createDataFrame([], _HITS)
-    return _ranked(hits, k)
+    return _ranked(hits, k, ["modality"] if per_modality else [])
 
 
 def _query_blocks(queries: DataFrame, k: int, query_bytes: int) -> Iterator[list[Row]]:
-    """Query vectors in blocks of at most ``query_bytes`` of doubles and ``TASK_HITS`` hits."""
-    plain = queries.select("query_id", V.as_double(F.col("embedding")).alias("v"))
-    first = plain.limit(_FEW_QUERIES + 1).collect()
-    if not first:
-        return
-    limit = max(1, min(query_bytes // (8 * len(first[0]["v"])), TASK_HITS // k))
-    if len(first) <= min(limit, _FEW_QUERIES):
-        yield first
+    """Query vectors in blocks of about ``query_bytes`` of doubles and ``TASK_HITS`` hits."""
+    checkpoint_root(queries.sparkSession)
+    plain = (
+        queries.filter(F.col("embedding").isNotNull())
+        .select("query_id", V.as_double(F.col("embedding")).alias("v"))
+        .withColumn("_row", F.monotonically_increasing_id())
+        .checkpoint()
+    )
+    size = plain.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first()
+    if not size["n"]:
         return
-    # Half-filled blocks on average: hashing spreads the ids evenly, so none comes near the limit
-    # unless ids repeat.
-    blocks = -(-2 * plain.count() // limit)
-    place = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    limit = max(1, min(query_bytes // (8 * max(1, size["width"])), TASK_HITS // k))
+    # Rows are dealt by hash of their number, so also repeated ids spread over the blocks.
+    blocks = 1 if size["n"] <= limit else -(-2 * size["n"] // limit)
     for block in range(blocks):
-        rows = plain.filter(place == block).limit(4 * limit + 1).collect()
-        if len(rows) > 4 * limit:
-            raise ValueError("query ids repeat too often to be split into blocks")
+        rows = plain.filter(F.pmod(F.xxhash64("_row"), F.lit(blocks)) == block).collect()
         if rows:
             yield rows
 
 
-def _ranked(hits: DataFrame, k: int) -> DataFrame:
-    merged = top_k(hits, k, ["query_id", "scan_group"], "_place")
-    return top_k(merged, k, ["query_id"]).select(
+def _ranked(hits: DataFrame, k: int, within: Sequence[str] = ()) -> DataFrame:
+    merged = top_k(hits, k, ["query_id", *within, "scan_group"], "_place")
+    return top_k(merged, k, ["query_id", *within]).select(
         "query_id",
         "rank",
         "id",
@@ -298,13 +299,20 @@ def cross_modal_search(
     queries: DataFrame,
     collection: DataFrame,
     k: int = NEIGHBOURS,
-    candidates: int = CANDIDATES,
+    candidates: int | None = None,
     videos: bool = False,
     metric: str = "l2",
 ) -> DataFrame:
-    """Nearest candidates over all modalities, then a quota of k for each modality shown."""
+    """The k nearest rows of each modality shown.
+
+    The scan keeps k rows per query and modality, so no modality is lost behind another. With ``candidates``, only that
+    many nearest rows over all modalities are considered.
+    """
     modalities = MODALITIES if videos else MODALITIES[:2]
-    return quota_topk(knn(queries, collection, candidates, metric), k, modalities)
+    if candidates is not None:
+        return quota_topk(knn(queries, collection, candidates, metric), k, modalities)
+    shown = collection.filter(F.col("modality").isin(*modalities))
+    return quota_topk(knn(queries, shown, k, metric, per_modality=True), k, modalities)
 
 
 def exclude_self(hits: DataFrame, k: int | None = None) -> DataFrame:
@@ -324,18 +332,6 @@ def hydrate_hits(hits: DataFrame, objects: DataFrame, bucket: str = "trusted-zon
     return hits.withColumn("key", key).join(objects, "key", "left")
 
 
-def with_distance(pairs: DataFrame, left: str, right: str, metric: str = "l2") -> DataFrame:
-    """Distance and similarity of two vector columns."""
-    apart = V.distance(F.col(left), F.col(right), metric)
-    return pairs.withColumn("distance", apart).withColumn(
-        "similarity", V.similarity(F.col("distance"))
-    )
-
-
-def with_modality(collection: DataFrame) -> DataFrame:
-    return collection.withColumn("modality", K.modality_of(F.col("document")))
-
-
 def cosine(distance: str = "distance") -> Column:
     """True cosine of unit vectors from the squared Euclidean distance."""
     return V.cosine_of_l2(F.col(distance))

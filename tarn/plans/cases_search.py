@@ -73,7 +73,7 @@ def knn_approx(spark: SparkSession, sf: str) -> DataFrame:
 
 def quota_topk(spark: SparkSession, sf: str) -> DataFrame:
     """Only texts and images are shown: a video query without the videos."""
-    hits = R.knn(_videos(spark, sf), V.vectors(spark, sf), R.CANDIDATES)
+    hits = R.knn(_videos(spark, sf), V.vectors(spark, sf), per_modality=True)
     return _shown(R.quota_topk(hits), "modality_rank")
 
 
@@ -96,7 +96,7 @@ def text_search(spark: SparkSession, sf: str) -> DataFrame:
         "embedding",
     )
     return R.knn(queries, documents).select(
-        "query_id", "rank", F.round("distance", 6).alias("distance")
+        "query_id", "rank", "id", F.round("distance", 6).alias("distance")
     )
 
 
@@ -134,11 +134,11 @@ _POOLED_QUERIES = f"""{V.VECTORS_SQL}, {mean_sql('pooled', 'vectors', 'modality,
 queries AS (SELECT modality || '-' || label AS query_id, ({V.unit_sql('raw')})::FLOAT[] AS embedding FROM pooled)"""
 
 
-def _ranked(k: int, distance_: str = _DIST, collection: str = "vectors") -> str:
+def _ranked(k: int | None, distance_: str = _DIST, collection: str = "vectors") -> str:
     return f"""
 pairs AS (SELECT q.query_id, v.id, v.document, v.modality, {distance_} AS distance FROM queries q, {collection} v),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM pairs),
-hits AS (SELECT * FROM ranked WHERE rank <= {k})"""
+hits AS (SELECT * FROM ranked{f' WHERE rank <= {k}' if k else ''})"""
 
 
 def _quota(modalities: str) -> str:
@@ -170,12 +170,12 @@ CASES = {
     "knn_approx": (knn_approx, None),
     "quota_topk": (
         quota_topk,
-        f"""WITH {V.VECTORS_SQL}, {_VIDEO_QUERIES}, {_ranked(2000)}, {_quota("'text', 'image'")}
+        f"""WITH {V.VECTORS_SQL}, {_VIDEO_QUERIES}, {_ranked(None)}, {_quota("'text', 'image'")}
         SELECT {_COLUMNS}, modality_rank::INT AS modality_rank FROM shown""",
     ),
     "cross_modal_search": (
         cross_modal_search,
-        f"""WITH {_POOLED_QUERIES}, {_ranked(2000)}, {_quota("'text', 'image', 'video'")}
+        f"""WITH {_POOLED_QUERIES}, {_ranked(None)}, {_quota("'text', 'image', 'video'")}
         SELECT {_COLUMNS}, modality_rank::INT AS modality_rank FROM shown""",
     ),
     "text_search": (
@@ -184,11 +184,11 @@ CASES = {
         {HASHED_SQL.format(name='hashed_items', source='items', dim=64)}, {HASHED_SQL.format(name='hashed_docs', source='docs', dim=64)},
         queries AS (SELECT key AS query_id, ({V.unit_sql('raw')})::FLOAT[] AS embedding FROM hashed_items),
         collection AS (SELECT key AS id, '' AS document, 'text' AS modality, ({V.unit_sql('raw')})::FLOAT[] AS embedding FROM hashed_docs),
-        {_ranked(5, collection='collection')} SELECT query_id, rank::INT AS rank, round(distance, 6) AS distance FROM hits""",
+        {_ranked(5, collection='collection')} SELECT query_id, rank::INT AS rank, id, round(distance, 6) AS distance FROM hits""",
     ),
     "hydrate_hits": (
         hydrate_hits,
-        f"""WITH {_POOLED_QUERIES}, {_ranked(2000)}, {_quota("'text', 'image'")}
+        f"""WITH {_POOLED_QUERIES}, {_ranked(None)}, {_quota("'text', 'image'")}
         SELECT query_id, s.id, replace(s.document, 'trusted-zone/', '') AS key, md5(d.text) AS text_md5
         FROM shown s LEFT JOIN documents d ON replace(s.document, 'trusted-zone/', '') = 'texts/' || d.doc_id || '.txt'""",
     ),

@@ -88,7 +88,7 @@ def search(
     queries: DataFrame,
     objects: DataFrame | None = None,
     k: int = R.NEIGHBOURS,
-    candidates: int = R.CANDIDATES,
+    candidates: int | None = None,
     videos: bool = False,
 ) -> DataFrame:
     """Quota of nearest objects per modality for query vectors, with their bodies if given."""

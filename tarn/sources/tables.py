@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # File extension -> content type, where a listing carries none.
 CONTENT_TYPES = {
@@ -26,18 +25,6 @@ CONTENT_TYPES = {
 }
 
 
-def read_source(
-    spark: SparkSession, path: str, kind: str = "parquet", schema: T.StructType | str | None = None
-) -> DataFrame:
-    """A source table from parquet, csv or json; text formats need their schema."""
-    if kind == "parquet":
-        return spark.read.parquet(path)
-    if schema is None:
-        raise ValueError(f"a {kind} source needs a schema")
-    reader = spark.read.schema(schema)
-    return reader.csv(path, header=True, multiLine=True, escape='"') if kind == "csv" else reader.json(path)
-
-
 def content_type_of(key: Column) -> Column:
     pairs = [F.lit(part) for pair in CONTENT_TYPES.items() for part in pair]
     ext = F.lower(F.substring_index(key, ".", -1))

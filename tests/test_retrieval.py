@@ -108,6 +108,33 @@ def test_quota(spark, data):
         assert ranked(hits) == want
 
 
+def test_no_modality_is_lost_behind_another(spark):
+    random = np.random.default_rng(8)
+    near, far = random.normal(size=(2500, 6)) * 0.01, random.normal(size=(2, 6)) + 50
+    rows = [(f"t{i}", "d", "text", v.tolist()) for i, v in enumerate(near)] + [(f"i{i}", "d", "image", v.tolist()) for i, v in enumerate(far)]
+    stored = spark.createDataFrame(rows, "id string, document string, modality string, embedding array<double>").repartition(5)
+    hits = R.cross_modal_search(asked(spark, np.zeros((1, 6))), stored).collect()
+    assert [r["modality"] for r in sorted(hits, key=lambda r: r["rank"])] == ["text"] * 5 + ["image"] * 2
+    apart = {r["id"]: r["distance"] for r in hits}
+    assert apart["i0"] == pytest.approx((far[0] ** 2).sum()) and set(apart) >= {"i0", "i1"}
+
+
+def test_null_and_zero_vectors_are_no_hits(spark, data):
+    queries, matrix = data
+    odd = spark.createDataFrame([("null", "d", "text", None), ("zero", "d", "text", [0.0] * 8)], collection(spark, matrix).schema)
+    stored = collection(spark, matrix).unionByName(odd)
+    more = asked(spark, queries).unionByName(spark.createDataFrame([("nothing", None)], "query_id string, embedding array<double>"))
+    assert ranked(R.knn(more, stored, 1000, "cosine")) == brute(queries, matrix, 1000, "cosine")
+    assert "zero" in ranked(R.knn(more, stored, 1000))["q0"] and "null" not in ranked(R.knn(more, stored, 1000))["q0"]
+
+
+def test_repeated_query_ids_in_blocks(spark, data):
+    queries, matrix = data
+    same = asked(spark, np.repeat(queries[:1], 60, axis=0)).withColumn("query_id", F.lit("q0"))
+    got = R.knn(same, collection(spark, matrix), 3, query_bytes=5 * 8 * 8)
+    assert got.select("query_id").distinct().count() == 1
+
+
 @pytest.mark.parametrize("broadcast_bytes", [32 << 20, 1024])
 def test_approximate_search(spark, data, broadcast_bytes):
     queries, matrix = data

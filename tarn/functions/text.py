@@ -116,8 +116,9 @@ def html_pages_to_text(pages: Column) -> Column:
     """Text of an array of pages, each trimmed, with blank lines between.
 
     Arrow functions cannot run inside a lambda, so the character references of all pages are resolved
-    in one string, with NUL, which no page's text holds, between them.
+    in one string with NUL between them. A page's own NULs are left out.
     """
+    pages = F.transform(pages, lambda page: F.replace(page, F.lit("\x00"), F.lit("")))
     joined = unescape_html(
         F.array_join(F.transform(pages, visible_markup), "\x00"), F.array_join(pages, "\x00")
     )

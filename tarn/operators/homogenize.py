@@ -116,11 +116,16 @@ def paragraph_join(blocks: DataFrame) -> DataFrame:
     )
 
 
+# The control characters of Latin-1 that are signs in Windows-1252, and these.
+_SIGNS = [bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)]
+_CP1252 = ("".join(chr(0x80 + i) for i, sign in enumerate(_SIGNS) if sign), "".join(_SIGNS))
+
+
 def transcode_utf8(bodies: DataFrame) -> DataFrame:
     """UTF-8 text of plain bodies ``(key, content)`` with the encoding found and the outcome.
 
     Byte-order marks decide first, then validity as UTF-8; what remains is read as Latin-1, in which
-    every byte sequence is valid. Marks are dropped.
+    every byte sequence is valid, with the quotes and signs that Windows-1252 has among its controls. Marks are dropped.
     """
     content = F.col("content")
     mark = F.hex(F.substring(content, 1, 3))
@@ -137,7 +142,7 @@ def transcode_utf8(bodies: DataFrame) -> DataFrame:
     text = (
         F.when(F.col("encoding").isin("empty", "ascii", "utf-8"), plain)
         .when(marked, decode_marked(content, marked))
-        .otherwise(F.decode(content, "ISO-8859-1"))
+        .otherwise(F.translate(F.decode(content, "ISO-8859-1"), *_CP1252))
     )
     outcome = F.when(
         F.col("encoding").isin("empty", "ascii", "utf-8"), "already_utf8"

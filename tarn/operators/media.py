@@ -205,27 +205,26 @@ def distinct_modes(profile: DataFrame, column: str = "mode") -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = BINS) -> DataFrame:
     """Equal-width bins ``(bin, lower, upper, n)`` over the column's range, the last one closed.
 
-    NULLs are left out and empty bins are reported. The range is a scalar subquery: one value, known
-    before the second scan.
+    NULLs are left out and empty bins are reported. The range is one row, known before the second scan and
+    sent to its tasks.
     """
-    values = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    span = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("span"))
-    ranged = values.withColumn("span", span.scalar())
-    lo, hi = F.col("span.lo"), F.col("span.hi")
+    values = df.select(F.col(column).cast("double").alias("x"))
+    ends = values.agg(F.min("x").alias("low"), F.max("x").alias("high")).filter(F.col("low").isNotNull())
     # A single value gets the unit range around it.
-    lo, hi = F.when(lo == hi, lo - 0.5).otherwise(lo), F.when(lo == hi, hi + 0.5).otherwise(hi)
-    place = F.least(F.floor((F.col("x") - lo) / ((hi - lo) / bins)), F.lit(bins - 1))
-    filled = ranged.select(place.alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
+    alone = F.col("low") == F.col("high")
+    span = ends.select(
+        F.when(alone, F.col("low") - 0.5).otherwise(F.col("low")).alias("lo"),
+        F.when(alone, F.col("high") + 0.5).otherwise(F.col("high")).alias("hi"),
+    )
+    width = (F.col("hi") - F.col("lo")) / bins
+    at = F.floor((F.col("x") - F.col("lo")) / width)
+    place = F.when(at < bins, at).when(at >= bins, F.lit(bins - 1))
+    filled = values.join(F.broadcast(span)).groupBy(place.alias("bin")).agg(F.count("*").alias("n"))
     edges = (
         df.sparkSession.range(bins)
         .withColumnRenamed("id", "bin")
-        .withColumn("span", span.scalar())
-        .select(
-            "bin",
-            (lo + F.col("bin") * ((hi - lo) / bins)).alias("lower"),
-            (lo + (F.col("bin") + 1) * ((hi - lo) / bins)).alias("upper"),
-        )
-        .filter(F.col("lower").isNotNull())
+        .join(F.broadcast(span))
+        .select("bin", (F.col("lo") + F.col("bin") * width).alias("lower"), (F.col("lo") + (F.col("bin") + 1) * width).alias("upper"))
     )
     return edges.join(filled, "bin", "left").select(
         "bin", "lower", "upper", F.coalesce("n", F.lit(0)).alias("n")

@@ -17,16 +17,27 @@ from tarn.sources.snapshots import Snapshots
 def drain_landing(zone: Snapshots, ts_ms: int) -> DataFrame:
     """Move everything staged in ``temporal`` to ``persistent``, by batch and category.
 
-    A batch owns its partitions: nothing moved earlier is read or written again, and a repeated drain
-    with the same stamp replaces its own output. The staging area is emptied by its next snapshot,
-    after the move is written. Folder marks stay.
+    The moved rows carry the version of the staging area they were read from. A drain that stopped before it emptied
+    the staging area finds that version moved and only empties it. What is emptied is what was moved:
+    objects staged meanwhile, and folder marks, stay in the newest version.
     """
-    staged = zone.read("temporal")
-    moved = L.promote_landing(staged, ts_ms).withColumn("batch", F.lit(ts_ms).cast("long"))
-    written = zone.put_partitions("persistent", moved, ("batch", "category"))
-    left = staged.filter(K.is_placeholder(F.col("key"), F.col("size")))
+    version = zone.version("temporal")
+    drained = ".".join(map(str, version))
+    staged = zone.read("temporal", version)
+    gone = L.drop_placeholders(staged).select("key").distinct()
+    known = zone.read("persistent") if zone.exists("persistent") else None
+    moved_before = known is not None and known.filter(F.col("drained") == drained).limit(1).count() > 0
+    if not moved_before and (known is None or gone.limit(1).count()):
+        moved = L.promote_landing(staged, ts_ms).withColumn("batch", F.lit(ts_ms).cast("long"))
+        zone.append("persistent", moved.withColumn("drained", F.lit(drained)), ("batch", "category"))
+    newest = zone.version("temporal")
+    rows = zone.read("temporal", newest)
+    if newest == version:
+        left = rows.filter(K.is_placeholder(F.col("key"), F.col("size")))
+    else:
+        left = rows.join(gone, "key", "left_anti")
     zone.write("temporal", left)
-    return written
+    return zone.read("persistent")
 
 
 def format_texts(zone: Snapshots) -> DataFrame:

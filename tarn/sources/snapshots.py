@@ -1,4 +1,4 @@
-"""Zone tables as numbered parquet snapshots: a table is never overwritten while it is read."""
+"""Zone tables as numbered parquet snapshots: what is written is never changed, so readers never see half of it."""
 
 from __future__ import annotations
 
@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 class Snapshots:
-    """``root/name/v=N`` folders; the newest one with a success mark is the table."""
+    """``root/name/v=N`` folders and the additions ``v=N.K`` to each, all with a success mark.
+
+    The table is the newest snapshot with its additions. A write that failed has no mark and is not seen.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
@@ -28,54 +31,62 @@ class Snapshots:
         found = [status.getPath().getName() for status in files.listStatus(root)]
         return sorted(name for name in found if self._versions(name))
 
-    def _versions(self, name: str) -> list[int]:
+    def _done(self, name: str) -> list[tuple[int, int]]:
+        """Finished writes as ``(snapshot, addition)``, addition 0 being the snapshot itself."""
         files, folder = self._files(), self._path(f"{self.root}/{name}")
         if not files.exists(folder):
             return []
-        numbers = []
+        found = []
         for status in files.listStatus(folder):
-            match = re.fullmatch(r"v=(\d+)", status.getPath().getName())
+            match = re.fullmatch(r"v=(\d+)(?:\.(\d+))?", status.getPath().getName())
             if match and files.exists(self._path(f"{self.root}/{name}/{match[0]}/_SUCCESS")):
-                numbers.append(int(match[1]))
-        return sorted(numbers)
+                found.append((int(match[1]), int(match[2] or 0)))
+        return sorted(found)
+
+    def _versions(self, name: str) -> list[int]:
+        return [snapshot for snapshot, addition in self._done(name) if not addition]
 
     def exists(self, name: str) -> bool:
         return bool(self._versions(name))
 
-    def latest(self, name: str) -> str:
+    def version(self, name: str) -> tuple[int, int]:
+        """The newest snapshot and its last addition."""
         versions = self._versions(name)
         if not versions:
             raise KeyError(f"no snapshot of {name!r} under {self.root}")
-        return f"{self.root}/{name}/v={versions[-1]}"
-
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.latest(name))
+        return max(v for v in self._done(name) if v[0] == versions[-1])
+
+    def read(self, name: str, version: tuple[int, int] | None = None) -> DataFrame:
+        """The table as it is now, or as it was at a version."""
+        snapshot, last = version or self.version(name)
+        parts = [a for v, a in self._done(name) if v == snapshot and a <= last]
+        paths = [f"{self.root}/{name}/v={snapshot}" + (f".{a}" if a else "") for a in parts]
+        # Each folder is a table of its own; a common schema, but no common partitions.
+        frames = [self.spark.read.parquet(path) for path in paths]
+        table = frames[0]
+        for frame in frames[1:]:
+            table = table.unionByName(frame, allowMissingColumns=True)
+        return table
 
     def write(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Write the next snapshot, switch to it, and return it."""
         number = (self._versions(name) or [0])[-1] + 1
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.root}/{name}/v={number}")
+        self._store(df, f"{self.root}/{name}/v={number}", partition_by)
         return self.read(name)
 
-    def append(self, name: str, df: DataFrame) -> DataFrame:
-        """Add rows to the newest snapshot."""
-        df.write.mode("append").parquet(self.latest(name))
+    def append(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Add rows: a folder of its own beside the newest snapshot, seen once it is finished."""
+        if not self.exists(name):
+            return self.write(name, df, partition_by)
+        snapshot, last = self.version(name)
+        self._store(df, f"{self.root}/{name}/v={snapshot}.{last + 1}", partition_by)
         return self.read(name)
 
-    def put_partitions(self, name: str, df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
-        """Write whole partitions into the newest snapshot; the others are not touched.
-
-        Writing a partition again replaces it, so a repeated job leaves no second copy.
-        """
-        path = self.latest(name) if self.exists(name) else f"{self.root}/{name}/v=1"
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*partition_by).parquet(path)
-        # Dynamic overwriting leaves no mark of its own.
-        self._files().create(self._path(f"{path}/_SUCCESS"), True).close()
-        return self.read(name)
+    @staticmethod
+    def _store(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
+        # Only a write that failed can have left something there.
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
     def drop(self, name: str) -> None:
         self._files().delete(self._path(f"{self.root}/{name}"), True)

@@ -404,6 +404,66 @@ def test_binary_file_stream(spark, tmp_path):
     assert got == {("temporal-landing/a.txt", "texts", b"hello"), ("temporal-landing/b.png", "images", b"123")}
 
 
+STAGED = "bucket string, key string, size long, content_type string, content binary"
+
+
+def staged(spark, *names):
+    rows = [("landing-zone", f"temporal-landing/{n}.txt", 1, "text/plain", bytearray(n.encode())) for n in names]
+    return spark.createDataFrame(rows, STAGED)
+
+
+def test_a_drain_keeps_what_is_staged_meanwhile(spark, tmp_path, monkeypatch):
+    zone = Snapshots(spark, str(tmp_path))
+    zone.write("temporal", staged(spark, "a", "b"))
+    whole = Snapshots.append
+
+    def late(self, name, df, by=()):
+        out = whole(self, name, df, by)
+        if name == "persistent":
+            whole(self, "temporal", staged(spark, "c"))
+        return out
+
+    monkeypatch.setattr(Snapshots, "append", late)
+    assert Z.drain_landing(zone, 5).count() == 2
+    monkeypatch.undo()
+    assert [r["key"] for r in zone.read("temporal").collect()] == ["temporal-landing/c.txt"]
+    assert sorted(r["key"][-5:] for r in Z.drain_landing(zone, 6).collect()) == ["a.txt", "b.txt", "c.txt"]
+    assert zone.read("temporal").count() == 0
+
+
+def test_a_drain_that_stopped_half_way_moves_nothing_twice(spark, tmp_path, monkeypatch):
+    zone = Snapshots(spark, str(tmp_path))
+    zone.write("temporal", staged(spark, "a", "b"))
+    monkeypatch.setattr(Snapshots, "write", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+    zone.spark.createDataFrame([(1,)], "x int").write.parquet(str(tmp_path / "unused"))
+    with pytest.raises(OSError):
+        Z.drain_landing(zone, 5)
+    monkeypatch.undo()
+    # The first move failed as a whole here; now stop between the two writes.
+    plain = Snapshots.write
+    monkeypatch.setattr(Snapshots, "write", lambda self, name, *a: plain(self, name, *a) if name == "persistent" else (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        Z.drain_landing(zone, 6)
+    assert zone.read("persistent").count() == 2 and zone.read("temporal").count() == 2
+    monkeypatch.undo()
+    assert Z.drain_landing(zone, 7).count() == 2 and zone.read("temporal").count() == 0
+
+
+def test_a_failed_addition_is_not_seen(spark, tmp_path):
+    store = CO.CollectionStore(spark, str(tmp_path))
+    row = lambda i: (f"i{i}", f"trusted-zone/texts/{i}.txt", [float(i), 1.0])
+    schema = "id string, document string, embedding array<float>"
+    before = store.add("c", spark.createDataFrame([row(0)], schema))
+    bad = spark.createDataFrame([row(1), row(2)], schema).repartition(2).withColumn(
+        "embedding", F.when(F.col("id") == "i2", F.raise_error(F.lit("broken")).cast("array<float>")).otherwise(F.col("embedding"))
+    )
+    with pytest.raises(Exception, match="broken"):
+        store.add("c", bad)
+    assert [r["id"] for r in store.get_or_create("c").collect()] == ["i0"]
+    assert store.add("c", spark.createDataFrame([row(1)], schema)).count() == 2
+    assert before.count() == 1
+
+
 def test_streamed_files_are_keyed_below_the_root(spark, tmp_path):
     from tarn.streaming.drain import file_stream, promote_landing_stream
 

@@ -41,11 +41,13 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
             .checkpoint()
         )
+        links = small
         # Stars are stable: nobody is both above and below, and nobody has two below.
-        tied = small.groupBy("v").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-        if not tied and not small.join(small.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1).count():
-            links = small
+        ends = links.select(F.col("v").alias("node"), F.lit(1).alias("above")).unionByName(
+            links.select(F.col("u").alias("node"), F.lit(0).alias("above"))
+        )
+        seen = ends.groupBy("node").agg(F.sum("above").alias("above"), F.min("above").alias("least"))
+        if not seen.where("above > 1 OR (above = 1 AND least = 0)").limit(1).count():
             break
-        links = small
     nodes = links.select(F.col("v").alias("node"), F.col("u").alias("component"))
     return nodes.unionByName(links.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())

@@ -188,31 +188,28 @@ def _forest(percent: int):
 
 
 def _dense(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links among sets whose prefixes are hot: ``hot (token, set)``.
+    """Links among sets whose prefixes are hot: ``hot (token, set, n)``.
 
-    Sets that share a hot token are gathered in groups. Each set is first checked against its group's hub, the
-    one with most hot tokens. Those that link to it need no check among themselves; the others are checked
-    against all of the group in blocks of bounded size, a task for each pair of blocks, which
-    gives as few links as keep its sets connected. Blocks are cut by length, and pairs of blocks
+    The sets of a token are gathered under the least of them, its hub; tokens with one hub make one group, and two sets
+    that share a token share a group. Each set is first checked against the hub. Those that link to it need no check
+    among themselves; the others are checked against all of the group in blocks of bounded size, a task for each pair of
+    blocks, which gives as few links as keep its sets connected. Blocks are cut by length, and pairs of blocks
     whose lengths rule a link out are left out.
     """
-    firsts = hot.groupBy("token").agg(F.min("set").alias("hub"))
-    stars = hot.join(firsts, "token").select(F.col("set").alias("a"), F.col("hub").alias("b")).distinct()
-    groups = components(stars).select(F.col("node").alias("set"), F.col("component").alias("grp"))
-    weight = hot.groupBy("set").agg(F.count("*").alias("hot"))
-    members = groups.join(weight, "set").join(sets.select("set", "n"), "set").checkpoint()
-    hubs = members.groupBy("grp").agg(F.max_by("set", F.struct("hot", "set")).alias("hub"))
-    spokes = members.join(hubs, "grp").where("set <> hub").select(F.col("hub").alias("a"), F.col("set").alias("b"))
+    firsts = hot.groupBy("token").agg(F.min("set").alias("grp"))
+    members = hot.join(firsts, "token").select("grp", "set", "n").distinct().checkpoint()
+    spokes = members.where("set <> grp").select(F.col("grp").alias("a"), F.col("set").alias("b"))
     linked = _linked(spokes, sets, percent).checkpoint()
-    state = members.join(linked.select(F.col("b").alias("set"), F.lit(False).alias("fresh")), "set", "left")
-    state = state.join(hubs.select(F.col("hub").alias("set"), F.lit(True).alias("is_hub")), "set", "left").select(
-        "set", "grp", "n", (F.col("fresh").isNull() & F.col("is_hub").isNull()).alias("fresh")
-    )
+    near = linked.select(F.col("a").alias("grp"), F.col("b").alias("set"), F.lit(True).alias("near"))
     # Blocks: ranges of length in quarter powers of two, cut by hash to the block's size.
-    band = F.floor(F.log2("n") * 4).cast("int")
-    sized = state.withColumn("band", band).checkpoint()
+    sized = (
+        members.join(near, ["grp", "set"], "left")
+        .select("grp", "set", "n", (F.col("near").isNull() & (F.col("set") != F.col("grp"))).alias("fresh"))
+        .withColumn("band", F.floor(F.log2("n") * 4).cast("int"))
+        .checkpoint()
+    )
     per = sized.groupBy("grp", "fresh", "band").agg(F.count("*").alias("rows"), F.sum("n").alias("total"), F.min("n").alias("low"), F.max("n").alias("high"))
-    per = per.withColumn("cuts", F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("total") / BLOCK_TOKENS)))
+    per = per.withColumn("cuts", F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("total") / BLOCK_TOKENS))).checkpoint()
     blocked = sized.join(per.select("grp", "fresh", "band", "cuts"), ["grp", "fresh", "band"]).withColumn(
         "cut", F.pmod(F.xxhash64("set"), F.col("cuts"))
     )
@@ -256,7 +253,7 @@ def link(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFram
        costs least by the estimate, and asks for as many more matches: at level l a linked set has l of the prefix's
        tokens or more, so beyond the hot ones (over ``HOT`` sets) a number of cold ones remains. Cold tokens make pairs, which
        must have that many matches and enough of the longest common prefix for the overlap that the pair needs.
-    3. Pairs are checked on the whole sets, each set's likeliest partner first, then pairs that this did not connect.
+    3. Pairs are checked on the whole sets.
     4. Sets whose prefixes are so hot that no level leaves a cold token are linked by :func:`_dense`.
 
     No pair is lost: step 2 bounds hold for any order and any choice of levels. Rows that repeat an id are rows of
@@ -308,12 +305,11 @@ def link(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFram
     # Up to its last cold match a prefix holds at + 1 tokens; those not shared are missing from the overlap.
     overlap = F.ceil((F.col("x_n") + F.col("y_n")) * percent / (100 + percent))
     could = lambda s: F.col(f"{s}_n") - (F.col(f"{s}_at") + 1) + F.col("met") + F.least("x_hot", "y_hot")
-    likely = (F.col("met") + F.least("x_hot", "y_hot")) / (F.greatest("x_at", "y_at") + 1)
     pairs = (
         pairs.where((F.col("met") >= ask) & (F.least(could("x"), could("y")) >= overlap))
-        .select("a", "b", likely.alias("likely")).checkpoint()
+        .select("a", "b").checkpoint()
     )
-    dense = shared.where((F.col("df") > HOT) & (F.col("level") == 1)).join(chosen.where("need IS NULL"), "set", "left_semi").select("token", "set").checkpoint()
+    dense = shared.where((F.col("df") > HOT) & (F.col("level") == 1)).join(chosen.where("need IS NULL"), "set", "left_semi").select("token", "set", "n").checkpoint()
     wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).union(dense.select("set")).distinct().join(
         classes.select("set", "doc_id", "key", "c1", "c2"), "set"
     ).checkpoint()
@@ -322,16 +318,7 @@ def link(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFram
         again.join(wanted.select("set", "c1", "c2"), ["c1", "c2"]).select("set", "n", "tokens")
         .dropDuplicates(["set"]).checkpoint()
     )
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("likely", "a")).alias("a")).select("a", "b")
-    links = _linked(best, sets, percent).checkpoint()
-    joined = components(links).checkpoint()
-    side = lambda name: joined.select(F.col("node").alias(name), F.col("component").alias(f"{name}_in"))
-    rest = (
-        pairs.join(best.withColumn("done", F.lit(True)), ["a", "b"], "left").where("done IS NULL")
-        .join(side("a"), "a", "left").join(side("b"), "b", "left")
-        .where("a_in IS NULL OR b_in IS NULL OR a_in <> b_in").select("a", "b")
-    )
-    links = links.unionByName(_linked(rest, sets, percent))
+    links = _linked(pairs, sets, percent)
     if dense.limit(1).count():
         links = links.unionByName(_dense(dense, sets, percent))
     together = components(links.checkpoint()).withColumnRenamed("node", "set").checkpoint()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,7 +123,11 @@ _SIGNS = [bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)]
 _CP1252 = ("".join(chr(0x80 + i) for i, sign in enumerate(_SIGNS) if sign), "".join(_SIGNS))
 
 
-def transcode_utf8(bodies: DataFrame) -> DataFrame:
+# The extractor of each format that is no archive.
+_EXTRACTOR_OF = {".txt": "plain", ".html": "html", ".md": "markdown", ".rtf": "rtf"}
+
+
+def transcode_utf8(bodies: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """UTF-8 text of plain bodies ``(key, content)`` with the encoding found and the outcome.
 
     Byte-order marks decide first, then validity as UTF-8; what remains is read as Latin-1, in which
@@ -147,53 +153,48 @@ def transcode_utf8(bodies: DataFrame) -> DataFrame:
     outcome = F.when(
         F.col("encoding").isin("empty", "ascii", "utf-8"), "already_utf8"
     ).otherwise("replaced")
-    return found.select("key", text.alias("text"), "encoding", outcome.alias("outcome"))
+    return found.select("key", text.alias("text"), "encoding", outcome.alias("outcome"), *keep)
 
 
 def extract_texts(bodies: DataFrame) -> DataFrame:
-    """Text of every body ``(key, content)``, one branch per format.
+    """Text of every body ``(key, content)``: one pass for all formats, and one for archives alone.
 
     Columns: key (with its new extension), source_key, text, extractor, outcome. Formats whose parsers
     are outside Spark come back as ``unsupported`` and keep their key.
     """
     ext = K.extension(F.col("key"))
+    archive = ext.isin(".epub", ".zip")
     decoded = X.lossy_utf8(F.col("content"))
-    new_key = K.replace_extension(F.col("key"), ".txt")
-
-    def branch(extensions: list[str], text: Column, extractor: str) -> DataFrame:
-        return bodies.filter(ext.isin(extensions)).select(
-            new_key.alias("key"),
-            F.col("key").alias("source_key"),
-            text.alias("text"),
-            F.lit(extractor).alias("extractor"),
-            F.lit("replaced").alias("outcome"),
-        )
 
-    plain = transcode_utf8(bodies.filter(ext == ".txt")).select(
-        "key", F.col("key").alias("source_key"), "text", F.lit("plain").alias("extractor"), "outcome"
+    def of(extension: str) -> Column:
+        """The decoded body where it has this extension, so that no rule works on others."""
+        return F.when(ext == extension, decoded)
+
+    plain = transcode_utf8(bodies.filter(~archive), keep=("content",))
+    known = ext.isin(".txt", ".html", ".md", ".rtf")
+    text = (
+        F.when(ext == ".txt", F.col("text"))
+        .when(ext == ".html", X.html_to_text(of(".html")))
+        .when(ext == ".md", X.markdown_strip_images(of(".md")))
+        .when(ext == ".rtf", X.rtf_strip(F.replace(of(".rtf"), F.lit("\ufffd"), F.lit(""))))
     )
-    archives = archive_members_to_text(bodies.filter(ext.isin(".epub", ".zip"))).select(
-        new_key.alias("key"),
+    extractor = F.create_map(*(F.lit(x) for pair in _EXTRACTOR_OF.items() for x in pair))[ext]
+    outcome = F.when(ext == ".txt", F.col("outcome")).when(known, "replaced").otherwise("unsupported")
+    single = plain.select(
+        F.when(known & (ext != ".txt"), K.replace_extension(F.col("key"), ".txt")).otherwise(F.col("key")).alias("key"),
+        F.col("key").alias("source_key"),
+        text.alias("text"),
+        extractor.alias("extractor"),
+        outcome.alias("outcome"),
+    )
+    archives = archive_members_to_text(bodies.filter(archive)).select(
+        K.replace_extension(F.col("key"), ".txt").alias("key"),
         F.col("key").alias("source_key"),
         "text",
         F.lit("archive").alias("extractor"),
         F.when(F.col("error").isNull(), "replaced").otherwise("failed").alias("outcome"),
     )
-    done = [".txt", ".epub", ".zip", ".html", ".md", ".rtf"]
-    rest = bodies.filter(~ext.isin(done)).select(
-        "key",
-        F.col("key").alias("source_key"),
-        F.lit(None).cast("string").alias("text"),
-        F.lit(None).cast("string").alias("extractor"),
-        F.lit("unsupported").alias("outcome"),
-    )
-    return (
-        plain.unionByName(archives)
-        .unionByName(branch([".html"], X.html_to_text(decoded), "html"))
-        .unionByName(branch([".md"], X.markdown_strip_images(decoded), "markdown"))
-        .unionByName(branch([".rtf"], X.rtf_strip(F.replace(decoded, F.lit("\ufffd"), F.lit(""))), "rtf"))
-        .unionByName(rest)
-    )
+    return single.unionByName(archives)
 
 
 def conversion_outcomes(objects: DataFrame) -> DataFrame:

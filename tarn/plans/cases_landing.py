@@ -272,6 +272,21 @@ def archive_members_to_text(spark: SparkSession, sf: str) -> DataFrame:
     return H.archive_members_to_text(bodies).select("key", F.md5("text").alias("text_md5"))
 
 
+def extract_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as texts, markdown and a format without a parser, and pages as HTML, in one conversion."""
+    kind = F.col("doc_id") % 3
+    text = F.encode(F.when(kind == 1, F.concat("text", F.lit("![x](http://u.example/x.png)"))).otherwise(F.col("text")), "UTF-8")
+    ending = F.when(kind == 0, ".txt").when(kind == 1, ".md").otherwise(".pdf")
+    documents = V.table(spark, sf, "documents").select(
+        F.concat(F.lit("d"), "doc_id", ending).alias("key"), text.alias("content")
+    )
+    pages = V.table(spark, sf, "pages").select(
+        F.concat(F.lit("p"), "page_id", F.lit(".html")).alias("key"), F.encode("html", "UTF-8").alias("content")
+    )
+    done = H.extract_texts(documents.unionByName(pages))
+    return done.select("key", "source_key", F.md5("text").alias("text_md5"), "extractor", "outcome")
+
+
 def paragraph_join(spark: SparkSession, sf: str) -> DataFrame:
     lines = V.docs(spark, sf).select("key", F.posexplode(F.split("text", "\n")).alias("n", "text"))
     blocks = lines.select(
@@ -498,6 +513,15 @@ CASES = {
         f"""WITH {HTML_SQL} SELECT page_id || '.epub' AS key,
         md5({_squeeze("'Cover ' || chr(8212) || ' one' || chr(10) || chr(10) || text")}) AS text_md5 FROM html_texts""",
     ),
+    "extract_texts": (
+        extract_texts,
+        f"""WITH {HTML_SQL} SELECT 'd' || doc_id || '.txt' AS key, 'd' || doc_id || CASE doc_id % 3 WHEN 0 THEN '.txt' ELSE '.md' END AS source_key,
+          md5(CASE doc_id % 3 WHEN 0 THEN text ELSE {TRIM('text')} END) AS text_md5,
+          CASE doc_id % 3 WHEN 0 THEN 'plain' ELSE 'markdown' END AS extractor, CASE doc_id % 3 WHEN 0 THEN 'already_utf8' ELSE 'replaced' END AS outcome
+        FROM documents WHERE doc_id % 3 < 2
+        UNION ALL SELECT 'd' || doc_id || '.pdf', 'd' || doc_id || '.pdf', NULL, NULL, 'unsupported' FROM documents WHERE doc_id % 3 = 2
+        UNION ALL SELECT 'p' || page_id || '.txt', 'p' || page_id || '.html', md5(text), 'html', 'replaced' FROM html_texts""",
+    ),
     "paragraph_join": (
         paragraph_join,
         f"""SELECT doc_id AS key, md5(array_to_string(list_filter(list_transform(string_split(text, chr(10)),

@@ -54,7 +54,7 @@ def _splitters(rows: DataFrame, pieces: Column, bytes_each: Column) -> list[str]
         drawn.withColumn("pieces", pieces)
         .withColumn("all_draws", F.sum("draws").over(whole))
         .withColumn("upto", upto)
-        .where(cut(F.col("upto") - F.col("draws")) < cut(F.col("upto") - 1))
+        .where((cut(F.col("upto") - F.col("draws")) < cut(F.col("upto"))) & (F.col("upto") < F.col("all_draws")))
     )
     return [r.key for r in placed.select("key").distinct().collect()]
 

@@ -1,69 +1,103 @@
-"""Runs of lines that came before, found by winnowing over line hashes."""
+"""Runs of lines and sentences that came before, found by hashes of windows over them.
+
+A line is cut further into pieces: after marks of a sentence or clause (see ``ENDS``) that white space or, for full-width marks,
+anything follows. What may still repeat is less than a piece at either end of a passage, and a passage whose whole
+pieces hold fewer than the least words: so one of just over 50 words that begins and ends inside pieces, and any
+passage without such marks that is a part of a longer line.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, pairwise
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarn.session import checkpoint_root
 
 # Words that a repeated run must hold.
 LEAST_WORDS = 50
+# Fixed value: where a piece of a line ends, with the white space up to the next one.
+ENDS = re.compile(r"""(?:[.!?;:,\u2026]+["'\u00bb\u201d\u2019)\]]*\s+|[\u3002\uff01\uff1f\uff1b\uff1a\uff0c\u3001]+["\u201d\u2019\u300d\u300f\uff09]*\s*)(?=\S)""")
+
+
+def pieces(text: str) -> list[tuple[int, int]]:
+    """``[start, end)`` of each piece in code points. A line, also an empty one, has one or more; only line breaks lie between them."""
+    found, first = [], 0
+    for line in text.split("\n"):
+        cuts = [first, *(first + m.end() for m in ENDS.finditer(line)), first + len(line)]
+        found += pairwise(cuts)
+        first += len(line) + 1
+    return found
 
 
-def line_hashes(text: str) -> tuple[list[int], list[int]]:
-    """A signed 64-bit hash of each line without outer white space, and its words."""
-    lines = [line.strip() for line in text.split("\n")]
-    hashes = [xxhash.xxh3_64_intdigest(line) for line in lines]
-    return [h - (1 << 64) if h >> 63 else h for h in hashes], [len(line.split()) for line in lines]
+def piece_hashes(text: str) -> tuple[np.ndarray, list[int]]:
+    """A signed 64-bit hash of each piece without outer white space, and its words."""
+    own = [text[a:b].strip() for a, b in pieces(text)]
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(piece) for piece in own), np.uint64, len(own))
+    return hashes.view(np.int64), [len(piece.split()) for piece in own]
 
 
-def windows(hashes: list[int], sizes: list[int], least: int) -> list[tuple[int, int, int, int]]:
-    """``(start, end, fingerprint, digest)`` of the shortest window of ``least`` words that begins at each line.
+def windows(hashes: np.ndarray, sizes: list[int], least: int) -> np.ndarray:
+    """The digest of the shortest window of ``least`` words that begins at each piece; the last pieces may have none.
 
-    The fingerprint is the least hash inside. A run that is repeated and holds ``least`` words begins with such a
-    window in either place, so both places share its fingerprint.
+    A run that is repeated and holds ``least`` words begins with such a window in either place, so both places share its digest.
     """
     before = [0, *accumulate(sizes)]
-    found, end = [], 0
+    inside = memoryview(hashes.tobytes())
+    digests, end = [], 0
     for start in range(len(hashes)):
-        end = max(end, start)
         while end < len(hashes) and before[end] - before[start] < least:
             end += 1
         if before[end] - before[start] < least:
             break
-        inside = hashes[start:end]
-        digest = xxhash.xxh3_64_intdigest(b"".join(h.to_bytes(8, "little", signed=True) for h in inside))
-        found.append((start, end, min(inside), digest - (1 << 64) if digest >> 63 else digest))
-    return found
+        digests.append(xxhash.xxh3_64_intdigest(inside[8 * start : 8 * end]))
+    return np.array(digests, np.uint64).view(np.int64)
+
 
+def without(text: str, runs: list[dict]) -> str:
+    """``text`` without the pieces of ``runs``; a line that keeps none goes with its line break."""
+    gone = {i for r in runs for i in range(r["start"], r["end"])}
+    lines, last = [], -1
+    for i, (a, b) in enumerate(pieces(text)):
+        if a > last:
+            lines.append([])
+        if i not in gone:
+            lines[-1].append(text[a:b])
+        last = b
+    return "\n".join("".join(line) for line in lines if line)
 
-_WINDOW = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("print", pa.int64()), ("digest", pa.int64())]))
+
+@F.arrow_udf(T.StringType())
+def _without(texts: pa.Array, runs: pa.Array) -> pa.Array:
+    pairs = zip(texts.to_pylist(), runs.to_pylist(), strict=True)
+    return pa.array([None if text is None else without(text, own) for text, own in pairs], pa.string())
 
 
 def _cut(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines, found = [], []
+            lines, digests = [], []
             for text in batch.column("text").to_pylist():
-                hashes, sizes = line_hashes(text or "")
+                hashes, sizes = piece_hashes(text or "")
                 lines.append(hashes)
-                found.append([dict(zip(("start", "end", "print", "digest"), w, strict=True)) for w in windows(hashes, sizes, least)])
+                digests.append(windows(hashes, sizes, least))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"), pa.array(lines, pa.list_(pa.int64())), pa.array(found, _WINDOW)],
-                names=["doc_id", "key", "lines", "windows"],
+                [batch.column("doc_id"), batch.column("key"), *(pa.array(c, pa.list_(pa.int64())) for c in (lines, digests))],
+                names=["doc_id", "key", "lines", "digests"],
             )
 
     return run
 
 
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each match, as long as the lines of both places agree on either side."""
+    """Each match, as long as the pieces of both places agree on either side."""
     for batch in batches:
         own, other = batch.column("lines"), batch.column("first_lines")
         starts, ends, shifts = (batch.column(c).to_pylist() for c in ("start", "end", "shift"))
@@ -83,12 +117,12 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_runs(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """``doc_id, key, runs``: the lines of each row of ``docs (doc_id, text)`` that repeat earlier ones.
+    """``doc_id, key, runs``: the pieces of each row of ``docs (doc_id, text)`` that repeat earlier ones.
 
-    A window is the shortest run of lines from a line on that holds ``least`` words; its least line hash is its
-    fingerprint. Windows meet by fingerprint and digest. The first by (doc_id, hash of the text, line), null ids
-    last, stays; every later one is aligned with it, and the match is extended to both sides while the lines
-    agree. ``runs`` are the ranges ``[start, end)`` of such lines, in order and apart. A line goes only if an
+    Pieces are lines, cut after sentences and clauses (:func:`pieces`). A window is the shortest run of pieces from one on that
+    holds ``least`` words. Windows meet by the digest of their pieces' hashes. The first by (doc_id, hash of the text, piece), null ids
+    last, stays; every later one is aligned with it, and the match is extended to both sides while the pieces
+    agree. ``runs`` are the ranges ``[start, end)`` of such pieces, in order and apart. A piece goes only if an
     earlier equal one exists, so the first of each stays. Of a match only what holds the two places moves: a hot
     window is reduced to its first place before it meets the others. ``key`` is the hash of the text; rows that repeat
     id and text have one result. Rows without such runs are left out.
@@ -96,16 +130,25 @@ def repeated_runs(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     checkpoint_root(docs.sparkSession)
     found = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), F.col("text").cast("string").alias("text"))
-        .mapInArrow(_cut(least), "doc_id long, key long, lines array<long>, windows array<struct<start:long,end:long,print:long,digest:long>>")
+        .mapInArrow(_cut(least), "doc_id long, key long, lines array<long>, digests array<long>")
+        .withColumn("row", F.monotonically_increasing_id())
         .checkpoint()
     )
-    each = found.select("doc_id", "key", F.inline("windows"))
+    # Most windows come once: they are told by their digests alone, and only the others meet the ids of their rows.
+    each = found.select("row", F.posexplode("digests").alias("start", "digest"))
+    often = each.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    shared = each.join(often, "digest", "left_semi").join(found.select("row", "doc_id", "key"), "row").drop("row")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("key"), F.col("start"))
-    firsts = each.groupBy("print", "digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    firsts = shared.groupBy("digest").agg(F.min(place).alias("first"))
+    # The extension finds where a window ends.
     later = (
-        each.join(firsts, ["print", "digest"])
+        shared.join(firsts, "digest")
         .where(~place.eqNullSafe(F.col("first")))
-        .select("doc_id", "key", "start", "end", "first.no_id", F.col("first.doc_id").alias("first_id"), F.col("first.key").alias("first_key"), (F.col("start") - F.col("first.start")).alias("shift"))
+        .select(
+            "doc_id", "key", F.col("start").cast("long").alias("start"), (F.col("start") + 1).cast("long").alias("end"), "first.no_id",
+            F.col("first.doc_id").alias("first_id"), F.col("first.key").alias("first_key"),
+            (F.col("start") - F.col("first.start")).cast("long").alias("shift"),
+        )
     )
     # Windows on one alignment that touch are one match.
     along = ["doc_id", "key", "first_id", "first_key", "shift"]
@@ -138,7 +181,8 @@ def _merged(ranges: DataFrame, by: list[str]) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """``docs`` with two more columns: ``runs`` (see :func:`repeated_runs`; empty if none) and ``kept_text``, the text without those lines.
+    """``docs`` with two more columns: ``runs`` (see :func:`repeated_runs`; empty if none) and ``kept_text``, the text without those
+    pieces; a line that keeps no piece goes with its line break.
 
     A null text stays null, and an empty table gives no rows. Columns named as these are replaced.
     """
@@ -151,6 +195,6 @@ def dedup_lines(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     )
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     flat = joined.select(*(f"d.`{c}`" for c in names), F.coalesce("r.runs", none).alias("runs"))
-    stays = lambda i: ~F.exists("runs", lambda r: (r["start"] <= i) & (i < r["end"]))
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: stays(i)), "\n")
-    return flat.withColumn("kept_text", F.when(F.size("runs") == 0, F.col("text")).otherwise(kept))
+    # Only texts that change are sent to Python.
+    cut = _without(F.when(F.size("runs") > 0, F.col("text")), F.col("runs"))
+    return flat.withColumn("kept_text", F.when(F.size("runs") == 0, F.col("text")).otherwise(cut))

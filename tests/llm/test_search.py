@@ -149,6 +149,32 @@ def test_line_runs(spark):
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
 
 
+def test_runs_inside_lines(spark):
+    said = lambda n: " ".join(words(n, 9, 5000)).capitalize() + (". " if n % 2 else "! ")
+    passage = "".join(said(n) for n in range(900, 907))
+    rows = [
+        (1, "Own first. " + passage + "Own last.\nmore", "s"),
+        (2, "Begins here, " + passage + "Ends\n\nhere 3.5.", "s"),
+        (3, "one\n" + passage.strip() + "\ntwo", "s"),
+        (4, "short " + said(900) + said(901), "s"),
+        (5, None, "s"),
+    ]
+    got = {r["doc_id"]: (len(r["runs"]), r["kept_text"]) for r in line_dedup.dedup_lines(documents(spark, rows)).collect()}
+    assert got == {1: (0, rows[0][1]), 2: (1, "Begins here, Ends\n\nhere 3.5."), 3: (1, "one\ntwo"), 4: (0, rows[3][1]), 5: (0, None)}
+    for text in ("", "\n", "a. b\n\n c? ", "x\u3002y \u3002\u3002", "e.g. 3.5, \u201cno.\u201d So; "):
+        own = line_dedup.pieces(text)
+        assert "\n".join("".join(text[a:b] for a, b in own if low <= a and b <= high) for low, high in lines_of(text)) == text
+        assert line_dedup.without(text, []) == text and line_dedup.without(text, [{"start": 0, "end": len(own)}]) == ""
+    assert [("x\u3002y \u3002\u3002z")[a:b] for a, b in line_dedup.pieces("x\u3002y \u3002\u3002z")] == ["x\u3002", "y \u3002\u3002", "z"]
+
+
+def lines_of(text):
+    low = 0
+    for line in text.split("\n"):
+        yield low, low + len(line)
+        low += len(line) + 1
+
+
 def test_packed_blocks_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 127, 128, 129, 3000):

@@ -54,7 +54,9 @@ def part_spans(text: str, base: list[tuple[str, int, int]], runs: list[tuple[int
     No part overlaps one that was named before it, so none is its own partner.
     """
     parts = [("sure", a, b) for kind, a, b in base if kind == "assign"]
-    if "AKIA" in text or "id" in text and ("=" in text or ":" in text):
+    low = text.lower()
+    # As the pattern, without regard to case.
+    if "akia" in low or "_id" in low:
         parts += [("id", m.start(), m.end()) for m in IDENTIFIER.finditer(text)]
     if "http" in text or ".amazonaws." in text or ".internal" in text:
         parts += [("endpoint", m.start(), m.end()) for m in ENDPOINT.finditer(text)]

@@ -282,6 +282,13 @@ def test_secrets(spark):
     assert secret_scan.scan(empty(spark)).count() == 0
 
 
+def test_secrets_beside_identifiers_in_any_case(spark):
+    key = "Zx81kQpL02mNvB7rTy5w"
+    asked = [f"CLIENT_ID=ABCD-1234\nKEY: {key}", f"akiaabcd {key}", f"Access_Key_Id: abcd {key}", f"CLIENT_IDS ABCD {key}"]
+    got = {r["doc_id"]: r["linked"] for r in secret_scan.scan(documents(spark, [(i, t, "s") for i, t in enumerate(asked)])).collect()}
+    assert [[asked[i][s["begin"] : s["end"]] for s in got[i]] for i in range(4)] == [[key], [key], [key], []]
+
+
 def test_word_hashes_follow_words():
     column = pa.array([t for _, t, _ in texts()])
     seen = {}

@@ -1,4 +1,4 @@
-"""Benchmark items in training texts, copied or edited: rare n-gram seeds and Smith-Waterman alignment."""
+"""Benchmark items in training texts, copied or edited: seeds of near word pairs and Smith-Waterman alignment."""
 
 from __future__ import annotations
 
@@ -13,8 +13,8 @@ from tarn.llm import words
 from tarn.llm.common import only, only_texts
 from tarn.session import checkpoint_root
 
-# Words of a seed; the part of an item's rarity that a text's seeds must hold to be aligned; the score that counts as a copy.
-SEED, SHARE, SCORE = 4, 0.05, 0.4
+# Words of a seed; the score that counts as a copy.
+SEED, SCORE = 2, 0.4
 MATCH, MISMATCH, GAP = 2, 1, 1
 # Seeds (8 bytes each) up to this many are sent to all tasks, more are joined by shuffle.
 FEW_SEEDS = 1_000_000
@@ -23,27 +23,30 @@ FEW_SEEDS = 1_000_000
 def _grams(column: pa.Array, size: int, only: np.ndarray | None, short: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(row, seeds, places)`` of each text that has some; with ``only``, of these seeds alone.
 
-    With ``short``, a text of fewer words gives its whole sequence.
+    Seeds of two words are neighbours and words with one other between, alike. A place is twice the number of the
+    first word, and one more with a word between. With ``short``, a text of fewer words gives its whole sequence.
     """
+    if only is not None:
+        bits = np.zeros(1 << 20, bool)
+        bits[(only & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
     for first, _, data, offsets in words.slices(column):
         hashes, begins = words.word_hashes(data, offsets, words.LETTERS)
-        grams = words.ngram_hashes(hashes, size)
-        if only is None:
-            at = np.arange(len(grams))
-        else:
-            # Most seeds fail a table of their low bits, and are not looked up.
-            bits = np.zeros(1 << 20, bool)
-            bits[(only & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-            at = np.flatnonzero(bits[(grams & np.uint64((1 << 20) - 1)).astype(np.int64)])
-            near = np.minimum(np.searchsorted(only, grams[at]), len(only) - 1)
-            at = at[only[near] == grams[at]] if len(only) else at[:0]
-        row = np.searchsorted(begins, at, "right") - 1
-        inside = at + size <= begins[row + 1]
-        at, row = at[inside], row[inside]
-        edges = np.flatnonzero(np.diff(row)) + 1
-        for part, own in zip(np.split(at, edges), np.split(row, edges), strict=True):
-            if len(part):
-                yield first + int(own[0]), grams[part], part - begins[own[0]]
+        for apart in range(size):
+            grams = words.ngram_hashes(hashes, size) if not apart else words.gapped_hashes(hashes)
+            if only is None:
+                at = np.arange(len(grams))
+            else:
+                # Most seeds fail a table of their low bits, and are not looked up.
+                at = np.flatnonzero(bits[(grams & np.uint64((1 << 20) - 1)).astype(np.int64)])
+                near = np.minimum(np.searchsorted(only, grams[at]), len(only) - 1)
+                at = at[only[near] == grams[at]] if len(only) else at[:0]
+            row = np.searchsorted(begins, at, "right") - 1
+            inside = at + size + apart <= begins[row + 1]
+            at, row = at[inside], row[inside]
+            edges = np.flatnonzero(np.diff(row)) + 1
+            for part, own in zip(np.split(at, edges), np.split(row, edges), strict=True):
+                if len(part):
+                    yield first + int(own[0]), grams[part], 2 * (part - begins[own[0]]) + apart
         if short:
             for i in np.flatnonzero((np.diff(begins) < size) & (np.diff(begins) > 0)):
                 own = hashes[begins[i] : begins[i + 1]]
@@ -101,9 +104,17 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         known.clear()
                     known[item["text"]] = hashed(item["text"])
                 x = known[item["text"]]
-                # Passages: what lies within an item's length (and half) of a seed.
-                reach = len(x) + len(x) // 2
+                # An alignment that counts spans at most this many words of the text, with the least number of seeds among them.
+                reach = 3 * len(x)
                 at = np.unique(np.concatenate(item["places"]))
+                last = np.searchsorted(at // 2, at // 2 + reach, "right")
+                dense = np.flatnonzero(last - np.arange(len(at)) >= item["least"])
+                kept = np.zeros(len(at) + 1, np.int64)
+                np.add.at(kept, dense, 1)
+                np.add.at(kept, last[dense], -1)
+                at = np.unique(at[np.cumsum(kept)[:-1] > 0] // 2)
+                if not len(at):
+                    continue
                 parts = np.split(at, np.flatnonzero(np.diff(at) > 2 * reach) + 1)
                 best = (0, 0)
                 for part in parts:
@@ -116,14 +127,14 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "key", "item_id", "score", "ends_at"])
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, size: int = SEED, share: float = SHARE, score: float = SCORE) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, score: float = SCORE) -> DataFrame:
     """``doc_id, key, item_id, score, ends_at``: each row of ``docs (doc_id, text)`` and item of ``benchmark (item_id, text)`` that it leaks.
 
-    Words are runs of letters and digits in lower case. The seeds of an item are its runs of ``size`` words (a
-    shorter item's whole sequence). A seed is the rarer, the fewer texts of the corpus hold it (``log(1 + rows /
-    texts)``), and a text is aligned to an item if its seeds hold ``share`` of the rarity of all seeds of that item; so
-    a frequent phrase alone brings no alignment, but an item that is leaked often is still found. Around
-    its seeds the text is aligned by Smith-Waterman over words; the score over that of a whole copy is
+    Words are runs of letters and digits in lower case. The seeds of an item are its pairs of words that are neighbours or
+    have one word between (a single word: itself). An alignment of score ``score`` has at least ``score * words - 1`` steps from match to match
+    with at most one edit, as a longer step costs what a match gains; each such step is a seed of both. So a text with fewer seeds of an item, or
+    without as many inside the words that an alignment may span, is not aligned, and no copy of three words or more is lost. Around
+    its seeds the text is aligned by Smith-Waterman over words (items of two words need a pair too); the score over that of a whole copy is
     ``score``, from 0 to 1, and ``ends_at`` is the word after the alignment; ``key`` is the text's hash. Rows below the least score are left out.
     Null and empty texts and items without words leak nothing; of repeated rows each has its rows; items that
     repeat an id are one item with several texts, the best score counts. Other columns are ignored.
@@ -137,11 +148,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = SEED, share: float
     numbered = items.withColumn("item", F.xxhash64("item_id", "text"))
     lists = "seeds array<long>, places array<long>"
     seeds = (
-        numbered.select("item", "text").mapInArrow(_scan(size, None, ["item"], True), f"item long, {lists}")
-        .select("item", F.explode("seeds").alias("seed")).distinct().checkpoint()
+        numbered.select("item", "text").mapInArrow(_scan(SEED, None, ["item"], True), f"item long, {lists}")
+        .select("item", F.explode("seeds").alias("seed")).groupBy("item", "seed").agg(F.count("*").alias("times")).checkpoint()
     )
-    lengths = numbered.select("item", F.least(F.lit(size), F.regexp_count("text", F.lit(r"[A-Za-z0-9\x{80}-\x{10FFFF}]+"))).alias("n"))
-    sizes = [r.n for r in lengths.select("n").distinct().collect() if r.n]  # at most ``size`` numbers
+    lengths = numbered.select("item", F.regexp_count("text", F.lit(r"[A-Za-z0-9\x{80}-\x{10FFFF}]+")).alias("n"))
+    sizes = [r.n for r in lengths.select(F.least(F.lit(SEED), "n").alias("n")).distinct().collect() if r.n]  # at most ``SEED`` numbers
+    least = lengths.select("item", F.greatest(F.lit(1), F.ceil(F.col("n") * score - 1 - 1e-9)).alias("least"))
     few = seeds.count() <= FEW_SEEDS
     sent = None
     if few:
@@ -157,19 +169,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = SEED, share: float
     if not few:
         hits = hits.join(seeds.select("seed").distinct(), "seed", "left_semi")
     hits = hits.checkpoint()
-    # Texts that repeat are held by several rows and count as one here.
-    held = hits.groupBy("seed", "key").agg(F.lit(1)).groupBy("seed").agg(F.count("*").alias("held"))
-    n_rows = docs.count()
-    rarity = F.log1p(F.lit(float(n_rows)) / F.greatest(F.coalesce("held", F.lit(1)), F.lit(1)))
-    rare = seeds.join(held, "seed", "left").select("item", "seed", rarity.alias("rarity")).checkpoint()
-    whole = rare.groupBy("item").agg(F.sum("rarity").alias("whole"))
     by_text = hits.groupBy("key", "seed").agg(F.collect_set("place").alias("places"))
     pairs = (
-        by_text.join(rare, "seed").groupBy("key", "item")
-        .agg(F.sum("rarity").alias("had"), F.collect_list("places").alias("places"))
-        .join(whole, "item").where(F.col("had") >= F.col("whole") * share)
+        by_text.join(seeds, "seed").groupBy("key", "item")
+        .agg(F.sum("times").alias("had"), F.collect_list("places").alias("places"))
+        .join(least, "item").where("had >= least")
         .join(numbered, "item")
-        .groupBy("key").agg(F.collect_list(F.struct("item_id", "text", "places")).alias("items"))
+        .groupBy("key").agg(F.collect_list(F.struct("item_id", "text", "places", "least")).alias("items"))
         .checkpoint()
     )
     chosen = only(texts, pairs.select("key"), ["key"])

@@ -120,6 +120,12 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(total)
 
 
+def gapped_hashes(words: np.ndarray) -> np.ndarray:
+    """The hash of every two words with one between, the same as if they were neighbours."""
+    one, two = _numbers(2 << 8, 2)
+    return mix(words[:-2] * one + words[2:] * two)
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarray]:
     """Each text's distinct shingles of ``n`` words, sorted; a shorter text is one shingle, without words none."""
     words, first = word_hashes(data, offsets)

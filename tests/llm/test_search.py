@@ -97,6 +97,29 @@ def test_decontamination(spark):
     assert decontaminate.leaks(documents(spark), bench.limit(0)).count() == 0
 
 
+def test_short_items_with_even_edits(spark):
+    items = [words(40 + i, 15 + 5 * i, 10_000) for i in range(3)]
+    edits = (lambda i: i % 4 == 3, lambda i: i % 3 == 2, lambda i: i % 2 == 1)
+    rows = []
+    for n, item in enumerate(items):
+        for e, edited in enumerate(edits):
+            own = [f"y{i}" if edited(i) else w for i, w in enumerate(item)]
+            rows.append((10 * n + e, " ".join([*words(300 + n, 200, 10_000), *own, *words(400 + n, 200, 10_000)]), "s"))
+        added = [w for i, x in enumerate(item) for w in ([x, f"z{i}"] if i % 2 else [x])]
+        rows.append((10 * n + 5, " ".join(added), "s"))
+    bench = spark.createDataFrame([(n, " ".join(item)) for n, item in enumerate(items)], "item_id long, text string")
+    hashed = lambda t: np.array([hash(w) for w in t.split()])
+    want = {}
+    for i, t, _ in rows:
+        for n, item in enumerate(items):
+            score = decontaminate._align(hashed(" ".join(item)), hashed(t))[0] / (2 * len(item))
+            if score >= 0.4:
+                want[i, n] = score
+    assert {(10 * n + e, n) for n in range(3) for e in (0, 1, 5)} <= set(want)
+    found = decontaminate.leaks(documents(spark, rows), bench).collect()
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == want
+
+
 def test_alignment_against_a_table():
     rng = np.random.default_rng(4)
     for _ in range(50):

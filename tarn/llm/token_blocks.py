@@ -149,7 +149,8 @@ _KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 4
 class Encoder:
     """A tokenizer that encodes each different piece of text once.
 
-    Pieces are known by 64-bit hashes; the bytes of a piece's tokens must also be as many as its own.
+    Pieces are known by 64-bit hashes of their bytes (see :mod:`tarn.llm.words`). Only short pieces are remembered, with their ids
+    and nothing else; all is forgotten when the pieces or their ids are too many.
     """
 
     def __init__(self, path: str):
@@ -198,7 +199,7 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         sizes = np.diff(np.append(starts, len(data)))
         different, first, which = np.unique(words.range_hashes(data, starts, sizes), return_index=True, return_inverse=True)
-        if len(self.hashes) > REMEMBERED:
+        if max(len(self.hashes), len(self.ids) // 4) > REMEMBERED:
             self._forget()
         place = np.minimum(np.searchsorted(self.hashes, different), max(0, len(self.hashes) - 1))
         known = self.hashes[place] == different if len(self.hashes) else np.zeros(len(different), bool)
@@ -210,10 +211,12 @@ class Encoder:
         at, n = np.empty(len(different), np.int64), np.empty(len(different), np.int64)
         at[known], n[known] = self.at[place[known]], self.count[place[known]]
         at[new], n[new] = len(self.ids) + np.cumsum(count) - count, count
-        keep = new[sizes[first[new]] <= SHORT]
+        short = sizes[first[new]] <= SHORT
+        keep = new[short]
         spot = np.searchsorted(self.hashes, different[keep])
-        self.hashes = np.insert(self.hashes, spot, different[keep])
-        self.at, self.count, self.ids = np.insert(self.at, spot, at[keep]), np.insert(self.count, spot, n[keep]), store
+        self.hashes, self.count = np.insert(self.hashes, spot, different[keep]), np.insert(self.count, spot, n[keep])
+        self.at = np.insert(self.at, spot, len(self.ids) + np.cumsum(n[keep]) - n[keep])
+        self.ids = np.concatenate((self.ids, ids[np.repeat(short, count)]))
         each = n[which]
         upto = np.concatenate(([0], np.cumsum(each)))
         out = store[np.repeat(at[which] - upto[:-1], each) + np.arange(upto[-1])]

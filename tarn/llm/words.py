@@ -1,7 +1,8 @@
 """Words and word shingles of Arrow string columns as 64-bit hashes, by array operations.
 
-Words are maximal runs of bytes other than white space (``\\x20 \\x09-\\x0D``), with A-Z in lower case. Two
-different words or shingles share a hash with a chance of about 2^-64.
+Words are maximal runs of bytes other than white space (``\\x20 \\x09-\\x0D``), with A-Z in lower case. The
+hash of a word is a sum of one scrambled number for each place and byte, no polynomial: two different words or shingles, however
+regular, share a hash with a chance of about 2^-64.
 """
 
 from __future__ import annotations
@@ -36,16 +37,21 @@ _LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES)
 LETTERS = (_BYTES >= 0x80) | ((_LOWER >= 97) & (_LOWER <= 122)) | ((_BYTES >= 48) & (_BYTES <= 57))
 _CODE = _numbers(1000, 256)[_LOWER]
 _EXACT = _numbers(2000, 256)
-_BASE = int(_numbers(7, 1)[0])
+_PLACES = mix(np.arange(1 << 12, dtype=np.uint64) ^ np.uint64(0xA0761D6478BD642F))
+_ODD = np.uint64(0xE7037ED1A0B428DB)
 
 
-def _powers(n: int) -> np.ndarray:
-    out = np.full(n, _BASE, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-_POWERS = _powers(1 << 12)
+def _cells(place: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """A number for each byte that depends on its code and on its place in the word, and not linearly on either."""
+    longest = int(place.max()) + 1
+    places = _PLACES if longest <= len(_PLACES) else mix(np.arange(longest, dtype=np.uint64) ^ np.uint64(0xA0761D6478BD642F))
+    values = places[place]
+    values ^= codes
+    values *= _ODD
+    values ^= values >> np.uint64(32)
+    values *= _ODD
+    values ^= values >> np.uint64(29)
+    return values
 
 
 def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -90,9 +96,7 @@ def word_hashes(
     place = np.arange(starts[0], len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))
     outside = ~inside[starts[0] :]
     place[outside] = 0
-    longest = int(place.max()) + 1
-    values = (_POWERS if longest <= len(_POWERS) else _powers(longest))[place]
-    values *= _CODE[data[starts[0] :]]
+    values = _cells(place, _CODE[data[starts[0] :]])
     values[outside] = 0
     hashes, begins = mix(np.add.reduceat(values, starts - starts[0])), np.searchsorted(starts, offsets)
     if not stem:
@@ -105,10 +109,7 @@ def word_hashes(
 def range_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The hash of each range of bytes; ranges follow each other from the first to the end of ``data``."""
     place = np.arange(starts[0], len(data)) - np.repeat(starts, sizes)
-    longest = int(sizes.max()) + 1
-    values = (_POWERS if longest <= len(_POWERS) else _powers(longest))[place]
-    values *= _EXACT[data[starts[0] :]]
-    return mix(np.add.reduceat(values, starts - starts[0]))
+    return mix(np.add.reduceat(_cells(place, _EXACT[data[starts[0] :]]), starts - starts[0]))
 
 
 def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:

@@ -39,3 +39,9 @@ def documents(spark, rows=None):
 
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+def twins(n: int = 1024) -> tuple[str, str]:
+    """Two words that every polynomial hash modulo a power of two takes for one: the Thue-Morse word and its complement."""
+    bits = [i.bit_count() % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)

@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from fixtures import documents, empty, texts, words
+from fixtures import documents, empty, texts, twins, words
 from pyspark.sql import functions as F
 
 from tarn.llm import components as C
@@ -56,7 +56,7 @@ def linked(x, y):
 def test_jaccard_join(spark, monkeypatch, hot):
     monkeypatch.setattr(jaccard_join, "HOT", hot)
     monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", 20)
-    rows = texts()
+    rows = texts() + [(900 + i, t, "s") for i, t in enumerate(twins())]
     sets = [shingles(t) for _, t, _ in rows]
     pairs = [(i, j) for j in range(len(rows)) for i in range(j) if linked(sets[i], sets[j])]
     group = components_of(range(len(rows)), pairs)
@@ -65,7 +65,7 @@ def test_jaccard_join(spark, monkeypatch, hot):
         if rows[i][0] is not None:
             least[g] = min(least.get(g, rows[i][0]), rows[i][0])
     want = collections.Counter((rows[i][0], len(sets[i]), least.get(g, rows[i][0])) for i, g in group.items())
-    docs = documents(spark)
+    docs = documents(spark, rows)
     got = jaccard_join.link(docs)
     assert collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == want
     if hot == 3:
@@ -212,7 +212,7 @@ def test_packed_blocks_round_trip():
 
 def test_token_files(spark, tmp_path):
     odd = ["a  b", "a \n b", "\n\nx y\n", "a<|endoftext|>b c", "  x", "x  ", "　a　 b", "don't I'll\n 'll\ta b", "a_.b c).d e.. f", "é. à  x", "a\0b", "² .x"]
-    rows = texts() + [(700 + i, t, "s") for i, t in enumerate(odd)]
+    rows = texts() + [(700 + i, t, "s") for i, t in enumerate([*odd, *twins()])]
     tokenizer = tokenizers.Tokenizer.from_file(public.path("byte_bpe_50k.json"))
     path = str(tmp_path / "ids")
     token_blocks.write_ids(documents(spark, rows), path, public.path("byte_bpe_50k.json"))
@@ -324,3 +324,18 @@ def test_word_hashes_follow_words():
             for word, number in zip(own, found, strict=True):
                 assert seen.setdefault(word, number) == number
     assert len(set(seen.values())) == len(seen)
+
+
+def test_encoder_remembers_short_pieces_only(monkeypatch):
+    encoder = token_blocks.Encoder(public.path("byte_bpe_50k.json"))
+    rng = np.random.default_rng(5)
+    long = ["".join(map(chr, rng.integers(0x4E00, 0x9FFF, 300))) for _ in range(50)]
+    short = [" ".join(words(i, 40, 4000)) for i in range(50)]
+    monkeypatch.setattr(token_blocks, "REMEMBERED", 1500)
+    for column in (long, short, long, short):
+        for _, _, data, offsets in W.slices(pa.array(column)):
+            ids, begins = encoder(data, offsets)
+            assert [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:], strict=True)] == [
+                encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in column
+            ]
+        assert len(encoder.ids) <= 4 * 1500 + 2000 * 6 and len(encoder.hashes) <= 1500 + 2000

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.llm import chat, decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, secret_scan, sharding, token_blocks, toxicity
+from tarn.llm import chat, decontaminate, exact_dedup, hard_negatives, jaccard_join, line_dedup, minhash_dedup, mixing, secret_scan, sharding
+from tarn.llm import token_blocks, toxicity, whitening
 from tarn.llm.common import table
 from tarn.session import work_path
 
@@ -112,6 +113,21 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = minhash_dedup.link(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 OP7_SQL = r"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -139,6 +155,29 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM hashed WINDOW w AS (PARTITION BY text_sha256)
 """
 
+OP11_SQL = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label,
+        CAST(coalesce(list_sum(list_transform(list_zip(a.q, b.q), z -> z[1] * z[2])), 0) AS BIGINT) AS score
+    FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = own
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+    n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND n.label <> p.own
+    AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
 CASES = {
     "op1_line_dedup": (op1_line_dedup, None),
     "op2_decontamination": (op2_decontamination, None),
@@ -150,4 +189,7 @@ CASES = {
     "op10_secret_scans": (op10_secret_scans, None),
     "op8_toxicity": (op8_toxicity, None),
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
+    "op11_hard_negatives": (op11_hard_negatives, OP11_SQL),
+    "op12_whitening": (op12_whitening, None),
+    "op13_minhash_dedup": (op13_minhash_dedup, None),
 }

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from tarn.llm import words
 from tarn.llm.common import only, only_texts
 from tarn.llm.components import components
+from tarn.llm.groups import dense_links, linked
 from tarn.session import checkpoint_root
 
 # Words of a shingle, and the similarity that links, in hundredths.
@@ -21,8 +21,6 @@ WORDS, PERCENT = 5, 80
 HOT = 32
 # What checking a pair costs, in pairs made.
 CHECK = 8.0
-# A block of a dense group: texts and shingles, at most (one larger text is a block).
-BLOCK_ROWS, BLOCK_TOKENS = 512, 1_000_000
 
 
 def _least(n, percent: int):
@@ -40,7 +38,7 @@ def _room(n):
     return 2 + n // 20
 
 
-def _digest(tokens: np.ndarray) -> tuple[int, int]:
+def set_digest(tokens: np.ndarray) -> tuple[int, int]:
     """128 bits of a set, as two signed numbers."""
     with np.errstate(over="ignore"):
         one = words.mix(tokens ^ np.uint64(0x5851F42D4C957F2D)).sum() + np.uint64(len(tokens))
@@ -55,7 +53,7 @@ def _sets(size: int, percent: int, whole: bool):
         for batch in batches:
             for first, end, data, offsets in words.slices(batch.column("text")):
                 sets = words.shingle_sets(data, offsets, size)
-                digests = [_digest(s) if len(s) else (None, None) for s in sets]
+                digests = [set_digest(s) if len(s) else (None, None) for s in sets]
                 ns = np.array([len(s) for s in sets], np.int64)
                 kept = sets if whole else [s[: _base(len(s), percent) + _room(len(s))] if len(s) else s for s in sets]
                 values = np.concatenate(kept).view(np.int64) if kept else np.zeros(0, np.int64)
@@ -110,135 +108,6 @@ def _choose(tokens: Column, n: Column, percent: int) -> Column:
     return F.when(best["no"], None).otherwise(F.struct(best["level"].alias("level"), best["need"].alias("need")))
 
 
-def _verify(percent: int):
-    """Of pairs with both sets, those that link."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column("left"), batch.column("right")
-            keep = []
-            for i in range(batch.num_rows):
-                x, y = left[i].values.to_numpy(), right[i].values.to_numpy()
-                # Sets are sorted as unsigned numbers; both orders agree on what is equal.
-                shared = np.intersect1d(x, y, assume_unique=True).size
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` of set numbers whose sets link."""
-    left = sets.select(F.col("set").alias("a"), F.col("tokens").alias("left"))
-    right = sets.select(F.col("set").alias("b"), F.col("tokens").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return both.mapInArrow(_verify(percent), "a long, b long")
-
-
-def _forest(percent: int):
-    """Links between two blocks of a dense group, as many as keep what they connect connected."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        members = frame.drop_duplicates("set").sort_values(["n", "set"])
-        ids = members["set"].to_numpy()
-        fresh = members["fresh"].to_numpy()
-        ns = members["n"].to_numpy()
-        part = members["part"].to_numpy()
-        sets = [np.asarray(t) for t in members["tokens"]]
-        tokens, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        shared = count > 1
-        column = np.cumsum(shared) - 1
-        owner = np.repeat(np.arange(len(ids)), ns)
-        use = shared[place]
-        rows, cols = owner[use], column[place[use]]
-        # A text links to nobody here if too few of its shingles are anybody else's.
-        able = np.bincount(rows, minlength=len(ids)) * 100 >= percent * ns
-        rows, cols = rows[able[rows]], cols[able[rows]]
-        order = np.argsort(cols, kind="stable")
-        rows, cols = rows[order], cols[order]
-        overlap = np.zeros((len(ids), len(ids)), np.float32)
-        width = 2048
-        for low in range(0, int(cols[-1]) + 1 if len(cols) else 0, width):
-            a, b = np.searchsorted(cols, [low, low + width])
-            matrix = np.zeros((len(ids), width), np.float32)
-            matrix[rows[a:b], cols[a:b] - low] = 1
-            overlap += matrix @ matrix.T
-        inter = overlap.astype(np.int64)
-        link = 100 * inter >= percent * (ns[:, None] + ns[None, :] - inter)
-        link &= np.triu(np.ones_like(link), 1) & (fresh[:, None] | fresh[None, :])
-        if len(np.unique(part)) > 1:
-            link &= part[:, None] != part[None, :]
-        parent = np.arange(len(ids))
-
-        def root(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        edges = []
-        for i, j in zip(*np.nonzero(link), strict=True):
-            x, y = root(i), root(j)
-            if x != y:
-                parent[y] = x
-                edges.append((ids[i], ids[j]))
-        return pd.DataFrame(edges, columns=["a", "b"], dtype=np.int64)
-
-    return run
-
-
-def _dense(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links among sets whose prefixes are hot: ``hot (token, set, n)``.
-
-    The sets of a token are gathered under the least of them, its hub; tokens with one hub make one group, and two sets
-    that share a token share a group. Each set is first checked against the hub. Those that link to it need no check
-    among themselves; the others are checked against all of the group in blocks of bounded size, a task for each pair of
-    blocks, which gives as few links as keep its sets connected. Blocks are cut by length, and pairs of blocks
-    whose lengths rule a link out are left out.
-    """
-    firsts = hot.groupBy("token").agg(F.min("set").alias("grp"))
-    members = hot.join(firsts, "token").select("grp", "set", "n").distinct().checkpoint()
-    spokes = members.where("set <> grp").select(F.col("grp").alias("a"), F.col("set").alias("b"))
-    linked = _linked(spokes, sets, percent).checkpoint()
-    near = linked.select(F.col("a").alias("grp"), F.col("b").alias("set"), F.lit(True).alias("near"))
-    # Blocks: ranges of length in quarter powers of two, cut by hash to the block's size.
-    sized = (
-        members.join(near, ["grp", "set"], "left")
-        .select("grp", "set", "n", (F.col("near").isNull() & (F.col("set") != F.col("grp"))).alias("fresh"))
-        .withColumn("band", F.floor(F.log2("n") * 4).cast("int"))
-        .checkpoint()
-    )
-    per = sized.groupBy("grp", "fresh", "band").agg(F.count("*").alias("rows"), F.sum("n").alias("total"), F.min("n").alias("low"), F.max("n").alias("high"))
-    per = per.withColumn("cuts", F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("total") / BLOCK_TOKENS))).checkpoint()
-    blocked = sized.join(per.select("grp", "fresh", "band", "cuts"), ["grp", "fresh", "band"]).withColumn(
-        "cut", F.pmod(F.xxhash64("set"), F.col("cuts"))
-    )
-    blocks = per.select("grp", "fresh", "band", "low", "high", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)).alias("cut"))
-    left, right = blocks.alias("x"), blocks.alias("y")
-    name = lambda s: F.struct(f"{s}.band", f"{s}.cut", f"{s}.fresh")
-    meets = left.join(
-        right,
-        (F.col("x.grp") == F.col("y.grp"))
-        & F.col("x.fresh")
-        & (~F.col("y.fresh") | (name("x") <= name("y")))
-        & (F.col("x.low") * percent <= F.col("y.high") * 100)
-        & (F.col("y.low") * percent <= F.col("x.high") * 100),
-    ).select(
-        F.monotonically_increasing_id().alias("task"),
-        F.array(
-            F.struct("x.grp", "x.fresh", "x.band", "x.cut", F.lit(0).alias("part")),
-            F.struct("y.grp", "y.fresh", "y.band", "y.cut", F.when(name("x") == name("y"), 0).otherwise(1).alias("part")),
-        ).alias("two"),
-    ).checkpoint()
-    sides = meets.select("task", F.inline("two")).distinct()
-    work = (
-        sides.join(blocked, ["grp", "fresh", "band", "cut"]).select("task", "part", "set", "n", "fresh")
-        .join(sets.select("set", "tokens"), "set")
-    )
-    crossed = work.groupBy("task").applyInPandas(_forest(percent), "a long, b long")
-    return linked.unionByName(crossed)
-
-
 def link(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, key, n_shingles, component_id`` for every row of ``docs (doc_id, text)``.
 
@@ -254,7 +123,7 @@ def link(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFram
        tokens or more, so beyond the hot ones (over ``HOT`` sets) a number of cold ones remains. Cold tokens make pairs, which
        must have that many matches and enough of the longest common prefix for the overlap that the pair needs.
     3. Pairs are checked on the whole sets.
-    4. Sets whose prefixes are so hot that no level leaves a cold token are linked by :func:`_dense`.
+    4. Sets whose prefixes are so hot that no level leaves a cold token are linked by :func:`tarn.llm.groups.dense_links`.
 
     No pair is lost: step 2 bounds hold for any order and any choice of levels. Rows that repeat an id are rows of
     their own, null ids form no component id (null, if all of a component are). An empty table gives no rows. Other columns are ignored.
@@ -318,9 +187,9 @@ def link(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFram
         again.join(wanted.select("set", "c1", "c2"), ["c1", "c2"]).select("set", "n", "tokens")
         .dropDuplicates(["set"]).checkpoint()
     )
-    links = _linked(pairs, sets, percent)
+    links = linked(pairs, sets, percent)
     if dense.limit(1).count():
-        links = links.unionByName(_dense(dense, sets, percent))
+        links = links.unionByName(dense_links(dense, sets, percent))
     together = components(links.checkpoint()).withColumnRenamed("node", "set").checkpoint()
     within = classes.join(together, "set", "left").withColumn("component", F.coalesce("component", "set"))
     heads = within.groupBy("component").agg(F.min("doc_id").alias("component_id"))

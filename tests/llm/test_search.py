@@ -13,7 +13,7 @@ from fixtures import documents, empty, texts, twins, words
 from pyspark.sql import functions as F
 
 from tarn.llm import components as C
-from tarn.llm import decontaminate, jaccard_join, line_dedup, secret_scan, token_blocks, toxicity
+from tarn.llm import decontaminate, groups, jaccard_join, line_dedup, secret_scan, token_blocks, toxicity
 from tarn.llm import words as W
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -43,28 +43,33 @@ def test_components(spark):
     assert C.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def shingles(text):
+def shingles(text, n=5):
     found = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
-    return frozenset(tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))) if found else frozenset()
+    return frozenset(tuple(found[i : i + n]) for i in range(max(1, len(found) - n + 1))) if found else frozenset()
 
 
-def linked(x, y):
-    return bool(x and y) and 100 * len(x & y) >= 80 * len(x | y)
+def linked(x, y, percent=80):
+    return bool(x and y) and 100 * len(x & y) >= percent * len(x | y)
 
 
-@pytest.mark.parametrize("hot", [32, 3, 1])
-def test_jaccard_join(spark, monkeypatch, hot):
-    monkeypatch.setattr(jaccard_join, "HOT", hot)
-    monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", 20)
-    rows = texts() + [(900 + i, t, "s") for i, t in enumerate(twins())]
-    sets = [shingles(t) for _, t, _ in rows]
-    pairs = [(i, j) for j in range(len(rows)) for i in range(j) if linked(sets[i], sets[j])]
+def linked_rows(rows, n=5, percent=80):
+    """Each row's id, set size and component, and the components' least ids."""
+    sets = [shingles(t, n) for _, t, _ in rows]
+    pairs = [(i, j) for j in range(len(rows)) for i in range(j) if linked(sets[i], sets[j], percent)]
     group = components_of(range(len(rows)), pairs)
     least = {}
     for i, g in group.items():
         if rows[i][0] is not None:
             least[g] = min(least.get(g, rows[i][0]), rows[i][0])
-    want = collections.Counter((rows[i][0], len(sets[i]), least.get(g, rows[i][0])) for i, g in group.items())
+    return collections.Counter((rows[i][0], len(sets[i]), least.get(g, rows[i][0])) for i, g in group.items()), least
+
+
+@pytest.mark.parametrize("hot", [32, 3, 1])
+def test_jaccard_join(spark, monkeypatch, hot):
+    monkeypatch.setattr(jaccard_join, "HOT", hot)
+    monkeypatch.setattr(groups, "BLOCK_ROWS", 20)
+    rows = texts() + [(900 + i, t, "s") for i, t in enumerate(twins())]
+    want, least = linked_rows(rows)
     docs = documents(spark, rows)
     got = jaccard_join.link(docs)
     assert collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == want

@@ -122,9 +122,10 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, classes: DataFrame, size: int
     hubs = pairs.select(F.col("a").alias("set"), F.col("a").alias("hub")).distinct()
     asked = hubs.unionByName(pairs.select(F.col("b").alias("set"), F.col("a").alias("hub"))).groupBy("set").agg(F.collect_list("hub").alias("hubs"))
     sets = _with_sets(texts, asked, classes, size).select("set", F.explode("hubs").alias("a"), "tokens").checkpoint()
-    own = sets.where("set = a").select("a", F.col("tokens").alias("left")).dropDuplicates(["a"])
+    # Written down, so that the join deals both sides anew and a hub of many sets is split.
+    own = sets.where("set = a").select("a", F.col("tokens").alias("left")).dropDuplicates(["a"]).checkpoint()
     members = sets.where("set <> a").select("a", F.col("set").alias("b"), F.col("tokens").alias("right"))
-    return links_of(members.join(own, "a"), percent).distinct()
+    return links_of(members.join(own, "a"), percent)
 
 
 def link(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -162,7 +163,7 @@ def link(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFram
         found.where("n > 0").select(F.col("row").alias("set"), "n", "bands").join(classes.select("set"), "set", "left_semi")
         .select("set", "n", F.explode("bands").alias("bucket"))
     )
-    heads = placed.groupBy("bucket").agg(F.min("set").alias("hub"), F.count("*").alias("sets")).where("sets > 1")
+    heads = placed.groupBy("bucket").agg(F.min("set").alias("hub"), F.count("*").alias("sets")).where("sets > 1").checkpoint()
     members = placed.join(heads, "bucket").select("bucket", "set", "n", "hub", "sets").checkpoint()
     nearest = members.where("set <> hub").groupBy(F.col("set").alias("b")).agg(F.min("hub").alias("a"))
     links = _confirmed(nearest, texts, classes, size, percent).checkpoint()

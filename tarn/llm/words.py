@@ -75,11 +75,11 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
 
 
 def word_hashes(
-    data: np.ndarray, offsets: np.ndarray, letters: np.ndarray = SPACED, stem: int = 0
+    data: np.ndarray, offsets: np.ndarray, letters: np.ndarray = SPACED, stem: int = 0, exact: bool = False
 ) -> tuple[np.ndarray, ...]:
     """The hash of each word, and for each text (and the end) the number of its first word.
 
-    Words are runs of the bytes that ``letters`` marks. With ``stem``, also the hash of each word's first so many bytes,
+    Words are runs of the bytes that ``letters`` marks; with ``exact``, A-Z stay as they are. With ``stem``, also the hash of each word's first so many bytes,
     which is the word's own where it has no more.
     """
     none = np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), *([np.zeros(0, np.uint64)] if stem else [])
@@ -96,7 +96,7 @@ def word_hashes(
     place = np.arange(starts[0], len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))
     outside = ~inside[starts[0] :]
     place[outside] = 0
-    values = _cells(place, _CODE[data[starts[0] :]])
+    values = _cells(place, (_EXACT if exact else _CODE)[data[starts[0] :]])
     values[outside] = 0
     hashes, begins = mix(np.add.reduceat(values, starts - starts[0])), np.searchsorted(starts, offsets)
     if not stem:

@@ -136,71 +136,84 @@ def test_alignment_against_a_table():
         assert decontaminate._align(x, y)[0] == h.max()
 
 
+def repeated_words(rows, key_of, least=50):
+    """For each (doc_id, text) the words that lie in a run of ``least`` words that came before, from all runs of all texts."""
+    order = sorted({(i, t) for i, t, _ in rows}, key=lambda d: (d[0] is None, d[0] or 0, key_of[d]))
+    first, gone = {}, {}
+    for doc in order:
+        own = re.findall(r"[^\x20\x09-\x0D]+", doc[1] or "")
+        gone[doc] = set()
+        for a in range(len(own) - least + 1):
+            seen, at = first.setdefault(tuple(own[a : a + least]), (doc, a))
+            if seen != doc or a - at >= least:
+                gone[doc] |= set(range(a, a + least))
+    return gone
+
+
 def test_line_runs(spark):
     line = lambda n, size: " ".join(words(n, size, 5000))
     passage = [line(i, 20) for i in range(900, 905)]
+    x, y = line(920, 60), line(921, 10)
+    unmarked = line(930, 300)
     rows = texts() + [
         (500, "\n".join([line(1, 9), *passage, line(2, 9)]), "s"),
         (501, "\n".join([line(3, 9), " " + passage[0], *passage[1:4], line(4, 9)]), "s"),
         (502, "\n".join([*passage[:2], line(5, 60), *passage[2:]]), "s"),
         (503, "\n".join([line(6, 60)] * 4), "s"),
         (504, line(5, 60) + "\n" + passage[0] + "\n", "s"),
-    ]
-    lines = {}
-    for i, t, _ in rows:
-        lines.setdefault((i, t), [x.strip() for x in (t or "").split("\n")])
-    key_of = {(r["doc_id"], r["text"]): r["key"] for r in documents(spark, rows).select("doc_id", "text", F.xxhash64("text").alias("key")).collect()}
-    first, gone = {}, collections.defaultdict(set)
-    for doc in sorted(lines, key=lambda d: (d[0] is None, d[0] or 0, key_of[d])):
-        own = lines[doc]
-        for a in range(len(own)):
-            b = next((b for b in range(a + 1, len(own) + 1) if len(" ".join(own[a:b]).split()) >= 50), None)
-            if b is None:
-                break
-            if (seen := first.setdefault(tuple(own[a:b]), (doc, a))) != (doc, a):
-                other, at = lines[seen[0]], seen[1]
-                low, high, shift = a, b, a - at
-                while low > 0 and low > shift and own[low - 1] == other[low - 1 - shift]:
-                    low -= 1
-                while high < len(own) and high - shift < len(other) and own[high] == other[high - shift]:
-                    high += 1
-                gone[doc] |= set(range(low, high))
+        (505, line(922, 70) + " " + x, "s"), (506, f"{line(923, 30)} {x} {y} {line(924, 30)}", "s"), (507, f"a b {x} {y} c d", "s"),
+        (508, f"{line(925, 20)} {unmarked} {line(926, 20)}", "s"), (509, f"q\n{line(927, 5)} {unmarked} {line(928, 5)}\nr", "s"),
+        (510, "again " * 400, "s"), (511, "to and fro " * 90, "s"), (512, x.upper() + " " + x, "s"),
+        (513, " ".join(line(940 + i, 40) for i in range(400)), "s"), (514, " ".join(line(940 + i, 40) for i in range(399, -1, -1)), "s"),
+        (515, " ".join(line(940 + i, 40) for i in (5, 6, 7, 300, 301, 302, 7, 8, 9)), "s"),
+    ] + [(600 + i, f"{line(700 + i, 7)} {x} {line(800 + i, 9)}", "s") for i in range(30)]
     docs = documents(spark, rows)
+    key_of = {(r["doc_id"], r["text"]): r["key"] for r in docs.select("doc_id", "text", F.xxhash64("text").alias("key")).collect()}
+    gone = repeated_words(rows, key_of)
     out = line_dedup.dedup_lines(docs)
     assert out.columns == [*docs.columns, "runs", "kept_text"] and out.count() == len(rows)
+    kept = {}
     for row in out.collect():
         doc = (row["doc_id"], row["text"])
-        assert {i for r in row["runs"] for i in range(r["start"], r["end"])} == gone[doc]
-        kept = None if row["text"] is None else "\n".join(x for i, x in enumerate(row["text"].split("\n")) if i not in gone[doc])
-        assert row["kept_text"] == kept
-    assert gone[501, rows[-4][1]] == {1, 2, 3, 4} and gone[503, rows[-2][1]] == {1, 2, 3}
+        assert {i for r in row["runs"] for i in range(r["start"], r["end"])} == gone[doc], doc[0]
+        assert all(a["end"] < b["start"] for a, b in zip(row["runs"][:-1], row["runs"][1:], strict=True))
+        own = re.findall(r"[^\x20\x09-\x0D]+", row["text"] or "")
+        assert re.findall(r"[^\x20\x09-\x0D]+", row["kept_text"] or "") == [w for i, w in enumerate(own) if i not in gone[doc]]
+        kept[row["doc_id"]] = row["kept_text"]
+    assert kept[None] is None or isinstance(kept[None], str)
+    assert kept[501].split("\n") == [line(3, 9), line(4, 9)] and kept[503] == line(6, 60) + "\n" and kept[507] == "a b c d"
+    assert kept[509] == f"q\n{line(927, 5)} {line(928, 5)}\nr" and kept[510].split() == ["again"] * 50
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
 
 
-def test_runs_inside_lines(spark):
-    said = lambda n: " ".join(words(n, 9, 5000)).capitalize() + (". " if n % 2 else "! ")
-    passage = "".join(said(n) for n in range(900, 907))
-    rows = [
-        (1, "Own first. " + passage + "Own last.\nmore", "s"),
-        (2, "Begins here, " + passage + "Ends\n\nhere 3.5.", "s"),
-        (3, "one\n" + passage.strip() + "\ntwo", "s"),
-        (4, "short " + said(900) + said(901), "s"),
-        (5, None, "s"),
-    ]
-    got = {r["doc_id"]: (len(r["runs"]), r["kept_text"]) for r in line_dedup.dedup_lines(documents(spark, rows)).collect()}
-    assert got == {1: (0, rows[0][1]), 2: (1, "Begins here, Ends\n\nhere 3.5."), 3: (1, "one\ntwo"), 4: (0, rows[3][1]), 5: (0, None)}
-    for text in ("", "\n", "a. b\n\n c? ", "x\u3002y \u3002\u3002", "e.g. 3.5, \u201cno.\u201d So; "):
-        own = line_dedup.pieces(text)
-        assert "\n".join("".join(text[a:b] for a, b in own if low <= a and b <= high) for low, high in lines_of(text)) == text
-        assert line_dedup.without(text, []) == text and line_dedup.without(text, [{"start": 0, "end": len(own)}]) == ""
-    assert [("x\u3002y \u3002\u3002z")[a:b] for a, b in line_dedup.pieces("x\u3002y \u3002\u3002z")] == ["x\u3002", "y \u3002\u3002", "z"]
-
-
-def lines_of(text):
-    low = 0
-    for line in text.split("\n"):
-        yield low, low + len(line)
-        low += len(line) + 1
+def test_repeated_words_of_given_documents(spark):
+    rows = [(r["doc_id"], r["text"], "s") for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    docs = documents(spark, rows)
+    key_of = {(r["doc_id"], r["text"]): r["key"] for r in docs.select("doc_id", "text", F.xxhash64("text").alias("key")).collect()}
+    gone = repeated_words(rows, key_of)
+    got = {(r["doc_id"], r["text"]): {i for x in r["runs"] for i in range(x["start"], x["end"])} for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == gone and sum(map(len, gone.values())) > 0
+
+
+def test_winnowing_guarantees_a_fingerprint():
+    rng = np.random.default_rng(9)
+    for least in (2, 3, 10, 50):
+        for size in (2, 400):
+            x = rng.integers(0, size, 300)
+            y = np.concatenate((rng.integers(0, size, 40), x[100 : 100 + least], rng.integers(0, size, 40)))
+            column = pa.array([" ".join(map(str, v)) for v in (x, y)])
+            for _, _, data, offsets in W.slices(column):
+                found = line_dedup.Winnowed(data, offsets, least)
+                assert set(found.fingerprints(0)[0].tolist()) & set(found.fingerprints(1)[0].tolist())
+                assert found.digests(np.array([100]))[0] == found.digests(found.begins[1] + np.array([40]))[0]
+
+
+def test_texts_without_runs():
+    run = lambda a, b: [{"start": a, "end": b}]
+    assert line_dedup.without("a b c d", run(1, 3)) == "a d" and line_dedup.without(" a b\n\n c", run(0, 2)) == "c"
+    assert line_dedup.without("a\nb c\nd", run(1, 3)) == "a\nd" and line_dedup.without("a b\nc\nd", run(1, 3)) == "a \nd"
+    assert line_dedup.without("é ü\nö", run(2, 3)) == "é ü\n" and line_dedup.without("a b", []) == "a b"
+    assert line_dedup.without("a b c d e\nf", [{"start": 1, "end": 2}, {"start": 3, "end": 5}]) == "a c \nf"
 
 
 def test_packed_blocks_round_trip():

@@ -102,7 +102,9 @@ def test_decontamination(spark):
     assert decontaminate.leaks(documents(spark), bench.limit(0)).count() == 0
 
 
-def test_short_items_with_even_edits(spark):
+@pytest.mark.parametrize("block", [500_000, 20])
+def test_short_items_with_even_edits(spark, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
     items = [words(40 + i, 15 + 5 * i, 10_000) for i in range(3)]
     edits = (lambda i: i % 4 == 3, lambda i: i % 3 == 2, lambda i: i % 2 == 1)
     rows = []
@@ -117,7 +119,7 @@ def test_short_items_with_even_edits(spark):
     want = {}
     for i, t, _ in rows:
         for n, item in enumerate(items):
-            score = decontaminate._align(hashed(" ".join(item)), hashed(t))[0] / (2 * len(item))
+            score = decontaminate.align(hashed(" ".join(item)), hashed(t))[0] / (2 * len(item))
             if score >= 0.4:
                 want[i, n] = score
     assert {(10 * n + e, n) for n in range(3) for e in (0, 1, 5)} <= set(want)
@@ -133,7 +135,7 @@ def test_alignment_against_a_table():
         for j in range(1, 21):
             for i in range(1, 13):
                 h[j, i] = max(0, h[j - 1, i - 1] + (2 if x[i - 1] == y[j - 1] else -1), h[j - 1, i] - 1, h[j, i - 1] - 1)
-        assert decontaminate._align(x, y)[0] == h.max()
+        assert decontaminate.align(x, y)[0] == h.max()
 
 
 def repeated_words(rows, key_of, least=50):

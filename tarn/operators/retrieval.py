@@ -7,30 +7,31 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarn.functions import vectors as V
 from tarn.functions.encoders import as_matrix
-from tarn.operators.hold import hold
 from tarn.session import checkpoint_root
 
 # Defaults of the searches.
 NEIGHBOURS = 5
 MODALITIES = ("text", "image", "video")
 
-# Largest set of query vectors that is sent to every task, in bytes of doubles.
+# Largest part of the query vectors that a task holds, in bytes of doubles.
 QUERY_BYTES = 32 << 20
 # Kept hits per task: queries x k.
 TASK_HITS = 1_000_000
-# Collection rows measured at once inside a task.
-_ROWS_AT_ONCE = 4096
+# Collection rows and queries measured at once inside a task, and rows of a group.
+_ROWS_AT_ONCE, _QUERIES_AT_ONCE = 4096, 512
+GROUP_ROWS = 1 << 16
 # Groups between the tasks' hits and the final ranking of a query.
 MERGE_GROUPS = 64
 
 _HITS = "query_id string, id string, document string, modality string, distance double, scan_group int"
+_HIT_TABLE = pa.schema(
+    [("query_id", pa.string()), ("id", pa.string()), ("document", pa.string()), ("modality", pa.string()), ("distance", pa.float64()), ("scan_group", pa.int32())]
+)
 
 
 def _pairwise(queries: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
@@ -146,45 +147,64 @@ def knn(
 ) -> DataFrame:
     """Exact k nearest rows of every query ``(query_id, embedding)``, or of every query and modality.
 
-    The collection is scanned in place and never shuffled: a task keeps k hits per query (and modality). The
-    hits are merged in two steps, by query and scan group and then by query. The queries are written down once and
-    travel to the tasks in blocks of a checked size: all in one scan up to ``query_bytes``, one more scan for each
-    further block. NULL vectors on either side are left out, and so is a zero vector under
-    ``cosine``, whose distance is not defined.
+    Both sides are tables: rows are dealt once into groups of at most ``GROUP_ROWS``, queries go to each group in parts of about
+    ``query_bytes`` of doubles, and a task keeps k hits per query (and modality) of its group. The hits are merged in two
+    steps, by query and scan group and then by query. The collection is read once however many queries there are. NULL
+    vectors on either side are left out, and so is a zero vector under ``cosine``, whose distance is not defined.
     """
     if metric not in V.METRICS:
         raise ValueError(f"unknown metric {metric!r}; choose from {V.METRICS}")
-    scan = collection.select("id", "document", "modality", "embedding").filter(F.col("embedding").isNotNull())
-    hits = None
-    for block in _query_blocks(queries, k, query_bytes):
-        names = [row["query_id"] for row in block]
-        matrix = np.array([row["v"] for row in block], dtype=np.float64)
-        part = scan.mapInArrow(_scan(names, matrix, k, metric, exclude_self, per_modality), _HITS)
-        hits = part if hits is None else hits.unionByName(part)
-    if hits is None:
-        hits = collection.sparkSession.createDataFrame([], _HITS)
-    return _ranked(hits, k, ["modality"] if per_modality else [])
-
-
-def _query_blocks(queries: DataFrame, k: int, query_bytes: int) -> Iterator[list[Row]]:
-    """Query vectors in blocks of about ``query_bytes`` of doubles and ``TASK_HITS`` hits."""
+    rows = collection.select("id", "document", "modality", "embedding").filter(F.col("embedding").isNotNull())
+    asked = asked_vectors(queries)
+    groups = max(collection.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // GROUP_ROWS))
+    parts = query_parts(asked, k, query_bytes)
+    left = in_parts(asked, parts).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    right = rows.withColumn("group", F.pmod(F.monotonically_increasing_id(), F.lit(groups)).cast("int"))
+    return _ranked(meet(left, for_parts(right, parts), ["group"], k, metric, exclude_self, per_modality), k, ["modality"] if per_modality else [])
+
+
+def asked_vectors(queries: DataFrame) -> DataFrame:
+    """``query_id, v, query``: the queries with a vector, numbered and written down once."""
     checkpoint_root(queries.sparkSession)
-    plain = (
+    return (
         queries.filter(F.col("embedding").isNotNull())
-        .select("query_id", V.as_double(F.col("embedding")).alias("v"))
-        .withColumn("_row", F.monotonically_increasing_id())
+        .select("query_id", V.as_double(F.col("embedding")).alias("v"), F.monotonically_increasing_id().alias("query"))
         .checkpoint()
     )
-    size = plain.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first()
-    if not size["n"]:
-        return
-    limit = max(1, min(query_bytes // (8 * max(1, size["width"])), TASK_HITS // k))
-    # Rows are dealt by hash of their number, so also repeated ids spread over the blocks.
-    blocks = 1 if size["n"] <= limit else -(-2 * size["n"] // limit)
-    for block in range(blocks):
-        rows = plain.filter(F.pmod(F.xxhash64("_row"), F.lit(blocks)) == block).collect()
-        if rows:
-            yield rows
+
+
+def query_parts(asked: DataFrame, k: int, query_bytes: int = QUERY_BYTES) -> int:
+    """In how many parts queries meet a group of rows, so that vectors and kept hits of a part are bounded."""
+    size = asked.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first()
+    limit = max(1, min(query_bytes // (8 * max(1, size["width"] or 1)), TASK_HITS // k))
+    return max(1, -(-size["n"] // limit))
+
+
+def in_parts(asked: DataFrame, parts: int) -> DataFrame:
+    return asked.withColumn("part", F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int"))
+
+
+def for_parts(rows: DataFrame, parts: int) -> DataFrame:
+    return rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))) if parts > 1 else F.lit(0))
+
+
+def meet(
+    asked: DataFrame, rows: DataFrame, keys: Sequence[str], k: int, metric: str = "l2", exclude_self: bool = False, per_modality: bool = False
+) -> DataFrame:
+    """The k best hits of each query in each group of ``keys`` and ``part``, which both sides carry; groups are bounded by the caller."""
+    by = [*keys, "part"]
+
+    def run(queries: pa.Table, group: pa.Table) -> pa.Table:
+        batches = group.select(["id", "document", "modality", "embedding"]).to_batches()
+        found = []
+        for start in range(0, queries.num_rows, _QUERIES_AT_ONCE):
+            some = queries.slice(start, _QUERIES_AT_ONCE).combine_chunks()
+            names = some.column("query_id").to_pylist()
+            found += _scan(names, as_matrix(some.column("v").combine_chunks()), k, metric, exclude_self, per_modality)(iter(batches))
+        return pa.Table.from_batches(found, _HIT_TABLE)
+
+    left = asked.select("query_id", "v", *(F.col(c).alias(f"_{c}") for c in by)).groupBy(*(f"_{c}" for c in by))
+    return left.cogroup(rows.groupBy(*by)).applyInArrow(run, _HITS)
 
 
 def _ranked(hits: DataFrame, k: int, within: Sequence[str] = ()) -> DataFrame:
@@ -200,91 +220,6 @@ def _ranked(hits: DataFrame, k: int, within: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def knn_approx(
-    queries: DataFrame,
-    collection: DataFrame,
-    k: int = NEIGHBOURS,
-    tables: int = 16,
-    projections: int = 3,
-    bucket_length: float = 0.4,
-    seed: int = 7,
-    broadcast_bytes: int = QUERY_BYTES,
-    salts: int = 16,
-) -> DataFrame:
-    """Approximate k nearest rows by Euclidean distance: hash buckets, then exact distances.
-
-    A table's bucket is one cell of several random projections; rows that share a cell with the query
-    in any table are candidates. A pair that meets in several tables is kept in the first one only, so
-    no distinct over pairs is needed. Queries are broadcast up to a counted size; beyond it both
-    sides are shuffled with the collection salted, so that a crowded bucket is spread. Queries whose
-    buckets hold fewer than k rows are answered exactly; others may miss neighbours that share no cell with
-    them. The defaults keep recall over 0.9 on vectors of width 64 without clusters (``tests/test_retrieval.py``).
-    """
-    first = queries.select(F.size("embedding").alias("width")).first()
-    if first is None:
-        return knn(queries, collection, k)
-    # A query is sent once per table.
-    fitting = broadcast_bytes // (8 * first["width"] * tables)
-    few = queries.limit(fitting + 1).count() <= fitting
-    rows = collection.select(
-        "id", "document", "modality", V.as_double(F.col("embedding")).alias("vector"),
-        array_to_vector(V.as_double(F.col("embedding"))).alias("features"),
-    )
-    asked = queries.select(
-        "query_id",
-        V.as_double(F.col("embedding")).alias("query_vector"),
-        array_to_vector(V.as_double(F.col("embedding"))).alias("features"),
-    )
-    model = BucketedRandomProjectionLSH(
-        inputCol="features",
-        outputCol="hashes",
-        numHashTables=tables * projections,
-        bucketLength=bucket_length,
-        seed=seed,
-    ).fit(rows)
-    hashed = _bucketed(model.transform(rows), "row", tables, projections)
-    hashed_queries = _bucketed(model.transform(asked), "query", tables, projections)
-    keys = ["table_no", "bucket"]
-    if few:
-        pairs = hashed.join(F.broadcast(hashed_queries), keys)
-    else:
-        salted = hashed.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
-        copies = hashed_queries.withColumn(
-            "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        )
-        pairs = salted.join(copies, [*keys, "salt"])
-    shared = F.zip_with("row_buckets", "query_buckets", lambda a, b: a == b)
-    candidates = pairs.filter(F.array_position(shared, F.lit(True)) == F.col("table_no") + 1).select(
-        "query_id", "id", "document", "modality",
-        V.distance(F.col("query_vector"), F.col("vector")).alias("distance"),
-        (F.spark_partition_id() % MERGE_GROUPS).alias("scan_group"),
-    )
-    checkpoint_root(collection.sparkSession)
-    # At most k rows per query; written down, because the fallback below asks for them again.
-    found = _ranked(candidates, k).checkpoint()
-    answered = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= k)
-    short = queries.join(answered, "query_id", "left_anti")
-    exact = knn(short, collection, k)
-    return found.join(answered.select("query_id"), "query_id", "left_semi").unionByName(exact)
-
-
-def _bucketed(df: DataFrame, side: str, tables: int, projections: int) -> DataFrame:
-    """One row per hash table, with the buckets of all tables beside it."""
-    cells = F.transform("hashes", lambda cell: F.get(vector_to_array(cell), F.lit(0)).cast("long"))
-    flat = hold(df.select(*(c for c in df.columns if c not in ("features", "hashes")), "hashes"), "hashes", cells)
-    buckets = F.array(
-        *(
-            F.xxhash64(*(F.get("hashes", F.lit(t * projections + p)) for p in range(projections)))
-            for t in range(tables)
-        )
-    )
-    return (
-        flat.withColumn(f"{side}_buckets", buckets)
-        .drop("hashes")
-        .select("*", F.posexplode(f"{side}_buckets").alias("table_no", "bucket"))
-    )
-
-
 def quota_topk(
     hits: DataFrame, k: int = NEIGHBOURS, modalities: Sequence[str] = ("text", "image")
 ) -> DataFrame:

@@ -7,10 +7,16 @@ from pyspark.sql import functions as F
 
 from tarn.functions import encoders as E
 from tarn.functions import vectors as VE
+from tarn.operators import cells as CE
 from tarn.operators import embeddings as EM
 from tarn.operators import retrieval as R
 from tarn.plans import views as V
-from tarn.plans.cases_media import HASHED_SQL, VIDEOS_SQL, mean_sql
+from tarn.plans.cases_media import HASHED_SQL, VIDEOS_SQL
+from tarn.session import work_path
+
+
+# The share of the axes' cells that the registered approximate search visits.
+PROBED = 0.8
 
 
 def _videos(spark: SparkSession, sf: str) -> DataFrame:
@@ -18,13 +24,10 @@ def _videos(spark: SparkSession, sf: str) -> DataFrame:
     return EM.embed_videos(V.frames(spark, sf)).withColumnRenamed("video_id", "query_id")
 
 
-def _pooled(spark: SparkSession, sf: str) -> DataFrame:
-    """Query vectors of every modality: the mean of each label's vectors, normalised."""
-    pooled = EM.l2_normalize(EM.mean_pool(V.vectors(spark, sf), ["modality", "label"]))
-    return pooled.select(
-        F.concat("modality", F.lit("-"), "label").alias("query_id"),
-        F.col("embedding").cast("array<float>").alias("embedding"),
-    )
+def _asked(spark: SparkSession, sf: str) -> DataFrame:
+    """Query vectors: every stored vector whose id is divisible by 100."""
+    rows = V.vectors(spark, sf).filter(F.col("id").cast("long") % 100 == 0)
+    return rows.select(F.col("id").alias("query_id"), "embedding")
 
 
 def _shown(hits: DataFrame, *more: str) -> DataFrame:
@@ -32,12 +35,12 @@ def _shown(hits: DataFrame, *more: str) -> DataFrame:
 
 
 def knn(spark: SparkSession, sf: str) -> DataFrame:
-    return _shown(R.knn(_videos(spark, sf), V.vectors(spark, sf), 10))
+    return _shown(R.knn(_asked(spark, sf), V.vectors(spark, sf), 10))
 
 
 def knn_metrics(spark: SparkSession, sf: str) -> DataFrame:
     parts = [
-        _shown(R.knn(_videos(spark, sf), V.vectors(spark, sf), metric=metric)).withColumn(
+        _shown(R.knn(_asked(spark, sf), V.vectors(spark, sf), metric=metric)).withColumn(
             "metric", F.lit(metric)
         )
         for metric in ("cosine", "ip")
@@ -58,7 +61,7 @@ def distance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def similarity(spark: SparkSession, sf: str) -> DataFrame:
-    hits = R.knn(_videos(spark, sf), V.vectors(spark, sf), 10)
+    hits = R.knn(_asked(spark, sf), V.vectors(spark, sf), 10)
     return hits.select(
         "query_id",
         "id",
@@ -67,19 +70,28 @@ def similarity(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def knn_pivots(spark: SparkSession, sf: str) -> DataFrame:
+    """The exact search through a stored index with fitted pivots."""
+    index = CE.CellIndex.build(V.vectors(spark, sf), work_path(spark, "cells"))
+    return _shown(index.nearest(_asked(spark, sf), 10))
+
+
 def knn_approx(spark: SparkSession, sf: str) -> DataFrame:
-    return _shown(R.knn_approx(_videos(spark, sf), V.vectors(spark, sf), 10))
+    """The nearest cells of an index whose centres are the axes, so that SQL can follow."""
+    vectors = V.vectors(spark, sf)
+    width = vectors.filter("embedding IS NOT NULL").select(F.size("embedding").alias("n")).first()
+    return _shown(CE.knn_approx(_asked(spark, sf), vectors, 10, PROBED, CE.axis_centres(width["n"])))
 
 
 def quota_topk(spark: SparkSession, sf: str) -> DataFrame:
     """Only texts and images are shown: a video query without the videos."""
-    hits = R.knn(_videos(spark, sf), V.vectors(spark, sf), per_modality=True)
+    hits = R.knn(_asked(spark, sf), V.vectors(spark, sf), per_modality=True)
     return _shown(R.quota_topk(hits), "modality_rank")
 
 
 def cross_modal_search(spark: SparkSession, sf: str) -> DataFrame:
     """Text, image and video queries against all three modalities."""
-    hits = R.cross_modal_search(_pooled(spark, sf), V.vectors(spark, sf), videos=True)
+    hits = R.cross_modal_search(_asked(spark, sf), V.vectors(spark, sf), videos=True)
     return _shown(hits, "modality_rank")
 
 
@@ -102,7 +114,7 @@ def text_search(spark: SparkSession, sf: str) -> DataFrame:
 
 def hydrate_hits(spark: SparkSession, sf: str) -> DataFrame:
     """The stored object of each text hit."""
-    hits = R.cross_modal_search(_pooled(spark, sf), V.vectors(spark, sf))
+    hits = R.cross_modal_search(_asked(spark, sf), V.vectors(spark, sf))
     documents = V.table(spark, sf, "documents").select(
         F.concat(F.lit("texts/"), "doc_id", F.lit(".txt")).alias("key"), "text"
     )
@@ -112,17 +124,8 @@ def hydrate_hits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def exclude_self(spark: SparkSession, sf: str) -> DataFrame:
-    """Stored videos as queries over a collection that holds them."""
-    videos = _videos(spark, sf)
-    stored = V.vectors(spark, sf).select("id", "document", "modality", "embedding").unionByName(
-        videos.select(
-            F.col("query_id").alias("id"),
-            F.concat(F.lit("trusted-zone/videos/"), "query_id", F.lit(".mp4")).alias("document"),
-            F.lit("video").alias("modality"),
-            "embedding",
-        )
-    )
-    return _shown(R.exclude_self(R.knn(videos, stored, 11), 10))
+    """Stored vectors as queries over the collection that holds them."""
+    return _shown(R.exclude_self(R.knn(_asked(spark, sf), V.vectors(spark, sf), 11), 10))
 
 
 _DIST = "list_sum(list_transform(list_zip(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
@@ -130,8 +133,7 @@ _DOT = "list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[])"
 _COS = "list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[])"
 
 _VIDEO_QUERIES = f"{VIDEOS_SQL}, queries AS (SELECT video_id AS query_id, embedding FROM video_vectors)"
-_POOLED_QUERIES = f"""{V.VECTORS_SQL}, {mean_sql('pooled', 'vectors', 'modality, label')},
-queries AS (SELECT modality || '-' || label AS query_id, ({V.unit_sql('raw')})::FLOAT[] AS embedding FROM pooled)"""
+_ASKED = "queries AS (SELECT id AS query_id, embedding FROM vectors WHERE id::BIGINT % 100 = 0)"
 
 
 def _ranked(k: int | None, distance_: str = _DIST, collection: str = "vectors") -> str:
@@ -151,11 +153,11 @@ shown AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance,
 _COLUMNS = "query_id, rank::INT AS rank, id, modality, round(distance, 6) AS distance"
 
 CASES = {
-    "knn": (knn, f"WITH {V.VECTORS_SQL}, {_VIDEO_QUERIES}, {_ranked(10)} SELECT {_COLUMNS} FROM hits"),
+    "knn": (knn, f"WITH {V.VECTORS_SQL}, {_ASKED}, {_ranked(10)} SELECT {_COLUMNS} FROM hits"),
     "knn_metrics": (
         knn_metrics,
-        f"""SELECT * FROM (WITH {V.VECTORS_SQL}, {_VIDEO_QUERIES}, {_ranked(5, f'1 - {_COS}')} SELECT {_COLUMNS}, 'cosine' AS metric FROM hits)
-        UNION ALL SELECT * FROM (WITH {V.VECTORS_SQL}, {_VIDEO_QUERIES}, {_ranked(5, f'1 - {_DOT}')} SELECT {_COLUMNS}, 'ip' AS metric FROM hits)""",
+        f"""SELECT * FROM (WITH {V.VECTORS_SQL}, {_ASKED}, {_ranked(5, f'1 - {_COS}')} SELECT {_COLUMNS}, 'cosine' AS metric FROM hits)
+        UNION ALL SELECT * FROM (WITH {V.VECTORS_SQL}, {_ASKED}, {_ranked(5, f'1 - {_DOT}')} SELECT {_COLUMNS}, 'ip' AS metric FROM hits)""",
     ),
     "distance": (
         distance,
@@ -164,18 +166,34 @@ CASES = {
     ),
     "similarity": (
         similarity,
-        f"""WITH {V.VECTORS_SQL}, {_VIDEO_QUERIES}, {_ranked(10)} SELECT query_id, id, round(1 - distance, 6) AS similarity,
+        f"""WITH {V.VECTORS_SQL}, {_ASKED}, {_ranked(10)} SELECT query_id, id, round(1 - distance, 6) AS similarity,
         round(1 - distance / 2, 6) AS cosine FROM hits""",
     ),
-    "knn_approx": (knn_approx, None),
+    "knn_pivots": (knn_pivots, f"WITH {V.VECTORS_SQL}, {_ASKED}, {_ranked(10)} SELECT {_COLUMNS} FROM hits"),
+    "knn_approx": (
+        knn_approx,
+        f"""WITH {V.VECTORS_SQL}, {_ASKED},
+        axes AS (SELECT id, unnest(range(2 * len(embedding))) AS cell, embedding FROM vectors),
+        placed AS (SELECT id, cell FROM axes
+          QUALIFY row_number() OVER (PARTITION BY id ORDER BY CASE WHEN cell % 2 = 0 THEN -embedding[cell // 2 + 1] ELSE embedding[cell // 2 + 1] END, cell) = 1),
+        sizes AS (SELECT cell, count(*) AS n FROM placed GROUP BY cell),
+        near AS (SELECT q.query_id, s.cell, s.n, row_number() OVER (PARTITION BY q.query_id ORDER BY
+            CASE WHEN s.cell % 2 = 0 THEN -q.embedding[s.cell // 2 + 1] ELSE q.embedding[s.cell // 2 + 1] END, s.cell) AS place FROM queries q, sizes s),
+        running AS (SELECT *, sum(n) OVER (PARTITION BY query_id ORDER BY place) - n AS before FROM near),
+        probed AS (SELECT query_id, cell FROM running WHERE place <= ceil({PROBED} * (SELECT count(*) FROM sizes)) OR before < 10),
+        pairs AS (SELECT q.query_id, v.id, v.modality, {_DIST} AS distance FROM probed p JOIN queries q USING (query_id)
+          JOIN placed c ON c.cell = p.cell JOIN vectors v ON v.id = c.id),
+        hits AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM pairs)
+        SELECT {_COLUMNS} FROM hits WHERE rank <= 10""",
+    ),
     "quota_topk": (
         quota_topk,
-        f"""WITH {V.VECTORS_SQL}, {_VIDEO_QUERIES}, {_ranked(None)}, {_quota("'text', 'image'")}
+        f"""WITH {V.VECTORS_SQL}, {_ASKED}, {_ranked(None)}, {_quota("'text', 'image'")}
         SELECT {_COLUMNS}, modality_rank::INT AS modality_rank FROM shown""",
     ),
     "cross_modal_search": (
         cross_modal_search,
-        f"""WITH {_POOLED_QUERIES}, {_ranked(None)}, {_quota("'text', 'image', 'video'")}
+        f"""WITH {V.VECTORS_SQL}, {_ASKED}, {_ranked(None)}, {_quota("'text', 'image', 'video'")}
         SELECT {_COLUMNS}, modality_rank::INT AS modality_rank FROM shown""",
     ),
     "text_search": (
@@ -188,15 +206,14 @@ CASES = {
     ),
     "hydrate_hits": (
         hydrate_hits,
-        f"""WITH {_POOLED_QUERIES}, {_ranked(None)}, {_quota("'text', 'image'")}
+        f"""WITH {V.VECTORS_SQL}, {_ASKED}, {_ranked(None)}, {_quota("'text', 'image'")}
         SELECT query_id, s.id, replace(s.document, 'trusted-zone/', '') AS key, md5(d.text) AS text_md5
         FROM shown s LEFT JOIN documents d ON replace(s.document, 'trusted-zone/', '') = 'texts/' || d.doc_id || '.txt'""",
     ),
     "exclude_self": (
         exclude_self,
-        f"""WITH {V.VECTORS_SQL}, {_VIDEO_QUERIES}, stored AS (SELECT id, document, modality, embedding FROM vectors
-          UNION ALL SELECT query_id, '', 'video', embedding::DOUBLE[] FROM queries),
-        {_ranked(11, collection='stored')}, others AS (SELECT * EXCLUDE (rank), row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank
+        f"""WITH {V.VECTORS_SQL}, {_ASKED}, {_ranked(11)},
+        others AS (SELECT * EXCLUDE (rank), row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank
           FROM hits WHERE id <> query_id) SELECT {_COLUMNS} FROM others WHERE rank <= 10""",
     ),
 }

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tarn.operators import retrieval as R
-from tarn.plans import views
 
 KINDS = (("text", "txt"), ("image", "png"), ("video", "mp4"))
 
@@ -138,33 +135,6 @@ def test_repeated_query_ids_in_blocks(spark, data):
     assert got.select("query_id").distinct().count() == 1
 
 
-@pytest.mark.parametrize("broadcast_bytes", [32 << 20, 1024])
-def test_approximate_search(spark, data, broadcast_bytes):
-    queries, matrix = data
-    hits = R.knn_approx(asked(spark, queries), collection(spark, matrix), 10, bucket_length=2.0, broadcast_bytes=broadcast_bytes)
-    got, want = ranked(hits), brute(queries, matrix, 10)
-    assert all(len(v) == 10 for v in got.values()) and set(got) == set(want)
-    recall = np.mean([len(set(got[q]) & set(want[q])) / 10 for q in want])
-    assert recall >= 0.7
-
-
-@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
-def test_recall_of_the_registered_defaults(spark, sf):
-    if not os.path.isdir(sf):
-        pytest.skip("no test tables")
-    stored = views.vectors(spark, sf)
-    queries = stored.filter(F.col("id").cast("long") % 100 == 0).select(F.col("id").alias("query_id"), "embedding")
-    want, got = ranked(R.knn(queries, stored, 10)), ranked(R.knn_approx(queries, stored, 10))
-    assert len(want) >= 5 and set(got) == set(want)
-    assert np.mean([len(set(got[q]) & set(want[q])) / 10 for q in want]) >= 0.9
-
-
-def test_approximate_search_falls_back(spark, data):
-    queries, matrix = data
-    hits = R.knn_approx(asked(spark, queries + 50), collection(spark, matrix), 5, bucket_length=1e-6)
-    assert ranked(hits) == brute(queries + 50, matrix, 5)
-
-
 def test_hydrate(spark):
     hits = spark.createDataFrame([("q", "1", "trusted-zone/texts/a.txt"), ("q", "2", "trusted-zone/trusted-zone/b.txt")], "query_id string, id string, document string")
     objects = spark.createDataFrame([("texts/a.txt", "A"), ("trusted-zone/b.txt", "B")], "key string, text string")

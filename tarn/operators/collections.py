@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarn.functions import keys as K
+from tarn.operators.ledger import NumberLedger
 from tarn.sources.snapshots import Snapshots
 
 COLLECTION = T.StructType(
@@ -92,6 +93,7 @@ class CollectionStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.tables = Snapshots(spark, root)
+        self.ledger = NumberLedger(spark, f"{root.rstrip('/')}/_ledger")
 
     def names(self) -> list[str]:
         return [name for name in self.tables.names() if not name.startswith("_")]

@@ -13,10 +13,15 @@ from pyspark.sql import functions as F
 from tarn.functions import encoders as E
 from tarn.functions import text as X
 from tarn.functions import vectors as V
+from tarn.operators.hold import hold
 from tarn.operators.media import MAX_FRAMES, frame_sample
 from tarn.operators.ordinal import ordinal
 
 
+# Fixed value: tokens that a model reads of a text.
+MAX_TOKENS = 512
+
+
 def l2_normalize(df: DataFrame, column: str = "embedding") -> DataFrame:
     return df.withColumn(column, V.l2_normalize(F.col(column)))
 
@@ -29,27 +34,12 @@ def encode_batch(
 
 
 def hash_encode(docs: DataFrame, width: int = 64) -> DataFrame:
-    """``(key, embedding)`` by counting words per hash slot, all in the JVM.
-
-    Words are counted before the shuffle, so a document sends at most ``width`` rows.
-    """
-    slot = F.conv(F.substring(F.md5("word"), 1, 4), 16, 10).cast("int") % width
-    counted = (
-        docs.select("key", F.explode_outer(X.words(F.col("text"))).alias("word"))
-        .groupBy("key", slot.alias("slot"))
-        .agg(F.count("word").alias("n"))
-    )
-    # At most one entry per slot.
-    entries = F.collect_list(F.when(F.col("slot").isNotNull(), F.struct("slot", "n")))
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(width - 1)),
-        lambda place: F.coalesce(F.col("counts")[place], F.lit(0)).cast("double"),
-    )
-    return (
-        counted.groupBy("key")
-        .agg(F.map_from_entries(entries).alias("counts"))
-        .select("key", V.l2_normalize(dense).cast("array<float>").alias("embedding"))
-    )
+    """``(key, embedding)`` by counting words per hash slot, all in the JVM and inside the row."""
+    slots = F.transform(X.words(F.coalesce("text", F.lit(""))), lambda w: F.conv(F.substring(F.md5(w), 1, 4), 16, 10).cast("int") % width)
+    hashed = hold(docs.select("key", "text").withColumn("slots", F.array().cast("array<int>")), "slots", slots)
+    count = lambda place: (F.size("slots") - F.size(F.array_remove("slots", F.lit(place)))).cast("double")
+    dense = hold(hashed.withColumn("dense", F.array().cast("array<double>")), "dense", F.array(*(count(i) for i in range(width))))
+    return dense.select("key", V.l2_normalize(F.col("dense")).cast("array<float>").alias("embedding"))
 
 
 def mean_pool(df: DataFrame, group: Sequence[str], column: str = "embedding") -> DataFrame:
@@ -59,13 +49,13 @@ def mean_pool(df: DataFrame, group: Sequence[str], column: str = "embedding") ->
 
 
 def embed_paragraphs(
-    docs: DataFrame, factory: E.EncoderFactory, separator: str = "\n\n"
+    docs: DataFrame, factory: E.EncoderFactory, separator: str = "\n\n", tokens: int | None = None
 ) -> DataFrame:
-    """``(key, embedding)``: each paragraph encoded, averaged and normalised inside the row."""
-    return docs.select(
-        "key",
-        E.encode_pooled(X.paragraphs(F.col("text"), separator), factory).alias("embedding"),
-    )
+    """``(key, embedding)``: each paragraph (its first ``tokens`` tokens, if given) encoded, averaged and normalised inside the row."""
+    parts = X.paragraphs(F.col("text"), separator)
+    if tokens is not None:
+        parts = F.transform(parts, lambda part: F.array_join(X.truncate_tokens(part, tokens), " "))
+    return docs.select("key", E.encode_pooled(parts, factory).alias("embedding"))
 
 
 def project_linear(

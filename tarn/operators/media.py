@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tarn.functions.text import python_round
 from tarn.operators.ordinal import ordinal, running_total
 from tarn.operators.skew import join_facts, null_safe
+from tarn.session import checkpoint_root
 
 # Pixel mode -> channels.
 CHANNELS_OF_MODE = {"RGB": 3, "RGBA": 4, "L": 1, "CMYK": 4}
@@ -21,6 +22,8 @@ PNG_MODES = {0: "L", 2: "RGB", 3: "P", 4: "LA", 6: "RGBA"}
 BINS = 50
 TARGET_FPS = 30
 MAX_FRAMES = 16
+# Videos whose frame counts (two short columns) may be broadcast.
+FEW_VIDEOS = 500_000
 
 
 def _lookup(column: Column, table: dict) -> Column:
@@ -136,10 +139,10 @@ def quantiles(df: DataFrame, columns: Sequence[str], levels: Sequence[float]) ->
 
 
 def describe_all(df: DataFrame, texts: Sequence[str] = (), numbers: Sequence[str] = ()) -> DataFrame:
-    """Long-form summary ``(column, stat, value)``: strings and numbers alike, values as text.
+    """Long-form summary ``(column, stat, value, number)``: values as text, and as doubles where they are numbers.
 
     Strings: count, unique, top (the smallest on a tie), freq. Numbers: count, mean, std, min,
-    quartiles, max.
+    quartiles, max; as text with six decimals where the number has no more, else with all its digits.
     """
     parts = []
     if texts:
@@ -168,11 +171,11 @@ def describe_all(df: DataFrame, texts: Sequence[str] = (), numbers: Sequence[str
             F.min("value").alias("min"),
             F.max("value").alias("max"),
         )
-        parts.append(_stats(aggregated, ("count", "mean", "std", "min", "max"), rounded=True))
+        parts.append(_stats(aggregated, ("count", "mean", "std", "min", "max"), numbers=True))
         quartile = F.concat(F.round(F.col("level") * 100).cast("int").cast("string"), F.lit("%"))
         parts.append(
             quantiles(df, numbers, (0.25, 0.5, 0.75)).select(
-                "column", quartile.alias("stat"), _number(F.col("value")).alias("value")
+                "column", quartile.alias("stat"), _written(F.col("value")).alias("value"), F.col("value").cast("double").alias("number")
             )
         )
     result = parts[0]
@@ -181,20 +184,16 @@ def describe_all(df: DataFrame, texts: Sequence[str] = (), numbers: Sequence[str
     return result
 
 
-def _number(value: Column) -> Column:
-    return value.cast("decimal(38,6)").cast("string")
+def _written(value: Column) -> Column:
+    number = value.cast("double")
+    short = F.format_string("%.6f", number)
+    return F.when(value.isNull(), None).when(short.cast("double") == number, short).otherwise(number.cast("string"))
 
 
-def _stats(wide: DataFrame, names: Sequence[str], rounded: bool = False) -> DataFrame:
-    cells = F.array(
-        *(
-            F.struct(
-                F.lit(name).alias("stat"),
-                (_number(F.col(name)) if rounded else F.col(name).cast("string")).alias("value"),
-            )
-            for name in names
-        )
-    )
+def _stats(wide: DataFrame, names: Sequence[str], numbers: bool = False) -> DataFrame:
+    text = lambda name: _written(F.col(name)) if numbers else F.col(name).cast("string")
+    number = lambda name: F.lit(None).cast("double") if name == "top" else F.col(name).cast("double")
+    cells = F.array(*(F.struct(F.lit(n).alias("stat"), text(n).alias("value"), number(n).alias("number")) for n in names))
     return wide.select("column", F.inline(cells))
 
 
@@ -261,8 +260,8 @@ def frame_sample(
     """At most ``max_frames`` evenly spaced frames of each video by 0-based ``frame_no``.
 
     ``total`` names a column with the video's frame count (NULL: unknown, take the first frames).
-    Without it the frames are counted, the choice is made on their numbers alone, and only the chosen
-    frames are looked up, so no other payload moves. Unreadable frames, with a NULL payload or embedding, drop out
+    Without it the frames are counted. Counts of up to ``FEW_VIDEOS`` videos are sent to the frames, which are then chosen where they lie, so
+    no payload moves; with more videos the choice is made on the numbers alone, and the frames are looked up by shuffle. Unreadable frames, with a NULL payload or embedding, drop out
     after the choice.
     """
     number = F.col("frame_no")
@@ -272,16 +271,24 @@ def frame_sample(
         return counted.filter((number % step == 0) & (number < step * max_frames))
 
     if total is None:
-        counts = frames.groupBy("video_id").agg(F.count("*").alias("_total"))
+        checkpoint_root(frames.sparkSession)
+        counts = frames.groupBy("video_id").agg(F.count("*").alias("_total")).checkpoint()
+        if counts.count() <= FEW_VIDEOS:
+            known = frames.alias("f").join(F.broadcast(counts.alias("w")), null_safe("f", "w", ["video_id"])).select("f.*", "w._total")
+            return _readable(chosen(known, F.col("_total")).drop("_total"))
         numbers = join_facts(frames.select("video_id", "frame_no").distinct(), counts, ["video_id"])
         wanted = chosen(numbers, F.col("_total")).select("video_id", "frame_no")
         sampled = frames.alias("f").join(wanted.alias("w"), null_safe("f", "w", ["video_id", "frame_no"]), "left_semi")
     else:
         sampled = chosen(frames, F.col(total))
+    return _readable(sampled)
+
+
+def _readable(frames: DataFrame) -> DataFrame:
     for payload in ("payload", "embedding"):
         if payload in frames.columns:
-            sampled = sampled.filter(F.col(payload).isNotNull())
-    return sampled
+            frames = frames.filter(F.col(payload).isNotNull())
+    return frames
 
 
 def before_after_profile(

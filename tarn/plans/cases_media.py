@@ -12,6 +12,7 @@ from tarn.operators import embeddings as EM
 from tarn.operators import media as M
 from tarn.operators.images import frame_standardize as standardize_frames
 from tarn.operators.images import image_standardize as standardize
+from tarn.operators.ledger import NumberLedger
 from tarn.plans import views as V
 from tarn.plans.cases_text import _pieces
 from tarn.session import work_path
@@ -62,7 +63,13 @@ TEXTS, NUMBERS = ("file_name", "mode"), ("file_size", "width", "height", "aspect
 
 
 def describe_all(spark: SparkSession, sf: str) -> DataFrame:
-    return M.describe_all(_profiles(spark, sf), TEXTS, NUMBERS)
+    return _shown(M.describe_all(_profiles(spark, sf), TEXTS, NUMBERS))
+
+
+def _shown(summary: DataFrame) -> DataFrame:
+    """Statistics of numbers with six digits, as SQL writes them."""
+    digits = F.col("number").cast("decimal(38,6)").cast("string")
+    return summary.withColumn("value", F.when(F.col("column").isin(*NUMBERS), digits).otherwise(F.col("value"))).drop("number")
 
 
 def before_after_profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,7 +81,7 @@ def before_after_profile(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("RGB").alias("mode"),
         (F.col("file_size") / 2).alias("file_size"),
     )
-    return M.before_after_profile(before, after, ("mode",), ("file_size", "width"))
+    return _shown(M.before_after_profile(before, after, ("mode",), ("file_size", "width")))
 
 
 def distinct_modes(spark: SparkSession, sf: str) -> DataFrame:
@@ -173,6 +180,14 @@ def embed_videos(spark: SparkSession, sf: str) -> DataFrame:
     return V.digest(EM.embed_videos(V.frames(spark, sf)), ["video_id"])
 
 
+def numbered_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents numbered in two batches, even ids first; the second brings the first ones again."""
+    ledger = NumberLedger(spark, work_path(spark, "ledger"))
+    keys = V.docs(spark, sf).select("key")
+    ledger.extend(keys.filter("key % 2 = 0"), "text").count()
+    return ledger.extend(keys, "text").select("key", "id")
+
+
 def assign_ids(spark: SparkSession, sf: str) -> DataFrame:
     texts = V.objects(spark, sf).filter(F.startswith("key", F.lit("temporal-landing/text_")))
     return EM.assign_ids(texts, "text").select("key", "id")
@@ -417,6 +432,10 @@ CASES = {
         f"WITH {V.VECTORS_SQL}, {_PROJECT}, v AS (SELECT id, ({V.unit_sql('raw')})::FLOAT[] AS embedding FROM p) {V.digest_sql('id', 'v')}",
     ),
     "embed_videos": (embed_videos, f"WITH {VIDEOS_SQL} {V.digest_sql('video_id', 'video_vectors')}"),
+    "numbered_batches": (
+        numbered_batches,
+        "SELECT doc_id AS key, 'text_' || row_number() OVER (ORDER BY doc_id % 2, doc_id) AS id FROM documents",
+    ),
     "assign_ids": (
         assign_ids,
         """WITH k AS (SELECT 'temporal-landing/text_' || doc_id || '.txt' AS key FROM documents)

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.functions import encoders as E
+from tarn.functions import text as X
 from tarn.operators import embeddings as EM
 from tarn.operators import retrieval as R
-from tarn.operators.collections import CollectionStore
+from tarn.operators.collections import CollectionStore, collection_width
 
 BUCKET = "trusted-zone"
 # Id prefix of each modality.
@@ -23,11 +24,14 @@ def _documents(df: DataFrame, bucket: str) -> DataFrame:
 
 
 def store_texts(
-    store: CollectionStore, name: str, texts: DataFrame, factory: E.EncoderFactory, bucket: str = BUCKET
+    store: CollectionStore, name: str, texts: DataFrame, factory: E.EncoderFactory, bucket: str = BUCKET, tokens: int = EM.MAX_TOKENS
 ) -> DataFrame:
-    """Number, embed and store text objects ``(key, text)``."""
-    numbered = EM.assign_ids(texts.select("key"), PREFIXES["text"])
-    vectors = EM.embed_paragraphs(texts, factory).join(numbered, "key")
+    """Number, embed and store text objects ``(key, text)``: numbers run on from batch to batch, and a key keeps its own.
+
+    Of every paragraph the model gets the first ``tokens`` tokens. A batch that is run again changes nothing.
+    """
+    numbered = store.ledger.extend(texts.select("key").distinct(), PREFIXES["text"])
+    vectors = EM.embed_paragraphs(texts, factory, tokens=tokens).join(numbered, "key")
     return store.add(name, _documents(vectors, bucket))
 
 
@@ -35,7 +39,7 @@ def store_images(
     store: CollectionStore, name: str, images: DataFrame, factory: E.EncoderFactory, bucket: str = BUCKET
 ) -> DataFrame:
     """Number, embed and store image objects ``(key, payload)``."""
-    numbered = EM.assign_ids(images.select("key"), PREFIXES["image"])
+    numbered = store.ledger.extend(images.select("key").distinct(), PREFIXES["image"])
     vectors = EM.encode_batch(images, factory, "payload").join(numbered, "key")
     return store.add(name, _documents(vectors, bucket))
 
@@ -50,7 +54,7 @@ def store_videos(
 ) -> DataFrame:
     """Number all video objects ``(key)``, and store those whose frames ``(video_id = key, ...)`` give
     a vector."""
-    numbered = EM.assign_ids(objects.select("key"), PREFIXES["video"])
+    numbered = store.ledger.extend(objects.select("key").distinct(), PREFIXES["video"])
     vectors = EM.embed_videos(frames, factory).withColumnRenamed("video_id", "key")
     return store.add(name, _documents(vectors.join(numbered, "key"), bucket))
 
@@ -94,3 +98,31 @@ def search(
     """Quota of nearest objects per modality for query vectors, with their bodies if given."""
     hits = R.cross_modal_search(queries, store.get_or_create(name), k, candidates, videos)
     return hits if objects is None else R.hydrate_hits(hits, objects)
+
+
+def ask(
+    store: CollectionStore,
+    name: str,
+    inputs: DataFrame,
+    factory: E.EncoderFactory,
+    source: str = "text",
+    k: int = R.NEIGHBOURS,
+    tokens: int = EM.MAX_TOKENS,
+    videos: bool = False,
+) -> DataFrame:
+    """Quota of nearest objects per modality for raw inputs ``(query_id, <source>)``: texts, images or frames.
+
+    Inputs are encoded as stored objects are (texts up to ``tokens`` tokens; the frames ``(query_id, frame_no, <source>)`` of a video pooled), and
+    vectors of another width than the collection's pass through the stored projection, as its vectors did.
+    """
+    if "frame_no" in inputs.columns:
+        frames = inputs.withColumnsRenamed({"query_id": "video_id", source: "payload"})
+        vectors = EM.embed_videos(frames, factory).withColumnRenamed("video_id", "query_id")
+    else:
+        given = F.array_join(X.truncate_tokens(F.col(source), tokens), " ") if source == "text" else F.col(source)
+        vectors = EM.encode_batch(inputs.select("query_id", given.alias("_given")), factory, "_given").select("query_id", "embedding")
+    width = collection_width(store.get_or_create(name))
+    given_width = collection_width(vectors)
+    if width is not None and given_width is not None and width != given_width:
+        vectors = EM.project_linear(vectors, *stored_projection(store, given_width, width))
+    return search(store, name, vectors, k=k, videos=videos)

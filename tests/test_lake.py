@@ -358,6 +358,64 @@ def test_exploitation_end_to_end(spark, tmp_path):
     assert store.names() == ["all", "images", "texts", "texts_images", "videos"]
 
 
+def test_numbers_run_on_over_batches(spark, tmp_path):
+    store = CO.CollectionStore(spark, str(tmp_path / "store"))
+    batch = lambda *names: spark.createDataFrame([(f"texts/{n}.txt", f"words of {n}") for n in names], "key string, text string")
+    X.store_texts(store, "texts", batch("b", "a"), E.hash_encoder(16))
+    X.store_texts(store, "texts", batch("d", "c"), E.hash_encoder(16))
+    want = {f"trusted-zone/texts/{n}.txt": f"text_{i}" for i, n in enumerate("abcd", 1)}
+    assert {r["document"]: r["id"] for r in store.get_or_create("texts").collect()} == want
+    X.store_texts(store, "texts", batch("c", "a"), E.hash_encoder(16))
+    assert store.get_or_create("texts").count() == 4 and store.ledger.mark("text") == 4
+    # A batch that was numbered but not stored is stored with its numbers when it comes again.
+    store.ledger.extend(batch("f", "e").select("key"), "text").count()
+    X.store_texts(store, "texts", batch("0", "e", "f").unionByName(batch("e")), E.hash_encoder(16))
+    want |= {"trusted-zone/texts/e.txt": "text_5", "trusted-zone/texts/f.txt": "text_6", "trusted-zone/texts/0.txt": "text_7"}
+    assert {r["document"]: r["id"] for r in store.get_or_create("texts").collect()} == want
+    assert store.names() == ["texts"] and store.ledger.mark("img") == 0
+    odd = store.ledger.extend(spark.createDataFrame([(None,), ("x",), ("x",)], "name string"), "img", "name")
+    assert sorted((r["name"] or "", r["id"] or "") for r in odd.collect()) == [("", ""), ("x", "img_1"), ("x", "img_1")]
+
+
+def test_raw_inputs_are_asked_as_objects_were_stored(spark, tmp_path):
+    store = CO.CollectionStore(spark, str(tmp_path / "store"))
+    texts = spark.createDataFrame([("texts/a.txt", "red robot war"), ("texts/b.txt", "quiet farm " + "cow " * 600)], "key string, text string")
+    X.store_texts(store, "texts", texts, E.hash_encoder(16))
+    asked = spark.createDataFrame([("q1", "robot war red"), ("q2", "quiet farm " + "cow " * 900)], "query_id string, text string")
+    best = {r["query_id"]: (r["id"], r["distance"]) for r in X.ask(store, "texts", asked, E.hash_encoder(16), k=1).collect()}
+    assert best["q1"][0] == "text_1" and best["q2"][0] == "text_2" and best["q2"][1] == pytest.approx(0, abs=1e-9)
+    wide = X.merge_collections(store, "wide", ["texts"], 24)
+    assert wide.count() == 2
+    best = X.ask(store, "wide", asked, E.hash_encoder(16), k=1).filter("query_id = 'q1'").first()
+    assert best["id"] == "text_1" and best["distance"] == pytest.approx(0, abs=1e-9)
+    frames = spark.createDataFrame([("v", i, "red robot war") for i in range(20)], "query_id string, frame_no long, payload string")
+    assert X.ask(store, "texts", frames, E.hash_encoder(16), "payload", k=1).first()["id"] == "text_1"
+
+
+def test_small_numbers_keep_their_digits(spark):
+    df = spark.createDataFrame([("a", 1e-9), ("b", 3e-9)], "s string, x double")
+    stats = {(r["column"], r["stat"]): (r["value"], r["number"]) for r in M.describe_all(df, ["s"], ["x"]).collect()}
+    assert stats["x", "mean"][1] == pytest.approx(2e-9, rel=1e-12) and float(stats["x", "max"][0]) == 3e-9
+    assert stats["x", "25%"][1] == pytest.approx(1.5e-9) and stats["s", "top"] == ("a", None)
+
+
+def test_payloads_and_words_stay_where_they_are(spark, tmp_path):
+    rows = [(f"v{i % 3}", i // 3, f"payload {i}") for i in range(90)]
+    path = str(tmp_path / "frames")
+    spark.createDataFrame(rows, "video_id string, frame_no long, payload string").write.parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = M.frame_sample(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    texts = spark.createDataFrame([(1, "a b a"), (2, ""), (3, None)], "key long, text string")
+    coded = EM.hash_encode(texts, 8)
+    assert "Exchange" not in coded._jdf.queryExecution().executedPlan().toString()
+    got = {r["key"]: r["embedding"] for r in coded.collect()}
+    assert got[2] == got[3] == [0.0] * 8 and got[1] == pytest.approx(E.hash_encoder(8)()(["a b a"])[0], abs=1e-6)
+
+
 def test_hot_groups(spark):
     """One key with most of the rows: positions, samples and means stay right."""
     n = 3000

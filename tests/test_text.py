@@ -85,55 +85,55 @@ def test_low_printable_ratio_edge(spark):
     assert [r["low_printable_ratio"] for r in rows] == [False, True, False]
 
 
-def brute_clean(text):
-    text = unicodedata.normalize("NFKC", text).replace("﻿", "")
-    text = "".join(c for c in text if not (ord(c) < 32 and c not in "\t\n\r") and c != "\x7f")
-    text = text.replace("\r\n", "\n").replace("\r", "\n")
-    spaces = " \t\xa0　" + "".join(chr(c) for c in range(0x2000, 0x200C))
-    lines = []
-    for line in text.split("\n"):
-        out = []
-        for c in line:
-            if c in spaces:
-                if not out or out[-1] != " ":
-                    out.append(" ")
-            else:
-                out.append(c)
-        lines.append("".join(out).strip())
-    return re.sub(r"\n{3,}", "\n\n", "\n".join(lines))
+# What cleaning leaves of ODD_TEXTS, written out by hand.
+CLEANED = [
+    "",
+    "",
+    "plain text",
+    "a\nb\nc\n\nd",
+    "padded",
+    "tab andvtff",
+    "bell zero width bom",
+    "café café fi 1 A",
+    "smile \U0001f600✨ é✨ éé",
+    "one. two! three? four。 five! six",
+    "xyz\x85w v",
+    "a b c",
+    "line one\n\nline two",
+    "no space.at all?yes",
+    "del é",
+]
 
 
 def test_basic_clean(spark):
     docs = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "key int, text string")
     got = [r["text"] for r in TC.basic_clean(docs).orderBy("key").collect()]
-    assert got == [brute_clean(t) for t in ODD_TEXTS]
-
+    assert got == CLEANED
 
-def brute_scrub(text):
-    text = unicodedata.normalize("NFKC", text)
-    text = "".join(c for c in text if not 0x300 <= ord(c) <= 0x36F)
-    text = "".join(" " if (ord(c) < 32 and c not in "\t\n\r") or c == "\x7f" else c for c in text)
-    emoji = [(0x1F300, 0x1FAFF), (0x2700, 0x27BF)]
 
-    def kind(c):
-        if any(a <= ord(c) <= b for a, b in emoji):
-            return "emoji"
-        return "other" if ord(c) > 127 else None
-
-    out, last = [], None
-    for c in text:
-        now = kind(c)
-        if now is None:
-            out.append(c)
-        elif now != last:
-            out.append(" ")
-        last = now
-    return "".join(out)
+# What the last scrub leaves of ODD_TEXTS, written out by hand.
+SCRUBBED = [
+    "",
+    "   ",
+    "plain text",
+    "a\r\nb\rc\n\n\n\nd",
+    "  padded ",
+    "tab\tand vt ff",
+    "bell  zero width   bom",
+    "caf  caf  fi 1 A",
+    "smile       ",
+    "one. two! three? four  five!  six",
+    "x y z w v ",
+    "a b   c",
+    "line one \n  \n\n line\t\t two ",
+    "no space.at all?yes",
+    "del   ",
+]
 
 
 def test_final_scrub(spark):
     got = apply(spark, X.final_scrub, ODD_TEXTS)
-    assert got == [brute_scrub(t) for t in ODD_TEXTS]
+    assert got == SCRUBBED
     assert apply(spark, X.final_scrub, got) == got
     assert apply(spark, lambda t: X.final_scrub(t, True), ["é✨\x07"]) == ["é  "]
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,11 +54,17 @@ def dealt(docs: DataFrame, extra: dict[str, Column], decisions: DataFrame, on: l
     ``on`` names columns of ``decisions``; ``extra`` gives them for ``docs``. Rows of one key get its values in turn, in
     the order of their texts' hashes.
     """
-    listed = decisions.groupBy(*on).agg(F.sort_array(F.collect_list(value)).alias("values"))
+    values = decisions.groupBy(*on).agg(F.count("*").alias("n"), F.min(value).alias("least")).checkpoint()
     whole = docs.select(F.struct("*").alias("row"), *(c.alias(name) for name, c in extra.items()))
-    same = F.lit(True)
-    for name in on:
-        same = same & F.col(f"d.{name}").eqNullSafe(F.col(f"k.{name}"))
-    joined = whole.alias("d").join(listed.alias("k"), same).select("d.*", "k.values")
-    turn = Window.partitionBy(*on).orderBy(F.xxhash64("row.text"))
-    return joined.withColumn("turn", F.row_number().over(turn)).select("row", F.get("values", F.col("turn") - 1).alias(value))
+    same = lambda more: reduce(lambda s, name: s & F.col(f"d.{name}").eqNullSafe(F.col(f"k.{name}")), [*on, *more], F.lit(True))
+    # Most keys are one row's alone.
+    single = values.where("n = 1")
+    out = whole.alias("d").join(single.alias("k"), same([])).select("d.row", F.col("k.least").alias(value))
+    several = values.where("n > 1").select(*on)
+    if not several.limit(1).count():
+        return out
+    rows = whole.alias("d").join(several.alias("k"), same([]), "left_semi")
+    turns = rows.withColumn("turn", F.row_number().over(Window.partitionBy(*on).orderBy(F.xxhash64("row.text"))))
+    dealt_out = decisions.withColumn("turn", F.row_number().over(Window.partitionBy(*on).orderBy(value)))
+    more = turns.alias("d").join(dealt_out.select(*on, "turn", value).alias("k"), same(["turn"])).select("d.row", F.col(f"k.{value}").alias(value))
+    return out.unionByName(more)

@@ -51,7 +51,7 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
     are shuffled, the counts meet the index in a sort-merge anti join, and what is new is appended. Of a
     digest that no earlier batch had, the row with the smallest doc_id stays (null ids last; of rows that
     repeat an id, one). A row whose digest an earlier batch had goes, unless it has the id that was kept
-    then. ``group_size`` counts the rows of this batch and those counted when the digest was added; a batch
+    then (of such rows, one). ``group_size`` counts the rows of this batch and those counted when the digest was added; a batch
     that is run again counts its rows once more. An empty table gives no rows. Other columns are ignored.
     """
     checkpoint_root(docs.sparkSession)
@@ -63,15 +63,13 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row")))
     groups = hashed.groupBy("digest").agg(first.alias("first"), F.count("*").alias("n_rows"))
     fresh = groups.join(index.rows().select("digest").hint("merge"), "digest", "left_anti").checkpoint()
-    known = (
-        groups.alias("g")
-        .join(index.rows().alias("i").hint("merge"), "digest")
-        .select(
-            "digest", "i.keep_id", F.lit(None).cast("long").alias("row"),
-            (F.col("g.n_rows") + F.col("i.n_rows")).alias("n_rows"),
-        )
-        .checkpoint()
+    counted = (
+        groups.select("digest", "n_rows").alias("g").join(index.rows().alias("i").hint("merge"), "digest")
+        .select("digest", "i.keep_id", (F.col("g.n_rows") + F.col("i.n_rows")).alias("n_rows")).checkpoint()
     )
+    # Where the kept row comes again, one of its rows stays.
+    again = hashed.join(counted.select("digest", "keep_id"), "digest").where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.min("row").alias("row"))
+    known = counted.join(again, "digest", "left").select("digest", "keep_id", F.coalesce("row", F.lit(-1).cast("long")).alias("row"), "n_rows").checkpoint()
     decided = fresh.select("digest", F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("row"), "n_rows")
     index.append(decided)
     # Both sides are shuffled, so adaptive execution can split a hot digest of the left one.
@@ -82,9 +80,7 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
             "h.doc_id",
             "k.keep_id",
             F.col("k.n_rows").alias("group_size"),
-            F.when(F.col("k.row").isNotNull(), F.col("h.row") == F.col("k.row"))
-            .otherwise(F.col("h.doc_id").eqNullSafe(F.col("k.keep_id")))
-            .alias("kept"),
+            (F.col("h.row") == F.col("k.row")).alias("kept"),
             "digest",
         )
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import bisect
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,9 +28,10 @@ IDENTIFIER = re.compile(
     r"""AKIA[A-Z0-9]{4,}|(?:client|account|tenant|user|access_?key)_?id["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{4,}""",
     re.IGNORECASE | re.ASCII,
 )
-ENDPOINT = re.compile(
-    r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[A-Za-z0-9._~/-]*)?|\b[a-z0-9-]+(?:\.[a-z0-9-]+)*\.(?:amazonaws\.com|internal)\b"
-)
+URL = re.compile(r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[A-Za-z0-9._~/-]*)?")
+HOST = re.compile(r"[a-z0-9-]+(?:\.[a-z0-9-]+)+")
+HOST_END = re.compile(r"\.(?:amazonaws\.com|internal)\b")
+HOST_START = re.compile(r"\b(?=[a-z0-9-])")
 SECRET_LEAST = 20
 # Code points that may lie between two parts of one credential.
 SCOPE = 256
@@ -48,6 +50,26 @@ def base_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, i
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]))), runs
 
 
+def endpoints(text: str) -> list[tuple[int, int]]:
+    """Addresses, and host names that end in one of the known domains: the longest in each run of dotted names, found in one pass."""
+    found = [(*m.span(), m.end()) for m in URL.finditer(text)] if "http" in text else []
+    if ".amazonaws." in text or ".internal" in text:
+        for run in HOST.finditer(text):
+            ends = [m.span() for m in HOST_END.finditer(text, run.start(), run.end())]
+            # A border at the run's end depends on what follows it.
+            ends = [(a, b) for a, b in ends if b < run.end() or HOST_END.match(text, a)]
+            if ends:
+                found.append((run.start(), ends[-1][1], ends[-1][0]))
+    kept: list[tuple[int, int]] = []
+    for a, b, last in sorted(found):
+        least = max(a, kept[-1][1] if kept else 0)
+        if last == b:  # an address begins where it was found
+            kept += [(a, b)] if least == a else []
+        elif start := HOST_START.search(text, least, last) if least < last else None:
+            kept.append((start.start(), b))
+    return kept
+
+
 def part_spans(text: str, base: list[tuple[str, int, int]], runs: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
     """Identifiers, endpoints, secret-like strings (``weak``), and the assignments of ``base`` (``sure``).
 
@@ -58,8 +80,7 @@ def part_spans(text: str, base: list[tuple[str, int, int]], runs: list[tuple[int
     # As the pattern, without regard to case.
     if "akia" in low or "_id" in low:
         parts += [("id", m.start(), m.end()) for m in IDENTIFIER.finditer(text)]
-    if "http" in text or ".amazonaws." in text or ".internal" in text:
-        parts += [("endpoint", m.start(), m.end()) for m in ENDPOINT.finditer(text)]
+    parts += [("endpoint", a, b) for a, b in endpoints(text)]
     for a, b in runs:
         run = text[a:b]
         if b - a >= SECRET_LEAST and not run.isalpha() and any(map(str.isdigit, run)) and run.upper() != run and run.lower() != run:
@@ -70,7 +91,9 @@ def part_spans(text: str, base: list[tuple[str, int, int]], runs: list[tuple[int
         if not at or taken[at - 1][1] <= part[1]:
             taken.insert(at, part[1:])
             kept.append(part)
-    return [p for p in kept if p[0] != "weak" or not any(p[1] < b and a < p[2] for _, a, b in base)]
+    starts = [a for _, a, _ in base]
+    tops = [0, *accumulate((b for _, _, b in base), max)]
+    return [p for p in kept if p[0] != "weak" or tops[bisect.bisect_left(starts, p[2])] <= p[1]]
 
 
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int64()), ("end", pa.int64())]))

@@ -12,6 +12,7 @@ from fixtures import documents, empty, texts
 from pyspark.sql import functions as F
 
 from tarn.llm import chat, exact_dedup, mixing, sharding
+from tarn.llm.common import dealt
 
 
 def norm(text):
@@ -67,6 +68,25 @@ def wanted_targets(most=3):
         stopped |= over
 
 
+def test_a_repeated_batch_keeps_one_row(spark):
+    rows = documents(spark, [(1, "a", "s"), (1, "a", "s"), (2, "a", "s"), (None, "b", "s"), (None, "b", "s")])
+    index = exact_dedup.new_index(spark)
+    for n in (1, 2):
+        got = exact_dedup.deduplicate(rows, index)
+        assert sorted((r["doc_id"] or 0, r["kept"]) for r in got.collect() if r["kept"]) == [(0, True), (1, True)]
+        assert {r["group_size"] for r in got.where("doc_id = 1").collect()} == {3 * n}
+
+
+def test_values_are_dealt_to_equal_rows(spark):
+    docs = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same").alias("text")).unionByName(
+        spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    )
+    key = F.xxhash64("text")
+    decisions = docs.select("doc_id", key.alias("key"), F.monotonically_increasing_id().alias("n"))
+    got = dealt(docs, {"doc_id": F.col("doc_id"), "key": key}, decisions, ["doc_id", "key"], "n")
+    assert got.count() == 100_001 and got.select("n").distinct().count() == 100_001
+
+
 def test_mixing(spark):
     per, target = wanted_targets()
     docs = documents(spark)

@@ -325,6 +325,28 @@ def test_secrets(spark):
     assert secret_scan.scan(empty(spark)).count() == 0
 
 
+OLD_ENDPOINT = re.compile(r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[A-Za-z0-9._~/-]*)?|\b[a-z0-9-]+(?:\.[a-z0-9-]+)*\.(?:amazonaws\.com|internal)\b")
+
+
+def test_endpoints_follow_their_pattern():
+    rng = np.random.default_rng(3)
+    bits = ["a", "-", ".", "b-c", ".internal", ".amazonaws.com", "http://", "https://x", " ", "Z", "_", "internal", ":80", "/p", "é", "9"]
+    for _ in range(4000):
+        text = "".join(rng.choice(bits, rng.integers(1, 14)))
+        assert secret_scan.endpoints(text) == [m.span() for m in OLD_ENDPOINT.finditer(text)], text
+
+
+def test_secrets_in_long_texts_take_time_in_proportion():
+    import time
+
+    key = "Zx81kQpL02mNvB7rTy5w"
+    for text in ("a.b-c." * 300_000 + " http x.internal", f"AKIAAAAAAAA {key} token = abcdefghijkl0 " * 40_000):
+        start = time.perf_counter()
+        spans, runs = secret_scan.base_spans(text)
+        assert secret_scan.part_spans(text, spans, runs)
+        assert time.perf_counter() - start < 20
+
+
 def test_secrets_beside_identifiers_in_any_case(spark):
     key = "Zx81kQpL02mNvB7rTy5w"
     asked = [f"CLIENT_ID=ABCD-1234\nKEY: {key}", f"akiaabcd {key}", f"Access_Key_Id: abcd {key}", f"CLIENT_IDS ABCD {key}"]

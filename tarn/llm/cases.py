@@ -158,13 +158,13 @@ FROM hashed WINDOW w AS (PARTITION BY text_sha256)
 OP11_SQL = """
 WITH rows AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
-        list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
     FROM embeddings
     WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
     SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label,
-        CAST(coalesce(list_sum(list_transform(list_zip(a.q, b.q), z -> z[1] * z[2])), 0) AS BIGINT) AS score
+        CAST(coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
     FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
 ), positives AS (
     SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = own

@@ -24,7 +24,7 @@ LEAST_TEXTS, FLOOR = 3, 0.1
 STEM = 6
 NEIGHBOURS = 15
 # Weight of the base rate among the votes, examples of one block of the lists, and the score that marks a text.
-PRIOR, BLOCK, TOXIC = 0.5, 64, 0.7
+PRIOR, BLOCK, TOXIC = 0.5, 128, 0.7
 
 
 def _terms_of(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray | None) -> tuple[np.ndarray, ...]:
@@ -110,20 +110,34 @@ def _ranges(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """Inverted lists of unit vectors: a term's list is cut by blocks of examples, and each cut keeps its greatest weight."""
+    """Inverted lists of unit vectors: a term's list is cut by blocks of examples, and each cut keeps its greatest weight.
+
+    Blocks hold examples of one label that share their commonest term, thus a language, and are about as long: their greatest weights are
+    near to what each example has.
+    """
 
     def __init__(self, model: Model, weights: np.ndarray):
         self.weights, self.labels, self.ids = weights, model.labels, model.ids
+        n = len(model.ids)
         value = (1 + np.log(model.counts)) * weights[model.columns]
-        norms = np.sqrt(np.bincount(model.rows, value**2, minlength=len(model.ids)))
-        order = np.lexsort((model.rows, model.columns))
-        self.row, column = model.rows[order].astype(np.int32), model.columns[order]
-        self.value = value[order] / np.where(norms > 0, norms, 1)[self.row]
+        norms = np.sqrt(np.bincount(model.rows, value**2, minlength=n))
+        held = np.bincount(model.columns, minlength=len(weights))
+        by_row = np.lexsort((model.columns, -held[model.columns], model.rows))
+        first = np.searchsorted(model.rows[by_row], np.arange(n), "left")
+        commonest = np.append(model.columns[by_row], -1)[first]
+        #: The example's number at each place, and its place.
+        self.number = np.lexsort((norms, commonest, model.labels))
+        place = np.empty(n, np.intp)
+        place[self.number] = np.arange(n)
+        rows = place[model.rows]
+        order = np.lexsort((rows, model.columns))
+        self.row, column = rows[order], model.columns[order]
+        self.value = (value / np.where(norms > 0, norms, 1)[model.rows])[order]
         block = self.row // BLOCK
         new = np.ones(len(block), bool)
         new[1:] = (block[1:] != block[:-1]) | (column[1:] != column[:-1])
         cuts = np.flatnonzero(new)
-        self.block, self.begin = block[cuts], np.append(cuts, len(block)).astype(np.int32)
+        self.block, self.begin = block[cuts], np.append(cuts, len(block))
         self.most = np.maximum.reduceat(self.value, cuts) if len(cuts) else np.zeros(0)
         self.first = np.searchsorted(column[cuts], np.arange(len(weights) + 1))
 
@@ -155,12 +169,13 @@ class BlockMaxIndex:
         cuts, of = cuts[own], of[own]
         at = _ranges(self.begin[cuts], self.begin[cuts + 1])
         cosines = np.bincount(self.row[at], np.repeat(of, self.begin[cuts + 1] - self.begin[cuts]) * self.value[at])
-        numbers = np.flatnonzero(cosines > 0)
-        if len(numbers) > k:
-            least = np.partition(cosines[numbers], len(numbers) - k)[len(numbers) - k]
-            numbers = numbers[cosines[numbers] >= least - 1e-9]
-        order = np.lexsort((numbers, -np.round(cosines[numbers], 12)))[:k]
-        return numbers[order], cosines[numbers[order]]
+        places = np.flatnonzero(cosines > 0)
+        if len(places) > k:
+            least = np.partition(cosines[places], len(places) - k)[len(places) - k]
+            places = places[cosines[places] >= least - 1e-9]
+        numbers, cosines = self.number[places], cosines[places]
+        order = np.lexsort((numbers, -np.round(cosines, 12)))[:k]
+        return numbers[order], cosines[order]
 
 
 EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())]))

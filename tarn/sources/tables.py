@@ -34,7 +34,7 @@ def content_type_of(key: Column) -> Column:
 def list_files(spark: SparkSession, root: str, bucket: str) -> DataFrame:
     """Manifest of the files below ``root``; bodies are not read.
 
-    Spark leaves out zero-byte files; take those from a listing of the store.
+    Spark leaves out zero-byte files: ``sources.listing.object_listing`` lists them too.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     return files.select(

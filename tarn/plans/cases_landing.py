@@ -18,7 +18,7 @@ from tarn.plans import views as V
 from tarn.plans.zones import drain_landing
 from tarn.session import work_path
 from tarn.sources.snapshots import Snapshots
-from tarn.streaming.drain import object_stream, promote_landing_stream
+from tarn.streaming.drain import object_stream, promote_landing_stream, promote_once_stream
 
 TRIM = V.trim_sql
 
@@ -155,6 +155,24 @@ def promote_landing_stream_case(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{dest}/zone").select("key", "dest_key", "category")
 
 
+def promote_once_stream_case(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document arrives twice, under two names; equal texts are one object."""
+    arriving = object_stream(spark, sf, V.table(spark, sf, "documents").schema, "documents.parquet").select(
+        F.lit("landing-zone").alias("bucket"),
+        F.explode(
+            F.array(*(F.concat(F.lit(f"temporal-landing/{stem}_"), "doc_id", F.lit(".txt")) for stem in ("text", "copy")))
+        ).alias("key"),
+        F.length("text").cast("long").alias("size"),
+        F.lit("text/plain").alias("content_type"),
+        F.md5("text").alias("text_md5"),
+    )
+    dest = work_path(spark, "once")
+    promote_once_stream(
+        arriving, f"{dest}/zone", f"{dest}/progress", V.LAKE_TS, identity=F.col("text_md5")
+    ).awaitTermination()
+    return spark.read.parquet(f"{dest}/zone").select("text_md5", "size", "category")
+
+
 def replicate_zone(spark: SparkSession, sf: str) -> DataFrame:
     zones = V.zones(spark, sf)
     return L.replicate_zone(
@@ -455,6 +473,10 @@ CASES = {
         f"""WITH arriving AS (SELECT 'temporal-landing/text_' || doc_id || '.txt' AS key, 'text/plain' AS content_type
         FROM documents), {_promoted_sql('arriving')} SELECT key, dest_key, category FROM promoted""",
     ),
+    "promote_once_stream": (
+        promote_once_stream_case,
+        "SELECT DISTINCT md5(text) AS text_md5, length(text) AS size, 'texts' AS category FROM documents",
+    ),
     "replicate_zone": (
         replicate_zone,
         f"""WITH {V.ZONES_SQL}, copied AS (SELECT 'formatted-zone' AS bucket, substr(key, 20) AS key, size FROM zones

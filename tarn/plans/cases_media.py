@@ -10,6 +10,7 @@ from tarn.functions import encoders as E
 from tarn.operators import collections as CO
 from tarn.operators import embeddings as EM
 from tarn.operators import media as M
+from tarn.operators import profiles as P
 from tarn.operators.images import frame_standardize as standardize_frames
 from tarn.operators.images import image_standardize as standardize
 from tarn.operators.ledger import NumberLedger
@@ -84,6 +85,50 @@ def before_after_profile(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(M.before_after_profile(before, after, ("mode",), ("file_size", "width")))
 
 
+PROFILED = ("l_quantity", "l_extendedprice", "l_partkey")
+LABELLED = ("l_returnflag", "l_linestatus")
+LEVELS = (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0)
+
+
+def merged_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line number a batch of its own, stored, read back and merged; estimates held against the exact path."""
+    lines = V.table(spark, sf, "lineitem")
+    path = work_path(spark, "profiles")
+    P.batch_profile(lines, ["l_linenumber"], PROFILED, LABELLED).write.partitionBy("l_linenumber").parquet(path)
+    P.store_profile(P.merged_profile(P.stored_profiles(spark, path)), f"{path}-zone", "all")
+    report = P.profile_report(P.stored_profiles(spark, f"{path}-zone"), LEVELS, 3)
+    level = F.get(F.array(*(F.lit(x) for x in LEVELS)), F.col("place"))
+    slack = P.RANK_ERROR
+    held = P.quantile_ranks(lines, report, PROFILED).groupBy("column").agg(
+        F.bool_and(
+            (F.col("below") <= (level + slack) * F.col("n")) & (F.col("upto") >= (level - slack) * F.col("n"))
+        ).alias("quantiles_hold")
+    )
+    exact = lines.agg(*(F.countDistinct(c).alias(c) for c in (*PROFILED, *LABELLED))).select(
+        F.inline(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in (*PROFILED, *LABELLED))))
+    )
+    written = F.concat_ws(",", F.transform("top", lambda t: F.concat(t["item"], F.lit(":"), t["count"])))
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= P.DISTINCT_ERROR * F.col("exact")
+    return report.join(F.broadcast(held), "column", "left").join(F.broadcast(exact), "column").select(
+        "column", "rows", "nulls", "least", "greatest", "quantiles_hold", near.alias("distinct_holds"), written.alias("top")
+    )
+
+
+def _merged_profile_sql() -> str:
+    numbers = (
+        f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, min({c})::DOUBLE AS least,
+        max({c})::DOUBLE AS greatest, true AS quantiles_hold, true AS distinct_holds, '' AS top FROM lineitem"""
+        for c in PROFILED
+    )
+    labels = (
+        f"""SELECT '{c}', (SELECT count(*) FROM lineitem), (SELECT count(*) - count({c}) FROM lineitem), NULL, NULL, NULL, true,
+        (SELECT string_agg({c} || ':' || n, ',' ORDER BY n DESC, {c}) FROM
+          (SELECT {c}, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, 1 LIMIT 3))"""
+        for c in LABELLED
+    )
+    return " UNION ALL ".join([*numbers, *labels])
+
+
 def distinct_modes(spark: SparkSession, sf: str) -> DataFrame:
     return M.distinct_modes(_profiles(spark, sf))
 
@@ -375,6 +420,7 @@ CASES = {
         UNION ALL SELECT *, 'after' FROM ({_describe_sql('after', ('mode',), ('file_size', 'width'))})""",
     ),
     "distinct_modes": (distinct_modes, f"WITH {V.MEDIA_SQL} SELECT DISTINCT mode FROM media"),
+    "merged_profile": (merged_profile, _merged_profile_sql()),
     "histogram": (
         histogram,
         f"WITH {V.MEDIA_SQL} {_histogram_sql('file_size')} UNION ALL {_histogram_sql('aspect_ratio')}",

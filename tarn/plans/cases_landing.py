@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tarn.functions import keys as K
 from tarn.functions import text as X
+from tarn.operators import digests as D
 from tarn.operators import homogenize as H
 from tarn.operators import landing as L
 from tarn.plans import views as V
@@ -191,6 +192,14 @@ def reconcile_zones(spark: SparkSession, sf: str) -> DataFrame:
     return L.reconcile_zones(V.zones(spark, sf), "landing-zone", "formatted-zone", "persistent-landing")
 
 
+def reconcile_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys and sizes of two zones by their digests."""
+    zones = V.zones(spark, sf)
+    source = L.drop_placeholders(zones.filter("bucket = 'landing-zone'"))
+    stripped = source.withColumn("key", K.strip_prefix(F.col("key"), "persistent-landing"))
+    return D.reconcile_tree(stripped, zones.filter("bucket = 'formatted-zone'"))
+
+
 def replace_extension(spark: SparkSession, sf: str) -> DataFrame:
     key = F.regexp_replace("url", "^https?://", "")
     urls = V.table(spark, sf, "pages").select(key.alias("key"))
@@ -495,6 +504,13 @@ CASES = {
         SELECT coalesce(a.key, b.key) AS key, CASE WHEN a.key IS NULL THEN 'extra' WHEN b.key IS NULL THEN 'missing' ELSE 'ok' END AS status
         FROM a FULL OUTER JOIN b ON a.key = b.key""",
     ),
+    "reconcile_tree": (
+        reconcile_tree,
+        f"""WITH {V.ZONES_SQL}, a AS (SELECT substr(key, 20) AS key, size FROM zones WHERE bucket = 'landing-zone' AND NOT (size = 0 AND key LIKE '%/')),
+        b AS (SELECT key, size FROM zones WHERE bucket = 'formatted-zone')
+        SELECT coalesce(a.key, b.key) AS key, CASE WHEN a.key IS NULL THEN 'extra' WHEN b.key IS NULL THEN 'missing'
+          WHEN a.size IS NOT DISTINCT FROM b.size THEN 'ok' ELSE 'changed' END AS status FROM a FULL OUTER JOIN b ON a.key = b.key""",
+    ),
     "replace_extension": (
         replace_extension,
         f"""WITH {V.OBJECTS_SQL}, both_ AS (SELECT key FROM objects UNION ALL SELECT regexp_replace(url, '^https?://', '') FROM pages)

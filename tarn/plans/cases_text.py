@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tarn.functions import chunks as C
 from tarn.functions import text as X
 from tarn.functions.language import LEXICON, TRANSLATOR_CODES
+from tarn.operators import languages as LA
 from tarn.operators import text_clean as TC
 from tarn.operators import text_quality as TQ
 from tarn.plans import views as V
@@ -57,6 +58,28 @@ def line_count(spark: SparkSession, sf: str) -> DataFrame:
     return _noisy(spark, sf).select("key", X.line_count(F.col("text")).alias("lines"))
 
 
+def language_by_grams(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles from all documents with a language, and the language of every document by them."""
+    known = V.table(spark, sf, "documents").select("lang", "text")
+    return LA.language_by_grams(V.docs(spark, sf), LA.language_profiles(known))
+
+
+LANGUAGE_BY_GRAMS_SQL = f"""WITH words AS (
+  SELECT doc_id AS key, lang, '_' || unnest(string_split_regex(lower(text), '[^\\p{{L}}]+')) || '_' AS word FROM documents),
+grams AS (SELECT key, lang, substr(word, i, {LA.GRAM}) AS gram FROM
+  (SELECT *, unnest(range(1, length(word) - {LA.GRAM - 2})) AS i FROM words WHERE word <> '__')),
+counted AS (SELECT lang, gram, count(*) AS n FROM grams WHERE lang IS NOT NULL GROUP BY ALL),
+ranked AS (SELECT *, sum(n) OVER (PARTITION BY lang) AS total, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS place FROM counted),
+profiles AS (SELECT lang AS language, gram, floor(ln(n::DOUBLE / total::DOUBLE / {LA.FLOOR}) * 1000)::BIGINT AS weight FROM ranked WHERE place <= {LA.PROFILE}),
+sums AS (SELECT key, language, sum(weight)::BIGINT AS score FROM grams JOIN profiles USING (gram) WHERE weight > 0 GROUP BY ALL),
+placed AS (SELECT *, row_number() OVER w AS place, score - coalesce(lead(score) OVER w, 0) AS lead_ FROM sums
+  WINDOW w AS (PARTITION BY key ORDER BY score DESC, language)),
+counts AS (SELECT key, count(*) AS n_grams FROM grams GROUP BY key)
+SELECT doc_id AS key, CASE WHEN lead_ >= {LA.MARGIN} * n_grams THEN language ELSE 'unknown' END AS language,
+  coalesce(n_grams, 0) AS n_grams, score, lead_ AS lead
+FROM documents LEFT JOIN counts ON counts.key = doc_id LEFT JOIN (SELECT * FROM placed WHERE place = 1) AS p ON p.key = doc_id"""
+
+
 def language_vote(spark: SparkSession, sf: str) -> DataFrame:
     return TQ.language_vote(V.docs(spark, sf))
 
@@ -292,6 +315,7 @@ CASES = {
         length({TRIM('text')}) < 20 AS too_short FROM documents""",
     ),
     "line_count": (line_count, f"WITH {NOISY_SQL} SELECT key, {_LINE_COUNT} AS lines FROM noisy"),
+    "language_by_grams": (language_by_grams, LANGUAGE_BY_GRAMS_SQL),
     "language_vote": (language_vote, f"SELECT doc_id AS key, {_language_sql()} AS language FROM documents"),
     "route_translation": (
         route_translation,

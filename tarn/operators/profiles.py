@@ -12,10 +12,10 @@ QUANTILE_K = 800
 DISTINCT_LOG2 = 14
 TRACKED = 10_000
 
-# A quantile's rank is off by at most 0.5 % of the rows, a distinct count by 3 % (three standard errors), each with a
+# A quantile's rank is off by at most 0.6 % of the rows (2.296 / k^0.9021 is 0.55 %), a distinct count by 3 % (three standard errors), each with a
 # chance of at least 99 %. A frequent value's count is off by at most 3.5 / 16,384 of the rows, and by nothing
 # while a column has fewer than TRACKED values.
-RANK_ERROR = 0.005
+RANK_ERROR = 0.006
 DISTINCT_ERROR = 0.03
 
 

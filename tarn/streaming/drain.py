@@ -14,11 +14,10 @@ from tarn.sources.tables import content_type_of, relative
 def object_stream(
     spark: SparkSession, root: str, schema: T.StructType | str, pattern: str | None = None
 ) -> DataFrame:
-    """Object rows arriving as parquet files."""
-    reader = spark.readStream.schema(schema)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.parquet(root)
+    """Object rows arriving as parquet files below ``root``, or as the files and folders of files that ``pattern`` names there."""
+    # In braces a plain name is a pattern too: Spark takes a path without one for a folder, and a table may be one file.
+    path = f"{root.rstrip('/')}/{{{pattern}}}" if pattern else root
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def file_stream(spark: SparkSession, root: str, bucket: str = "landing-zone") -> DataFrame:

@@ -6,6 +6,7 @@ import time
 
 import pytest
 
+from tarn.plans import cases_landing as cases
 from tarn.streaming.drain import object_stream, promote_once_stream
 
 SCHEMA = "bucket string, key string, size long, content_type string, content binary"
@@ -94,3 +95,14 @@ def test_the_rows_of_one_identity_are_dealt_to_many_tasks(spark, lake):
     plan = stream._jdf.queryExecution().logical().toString()
     first_step = [line for line in plan.splitlines() if "Deduplicate" in line][-1]
     assert "_salt" in first_step and "_identity" in first_step
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_registered_streams_read_a_table_of_files(spark, tmp_path, files):
+    rows = [(i, f"text {i // 2}", "en", "web", 6) for i in range(6)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    table.repartition(files).write.parquet(str(tmp_path / "documents.parquet"))
+    # A neighbour that the pattern must not take.
+    table.write.parquet(str(tmp_path / "documents.parquet.old"))
+    moved = cases.promote_landing_stream_case(spark, str(tmp_path)).collect()
+    assert sorted(r["key"] for r in moved) == [f"temporal-landing/text_{i}.txt" for i in range(6)]

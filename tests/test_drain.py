@@ -106,3 +106,4 @@ def test_registered_streams_read_a_table_of_files(spark, tmp_path, files):
     table.write.parquet(str(tmp_path / "documents.parquet.old"))
     moved = cases.promote_landing_stream_case(spark, str(tmp_path)).collect()
     assert sorted(r["key"] for r in moved) == [f"temporal-landing/text_{i}.txt" for i in range(6)]
+    assert cases.promote_once_stream_case(spark, str(tmp_path)).count() == 3

@@ -11,7 +11,7 @@ from tarn.operators import cells as CE
 from tarn.operators import embeddings as EM
 from tarn.operators import retrieval as R
 from tarn.plans import views as V
-from tarn.plans.cases_media import HASHED_SQL, VIDEOS_SQL
+from tarn.plans.cases_media import HASHED_SQL, VIDEOS_SQL, mean_sql
 from tarn.session import work_path
 
 
@@ -30,6 +30,21 @@ def _asked(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(F.col("id").alias("query_id"), "embedding")
 
 
+def _with_videos(spark: SparkSession, sf: str) -> DataFrame:
+    """Query vectors: every label's video and every hundredth stored vector."""
+    return _videos(spark, sf).unionByName(_asked(spark, sf))
+
+
+def _with_pooled(spark: SparkSession, sf: str) -> DataFrame:
+    """Query vectors: the normalised mean of each label's vectors of each modality, and every hundredth stored vector."""
+    pooled = EM.l2_normalize(EM.mean_pool(V.vectors(spark, sf), ["modality", "label"]))
+    means = pooled.select(
+        F.concat("modality", F.lit("-"), "label").alias("query_id"),
+        F.col("embedding").cast("array<float>").alias("embedding"),
+    )
+    return means.unionByName(_asked(spark, sf))
+
+
 def _shown(hits: DataFrame, *more: str) -> DataFrame:
     return hits.select("query_id", "rank", "id", "modality", F.round("distance", 6).alias("distance"), *more)
 
@@ -40,7 +55,7 @@ def knn(spark: SparkSession, sf: str) -> DataFrame:
 
 def knn_metrics(spark: SparkSession, sf: str) -> DataFrame:
     parts = [
-        _shown(R.knn(_asked(spark, sf), V.vectors(spark, sf), metric=metric)).withColumn(
+        _shown(R.knn(_with_videos(spark, sf), V.vectors(spark, sf), metric=metric)).withColumn(
             "metric", F.lit(metric)
         )
         for metric in ("cosine", "ip")
@@ -61,7 +76,7 @@ def distance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def similarity(spark: SparkSession, sf: str) -> DataFrame:
-    hits = R.knn(_asked(spark, sf), V.vectors(spark, sf), 10)
+    hits = R.knn(_with_videos(spark, sf), V.vectors(spark, sf), 10)
     return hits.select(
         "query_id",
         "id",
@@ -91,7 +106,7 @@ def quota_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 def cross_modal_search(spark: SparkSession, sf: str) -> DataFrame:
     """Text, image and video queries against all three modalities."""
-    hits = R.cross_modal_search(_asked(spark, sf), V.vectors(spark, sf), videos=True)
+    hits = R.cross_modal_search(_with_pooled(spark, sf), V.vectors(spark, sf), videos=True)
     return _shown(hits, "modality_rank")
 
 
@@ -124,8 +139,17 @@ def hydrate_hits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def exclude_self(spark: SparkSession, sf: str) -> DataFrame:
-    """Stored vectors as queries over the collection that holds them."""
-    return _shown(R.exclude_self(R.knn(_asked(spark, sf), V.vectors(spark, sf), 11), 10))
+    """Stored videos and vectors as queries over the collection that holds them all."""
+    videos = _videos(spark, sf)
+    stored = V.vectors(spark, sf).select("id", "document", "modality", "embedding").unionByName(
+        videos.select(
+            F.col("query_id").alias("id"),
+            F.concat(F.lit("trusted-zone/videos/"), "query_id", F.lit(".mp4")).alias("document"),
+            F.lit("video").alias("modality"),
+            "embedding",
+        )
+    )
+    return _shown(R.exclude_self(R.knn(videos.unionByName(_asked(spark, sf)), stored, 11), 10))
 
 
 _DIST = "list_sum(list_transform(list_zip(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
@@ -133,7 +157,13 @@ _DOT = "list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[])"
 _COS = "list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[])"
 
 _VIDEO_QUERIES = f"{VIDEOS_SQL}, queries AS (SELECT video_id AS query_id, embedding FROM video_vectors)"
-_ASKED = "queries AS (SELECT id AS query_id, embedding FROM vectors WHERE id::BIGINT % 100 = 0)"
+_ASKED_ROWS = "SELECT id AS query_id, embedding FROM vectors WHERE id::BIGINT % 100 = 0"
+_ASKED = f"queries AS ({_ASKED_ROWS})"
+_WITH_VIDEOS = f"""{VIDEOS_SQL}, queries AS (SELECT video_id AS query_id, embedding::DOUBLE[] AS embedding FROM video_vectors
+  UNION ALL {_ASKED_ROWS})"""
+_WITH_POOLED = f"""{mean_sql('pooled', 'vectors', 'modality, label')},
+queries AS (SELECT modality || '-' || label AS query_id, ({V.unit_sql('raw')})::FLOAT[]::DOUBLE[] AS embedding FROM pooled
+  UNION ALL {_ASKED_ROWS})"""
 
 
 def _ranked(k: int | None, distance_: str = _DIST, collection: str = "vectors") -> str:
@@ -156,8 +186,8 @@ CASES = {
     "knn": (knn, f"WITH {V.VECTORS_SQL}, {_ASKED}, {_ranked(10)} SELECT {_COLUMNS} FROM hits"),
     "knn_metrics": (
         knn_metrics,
-        f"""SELECT * FROM (WITH {V.VECTORS_SQL}, {_ASKED}, {_ranked(5, f'1 - {_COS}')} SELECT {_COLUMNS}, 'cosine' AS metric FROM hits)
-        UNION ALL SELECT * FROM (WITH {V.VECTORS_SQL}, {_ASKED}, {_ranked(5, f'1 - {_DOT}')} SELECT {_COLUMNS}, 'ip' AS metric FROM hits)""",
+        f"""SELECT * FROM (WITH {V.VECTORS_SQL}, {_WITH_VIDEOS}, {_ranked(5, f'1 - {_COS}')} SELECT {_COLUMNS}, 'cosine' AS metric FROM hits)
+        UNION ALL SELECT * FROM (WITH {V.VECTORS_SQL}, {_WITH_VIDEOS}, {_ranked(5, f'1 - {_DOT}')} SELECT {_COLUMNS}, 'ip' AS metric FROM hits)""",
     ),
     "distance": (
         distance,
@@ -166,7 +196,7 @@ CASES = {
     ),
     "similarity": (
         similarity,
-        f"""WITH {V.VECTORS_SQL}, {_ASKED}, {_ranked(10)} SELECT query_id, id, round(1 - distance, 6) AS similarity,
+        f"""WITH {V.VECTORS_SQL}, {_WITH_VIDEOS}, {_ranked(10)} SELECT query_id, id, round(1 - distance, 6) AS similarity,
         round(1 - distance / 2, 6) AS cosine FROM hits""",
     ),
     "knn_pivots": (knn_pivots, f"WITH {V.VECTORS_SQL}, {_ASKED}, {_ranked(10)} SELECT {_COLUMNS} FROM hits"),
@@ -193,7 +223,7 @@ CASES = {
     ),
     "cross_modal_search": (
         cross_modal_search,
-        f"""WITH {V.VECTORS_SQL}, {_ASKED}, {_ranked(None)}, {_quota("'text', 'image', 'video'")}
+        f"""WITH {V.VECTORS_SQL}, {_WITH_POOLED}, {_ranked(None)}, {_quota("'text', 'image', 'video'")}
         SELECT {_COLUMNS}, modality_rank::INT AS modality_rank FROM shown""",
     ),
     "text_search": (
@@ -212,8 +242,9 @@ CASES = {
     ),
     "exclude_self": (
         exclude_self,
-        f"""WITH {V.VECTORS_SQL}, {_ASKED}, {_ranked(11)},
-        others AS (SELECT * EXCLUDE (rank), row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank
+        f"""WITH {V.VECTORS_SQL}, {_WITH_VIDEOS}, stored AS (SELECT id, document, modality, embedding FROM vectors
+          UNION ALL SELECT video_id, '', 'video', embedding::DOUBLE[] FROM video_vectors),
+        {_ranked(11, collection='stored')}, others AS (SELECT * EXCLUDE (rank), row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank
           FROM hits WHERE id <> query_id) SELECT {_COLUMNS} FROM others WHERE rank <= 10""",
     ),
 }

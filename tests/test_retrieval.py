@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarn.operators import retrieval as R
+from tarn.plans import cases_search as cases
 
 KINDS = (("text", "txt"), ("image", "png"), ("video", "mp4"))
 
@@ -139,3 +140,25 @@ def test_hydrate(spark):
     hits = spark.createDataFrame([("q", "1", "trusted-zone/texts/a.txt"), ("q", "2", "trusted-zone/trusted-zone/b.txt")], "query_id string, id string, document string")
     objects = spark.createDataFrame([("texts/a.txt", "A"), ("trusted-zone/b.txt", "B")], "key string, text string")
     assert {(r["id"], r["text"]) for r in R.hydrate_hits(hits, objects).collect()} == {("1", "A"), ("2", "B")}
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """Vectors of three labels; two ids are divisible by 100."""
+    folder = tmp_path_factory.mktemp("stored")
+    random = np.random.default_rng(5)
+    rows = [(i, random.normal(size=8).tolist(), i % 3) for i in (0, 1, 2, 50, 99, 100, 101, 102, 103, 104)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
+    return str(folder)
+
+
+VIDEOS_AND_HUNDREDTHS = {"video_0", "video_1", "video_2", "0", "100"}
+
+
+def asked_by(hits):
+    return {r["query_id"] for r in hits.select("query_id").distinct().collect()}
+
+
+def test_metrics_are_asked_by_videos_and_hundredths(spark, stored):
+    for metric in ("cosine", "ip"):
+        assert asked_by(cases.knn_metrics(spark, stored).filter(F.col("metric") == metric)) == VIDEOS_AND_HUNDREDTHS

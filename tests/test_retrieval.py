@@ -162,3 +162,7 @@ def asked_by(hits):
 def test_metrics_are_asked_by_videos_and_hundredths(spark, stored):
     for metric in ("cosine", "ip"):
         assert asked_by(cases.knn_metrics(spark, stored).filter(F.col("metric") == metric)) == VIDEOS_AND_HUNDREDTHS
+
+
+def test_similarity_is_asked_by_videos_and_hundredths(spark, stored):
+    assert asked_by(cases.similarity(spark, stored)) == VIDEOS_AND_HUNDREDTHS

@@ -166,3 +166,9 @@ def test_metrics_are_asked_by_videos_and_hundredths(spark, stored):
 
 def test_similarity_is_asked_by_videos_and_hundredths(spark, stored):
     assert asked_by(cases.similarity(spark, stored)) == VIDEOS_AND_HUNDREDTHS
+
+
+def test_cross_modal_search_is_asked_by_means_and_hundredths(spark, stored):
+    held = {(("text", "image", "video")[r["vec_id"] % 3], r["label"]) for r in spark.read.parquet(f"{stored}/embeddings.parquet").collect()}
+    expected = {f"{kind}-{label}" for kind, label in held} | {"0", "100"}
+    assert asked_by(cases.cross_modal_search(spark, stored)) == expected

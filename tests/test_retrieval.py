@@ -172,3 +172,11 @@ def test_cross_modal_search_is_asked_by_means_and_hundredths(spark, stored):
     held = {(("text", "image", "video")[r["vec_id"] % 3], r["label"]) for r in spark.read.parquet(f"{stored}/embeddings.parquet").collect()}
     expected = {f"{kind}-{label}" for kind, label in held} | {"0", "100"}
     assert asked_by(cases.cross_modal_search(spark, stored)) == expected
+
+
+def test_stored_videos_ask_and_are_found(spark, stored):
+    hits = cases.exclude_self(spark, stored)
+    assert asked_by(hits) == VIDEOS_AND_HUNDREDTHS
+    # Ten vectors and three videos are stored, so a query finds the ten nearest of twelve others.
+    assert hits.filter("id LIKE 'video%'").count() > 0 and hits.count() == 50
+    assert hits.filter("id = query_id").count() == 0

@@ -37,8 +37,12 @@ def hash_encode(docs: DataFrame, width: int = 64) -> DataFrame:
     """``(key, embedding)`` by counting words per hash slot, all in the JVM and inside the row."""
     slots = F.transform(X.words(F.coalesce("text", F.lit(""))), lambda w: F.conv(F.substring(F.md5(w), 1, 4), 16, 10).cast("int") % width)
     hashed = hold(docs.select("key", "text").withColumn("slots", F.array().cast("array<int>")), "slots", slots)
-    count = lambda place: (F.size("slots") - F.size(F.array_remove("slots", F.lit(place)))).cast("double")
-    dense = hold(hashed.withColumn("dense", F.array().cast("array<double>")), "dense", F.array(*(count(i) for i in range(width))))
+    # One lambda for all slots: an expression for each makes a method so long that the JVM does not compile it.
+    counts = F.transform(
+        F.sequence(F.lit(0), F.lit(width - 1)),
+        lambda place: (F.size("slots") - F.size(F.array_remove("slots", place))).cast("double"),
+    )
+    dense = hold(hashed.withColumn("dense", F.array().cast("array<double>")), "dense", counts)
     return dense.select("key", V.l2_normalize(F.col("dense")).cast("array<float>").alias("embedding"))
 
 

@@ -180,3 +180,21 @@ def test_stored_videos_ask_and_are_found(spark, stored):
     # Ten vectors and three videos are stored, so a query finds the ten nearest of twelve others.
     assert hits.filter("id LIKE 'video%'").count() > 0 and hits.count() == 50
     assert hits.filter("id = query_id").count() == 0
+
+
+def test_hash_encode_stays_within_what_the_jvm_compiles(spark, capsys):
+    import re
+
+    from tarn.functions.encoders import encode_column, hash_encoder
+    from tarn.operators import embeddings as EM
+
+    rows = [("a", "one two two  three four"), ("b", ""), ("c", None), ("c", "one"), (None, "x y")]
+    docs = spark.createDataFrame(rows, "key string, text string")
+    for width in (64, 100):
+        encoded = EM.hash_encode(docs, width)
+        want = docs.select("key", encode_column(F.col("text"), hash_encoder(width)).alias("embedding"))
+        assert [r["embedding"] for r in encoded.collect()] == [r["embedding"] for r in want.collect()]
+    EM.hash_encode(docs).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    # Methods of 8,000 bytes and more are interpreted.
+    assert sizes and max(sizes) < 8000

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,33 +29,40 @@ _COMMON_ENTITIES = {
     "middot": "\xb7",
     "amp": "&",
 }
+# Texts that are Python strings at once, in bytes.
+_PART_BYTES = 1 << 20
 _RARE_ENTITY = rf"&(?!(?:{'|'.join(_COMMON_ENTITIES)});)[#a-zA-Z]"
 
 
+def _in_parts(rule: Callable[[str | bytes], str | None], batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """``rule`` of all values, a part of a batch at a time: Python holds no more texts than fit ``_PART_BYTES``, or one."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch), 0).to_numpy()
+        # Values that begin in the same stretch of bytes are one part.
+        stretch = (np.cumsum(sizes, dtype=np.int64) - sizes) // _PART_BYTES
+        starts = [0, *(np.flatnonzero(np.diff(stretch)) + 1).tolist(), len(batch)]
+        for start, end in zip(starts, starts[1:]):
+            values = (value.as_py() for value in batch.slice(start, end - start))
+            yield pa.array([None if value is None else rule(value) for value in values], pa.string())
+
+
 @F.arrow_udf(T.StringType())
-def _nfkc(texts: pa.Array) -> pa.Array:
-    return pa.array(
-        [None if text is None else unicodedata.normalize("NFKC", text) for text in texts.to_pylist()],
-        pa.string(),
-    )
+def _nfkc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    yield from _in_parts(lambda text: unicodedata.normalize("NFKC", text), batches)
 
 
 @F.arrow_udf(T.StringType())
-def _unescape(texts: pa.Array) -> pa.Array:
-    return pa.array(
-        [None if text is None else html.unescape(text) for text in texts.to_pylist()], pa.string()
-    )
+def _unescape(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    yield from _in_parts(html.unescape, batches)
 
 
 @F.arrow_udf(T.StringType())
-def _decode_marked(bodies: pa.Array) -> pa.Array:
-    def decode(body: bytes | None) -> str | None:
-        if body is None:
-            return None
+def _decode_marked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def decode(body: bytes) -> str:
         name = "utf-8-sig" if body.startswith(b"\xef\xbb\xbf") else "utf-16"
         return body.decode(name, errors="ignore")
 
-    return pa.array([decode(body) for body in bodies.to_pylist()], pa.string())
+    yield from _in_parts(decode, batches)
 
 
 def decode_marked(content: Column, marked: Column) -> Column:

@@ -280,3 +280,15 @@ def test_python_round(spark):
     df = spark.createDataFrame([(12.125,), (2.675,), (0.285,), (-1.5,)], "x double")
     got = [r[0] for r in df.select(X.python_round(F.col("x"))).collect()]
     assert got == [round(12.125, 2), round(2.675, 2), round(0.285, 2), -1.5]
+
+
+def test_python_rules_hold_a_part_of_a_batch():
+    import pyarrow as pa
+
+    from tarn.functions import unicode as U
+
+    texts = [" a" * 100_000, None, "", " ", None] * 20
+    parts = list(U._in_parts(lambda text: text, iter([pa.array(texts, pa.string()), pa.array([], pa.string())])))
+    assert [t for part in parts for t in part.to_pylist()] == texts
+    # A part is a stretch of bytes, so it may end with one text beyond it.
+    assert len(parts) > 4 and max(part.nbytes for part in parts) < 2 * U._PART_BYTES

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -11,15 +16,31 @@ from tarn.functions.language import UNKNOWN
 GRAM = 3
 # Grams kept for each language. Profiles are sent to every task: languages times this many short rows.
 PROFILE = 2_000
+# Words looked up at once.
+_WORDS_AT_ONCE = 1 << 16
 # The share that any gram counts as, at least, in every language; and the least lead, in thousandths of a nat a gram.
 FLOOR = 1e-6
 MARGIN = 50
 
 
-def padded_words(text: Column) -> Column:
-    """Words of letters in lower case, each between two marks. Work is by word, so long texts cost no more a letter."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda word: F.length(word) > 0)
-    return F.transform(words, lambda word: F.concat(F.lit("_"), word, F.lit("_")))
+_NO_LETTERS = r"[^\p{L}]+"
+
+
+def words_of(text: Column) -> Column:
+    """Words of letters in lower case, and an empty one at an end without letters. Long texts cost no more a letter."""
+    return F.split(F.lower(text), _NO_LETTERS)
+
+
+def padded(word: Column) -> Column:
+    """A word between two marks."""
+    return F.concat(F.lit("_"), word, F.lit("_"))
+
+
+def gram_count(text: Column) -> Column:
+    """Grams of all words: with its marks, a word of n letters has ``n + 3 - GRAM``."""
+    letters = F.length(F.regexp_replace(F.lower(text), _NO_LETTERS, ""))
+    marks = F.lit(0) if GRAM == 3 else (3 - GRAM) * F.size(F.array_remove(words_of(text), ""))
+    return F.coalesce((letters + marks).cast("long"), F.lit(0).cast("long"))
 
 
 def grams_of(word: Column) -> Column:
@@ -35,13 +56,14 @@ def language_profiles(docs: DataFrame, language: str = "lang", size: int = PROFI
     """
     words = (
         docs.filter(F.col(language).isNotNull())
-        .select(F.col(language).alias("language"), F.explode(padded_words(F.col("text"))).alias("word"))
+        .select(F.col(language).alias("language"), F.explode(words_of(F.col("text"))).alias("word"))
+        .filter("word <> ''")
         .groupBy("language", "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     # Single letters are words of one gram; none is shorter.
     counted = (
-        words.select("language", F.explode(grams_of(F.col("word"))).alias("gram"), "n")
+        words.select("language", F.explode(grams_of(padded(F.col("word")))).alias("gram"), "n")
         .groupBy("language", "gram")
         .agg(F.sum("n").alias("n"))
     )
@@ -56,31 +78,89 @@ def language_profiles(docs: DataFrame, language: str = "lang", size: int = PROFI
     )
 
 
+def gram_keys(points: np.ndarray) -> np.ndarray:
+    """A number for the gram at each code point but the last ones; three code points of 21 bits fit."""
+    keys = np.zeros(max(0, len(points) - (GRAM - 1)), dtype=np.int64)
+    for place in range(GRAM):
+        keys = (keys << 21) | points[place : place + len(keys)]
+    return keys
+
+
+def _code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+
+
+def gram_scores(words: Column, weights: dict[str, dict[int, int]], n_languages: int) -> Column:
+    """Sums of the weights of all grams of an array of words, by number of the language.
+
+    Of each part of a batch the different words are cut into grams; a word that comes again only adds its sums.
+    """
+    points = [(int(gram_keys(_code_points(gram))[0]), of_gram) for gram, of_gram in weights.items()]
+    points.sort(key=lambda pair: pair[0])
+    # A last row of zeros stands for grams that no profile knows.
+    keys = np.array([key for key, _ in points] + [np.iinfo(np.int64).max], dtype=np.int64)
+    table = np.zeros((len(keys), n_languages))
+    for row, (_, of_gram) in enumerate(points):
+        for language, weight in of_gram.items():
+            table[row, language] = weight
+
+    def scored(different: list[str]) -> np.ndarray:
+        lengths = np.fromiter(map(len, different), dtype=np.int64, count=len(different))
+        found = gram_keys(_code_points("".join(f"_{word}_" for word in different)))
+        # The grams that lie in one word, and whose they are.
+        marked = lengths + 2
+        place = np.arange(len(found)) - np.repeat(np.cumsum(marked) - marked, marked)[: len(found)]
+        owner = np.repeat(np.arange(len(different)), marked)[: len(found)]
+        inside = (place <= marked[owner] - GRAM) & (lengths[owner] > 0)
+        found, owner = found[inside], owner[inside]
+        rows = np.searchsorted(keys, found)
+        rows[keys[rows] != found] = len(keys) - 1
+        # Sums of whole numbers in doubles, far below 2^53.
+        columns = [np.bincount(owner, weights=table[rows, n], minlength=len(different)) for n in range(n_languages)]
+        return np.stack(columns, axis=1) if columns else np.zeros((len(different), 0))
+
+    @F.arrow_udf("array<long>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            owners = np.repeat(np.arange(len(batch)), pc.fill_null(pc.list_value_length(batch), 0).to_numpy())
+            flat = batch.flatten()
+            sums = np.zeros((len(batch), n_languages), dtype=np.int64)
+            for start in range(0, len(flat), _WORDS_AT_ONCE):
+                part = flat.slice(start, _WORDS_AT_ONCE).dictionary_encode()
+                of_words = scored(part.dictionary.to_pylist())
+                rows = owners[start : start + _WORDS_AT_ONCE]
+                first, places = rows[0], part.indices.to_numpy()
+                for language in range(n_languages):
+                    found = np.bincount(rows - first, weights=of_words[places, language])
+                    sums[first : first + len(found), language] += found.astype(np.int64)
+            offsets = np.arange(len(batch) + 1, dtype=np.int32) * n_languages
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(sums.reshape(-1)))
+
+    return run(words)
+
+
 def language_by_grams(docs: DataFrame, profiles: DataFrame, margin: int = MARGIN) -> DataFrame:
     """``(key, language, n_grams, score, lead)`` of each document ``(key, text)``; keys are unique.
 
     The language with the greatest sum of weights; equal sums go to the first code. ``unknown`` without letters, without known
     grams, or where the lead over the next language is under ``margin`` a gram. ``score`` and ``lead`` are null without
-    known grams; with a single language the lead is its score. Grams meet the profiles where the text is read
-    and are summed before the shuffle: one row a document and language leaves a task.
+    known grams; with a single language the lead is its score. Weights are above zero. Profiles, a few thousand short rows
+    a language, are read when this is called. Words meet them where the text is read: one row a document and language leaves a task.
     """
-    by_gram = profiles.groupBy("gram").agg(F.collect_list(F.struct("language", "weight")).alias("weights"))
-    grams = docs.select("key", F.explode(F.flatten(F.transform(padded_words(F.col("text")), grams_of))).alias("gram"))
-    hits = grams.join(F.broadcast(by_gram), "gram", "left").select(
-        "key", F.inline_outer(F.coalesce("weights", F.array()))
-    )
-    # A gram that no profile knows keeps one row, so it counts as a gram.
-    sums = hits.groupBy("key", "language").agg(F.sum("weight").alias("score"))
-    counts = docs.select(
-        "key",
-        F.coalesce(
-            F.aggregate(padded_words(F.col("text")), F.lit(0).cast("long"), lambda n, w: n + F.length(w) - (GRAM - 1)),
-            F.lit(0).cast("long"),
-        ).alias("n_grams"),
-    )
+    learned = profiles.select("language", "gram", "weight").collect()
+    languages = sorted({row["language"] for row in learned})
+    number = {language: place for place, language in enumerate(languages)}
+    weights: dict[str, dict[int, int]] = {}
+    for language, gram, weight in learned:
+        of_gram = weights.setdefault(gram, {})
+        of_gram[number[language]] = of_gram.get(number[language], 0) + weight
+    names = F.array(*(F.lit(language) for language in languages)).cast("array<string>")
+    scores = docs.select("key", gram_scores(words_of(F.col("text")), weights, len(languages)).alias("scores"))
+    by_language = scores.select("key", F.posexplode("scores").alias("place", "score")).filter("score > 0")
+    sums = by_language.groupBy("key", F.get(names, F.col("place")).alias("language")).agg(F.sum("score").alias("score"))
+    counts = docs.select("key", gram_count(F.col("text")).alias("n_grams"))
     ranked = (
-        sums.filter(F.col("language").isNotNull())
-        .groupBy("key")
+        sums.groupBy("key")
         .agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "language"))).alias("by_score"))
     )
     best, second = F.get("by_score", F.lit(0)), F.get("by_score", F.lit(1))

@@ -92,3 +92,15 @@ def test_held_out_accuracy_is_above_the_marker_vote(spark):
     assert len(both) == held.count() and grams >= 0.98 and grams > vote
     wrong = both[(both["lang"] != both["language"]) & (both["language"] != "unknown")]
     assert len(wrong) <= 0.01 * len(both)
+
+
+def test_long_texts_are_scored_in_parts_and_grams_are_no_rows(spark):
+    rows = learned(KNOWN, 50)
+    profiles = spark.createDataFrame([(c, g, w) for (c, g), w in rows.items()], "language string, gram string, weight long")
+    words = ["the", "die", "für", "\U0001d4d0the", "zzz"]
+    texts = [" ".join(words[i % 5] for i in range(70_000)), "the dog", None, " ".join(words[i % 3] for i in range(70_000))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "key long, text string")
+    found = LA.language_by_grams(docs.coalesce(1), profiles)
+    got = {r["key"]: (r["language"], r["n_grams"], r["score"], r["lead"]) for r in found.collect()}
+    assert got == {key: plain(text, rows) for key, text in enumerate(texts)}
+    assert "substring(" not in found._jdf.queryExecution().optimizedPlan().toString()

@@ -37,7 +37,8 @@ def _with_videos(spark: SparkSession, sf: str) -> DataFrame:
 
 def _with_pooled(spark: SparkSession, sf: str) -> DataFrame:
     """Query vectors: the normalised mean of each label's vectors of each modality, and every hundredth stored vector."""
-    pooled = EM.l2_normalize(EM.mean_pool(V.vectors(spark, sf), ["modality", "label"]))
+    whole = V.vectors(spark, sf).filter("embedding IS NOT NULL AND NOT exists(embedding, x -> x IS NULL)")
+    pooled = EM.l2_normalize(EM.mean_pool(whole, ["modality", "label"]))
     means = pooled.select(
         F.concat("modality", F.lit("-"), "label").alias("query_id"),
         F.col("embedding").cast("array<float>").alias("embedding"),

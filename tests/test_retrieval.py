@@ -148,6 +148,7 @@ def stored(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("stored")
     random = np.random.default_rng(5)
     rows = [(i, random.normal(size=8).tolist(), i % 3) for i in (0, 1, 2, 50, 99, 100, 101, 102, 103, 104)]
+    rows.append((105, None, 0))
     spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
     return str(folder)
 

@@ -31,11 +31,6 @@ def words_of(text: Column) -> Column:
     return F.split(F.lower(text), _NO_LETTERS)
 
 
-def padded(word: Column) -> Column:
-    """A word between two marks."""
-    return F.concat(F.lit("_"), word, F.lit("_"))
-
-
 def gram_count(text: Column) -> Column:
     """Grams of all words: with its marks, a word of n letters has ``n + 3 - GRAM``."""
     letters = F.length(F.regexp_replace(F.lower(text), _NO_LETTERS, ""))
@@ -43,27 +38,18 @@ def gram_count(text: Column) -> Column:
     return F.coalesce((letters + marks).cast("long"), F.lit(0).cast("long"))
 
 
-def grams_of(word: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(word) - (GRAM - 1)), lambda i: F.substring(word, i, GRAM))
-
-
 def language_profiles(docs: DataFrame, language: str = "lang", size: int = PROFILE) -> DataFrame:
     """``(language, gram, weight)`` of the commonest grams of each language, from rows ``(language, text)``.
 
     The weight is the logarithm of the gram's share of its language over ``FLOOR``, in thousandths, so sums of weights
     are exact. Ties for the last places go to the smaller gram; rows without language or text teach nothing.
-    Words are counted before they are cut into grams, and no language is gathered in one task.
+    Different words of a part of the rows are cut into grams once, and no language is gathered in one task.
     """
-    words = (
-        docs.filter(F.col(language).isNotNull())
-        .select(F.col(language).alias("language"), F.explode(words_of(F.col("text"))).alias("word"))
-        .filter("word <> ''")
-        .groupBy("language", "word")
-        .agg(F.count(F.lit(1)).alias("n"))
+    known = docs.filter(F.col(language).isNotNull()).select(
+        F.col(language).cast("string").alias("language"), words_of(F.col("text")).alias("words")
     )
-    # Single letters are words of one gram; none is shorter.
     counted = (
-        words.select("language", F.explode(grams_of(padded(F.col("word")))).alias("gram"), "n")
+        known.mapInArrow(_count_grams, "language string, gram string, n long")
         .groupBy("language", "gram")
         .agg(F.sum("n").alias("n"))
     )
@@ -90,6 +76,45 @@ def _code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
 
 
+def cut_words(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all grams of ``words``, and the place of the word that each lies in."""
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    found = gram_keys(_code_points("".join(f"_{word}_" for word in words)))
+    marked = lengths + 2
+    place = np.arange(len(found)) - np.repeat(np.cumsum(marked) - marked, marked)[: len(found)]
+    owner = np.repeat(np.arange(len(words)), marked)[: len(found)]
+    inside = (place <= marked[owner] - GRAM) & (lengths[owner] > 0)
+    return found[inside], owner[inside]
+
+
+def _text_of(key: int) -> str:
+    return "".join(chr((key >> 21 * place) & 0x1FFFFF) for place in reversed(range(GRAM)))
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(language, gram, n)`` of each part of the rows ``(language, words)``."""
+    for batch in batches:
+        spoken = batch.column("language").dictionary_encode()
+        words = batch.column("words")
+        of_rows = spoken.indices.to_numpy()
+        languages = np.repeat(of_rows, pc.fill_null(pc.list_value_length(words), 0).to_numpy())
+        flat = words.flatten()
+        for start in range(0, len(flat), _WORDS_AT_ONCE):
+            part = flat.slice(start, _WORDS_AT_ONCE).dictionary_encode()
+            places, of_words = part.indices.to_numpy(), languages[start : start + _WORDS_AT_ONCE]
+            found, owner = cut_words(part.dictionary.to_pylist())
+            grams, which = np.unique(found, return_inverse=True)
+            texts = pa.array([_text_of(key) for key in grams.tolist()], pa.string())
+            for language in np.unique(of_words):
+                times = np.bincount(places[of_words == language], minlength=len(part.dictionary))
+                counts = np.bincount(which, weights=times[owner], minlength=len(grams)).astype(np.int64)
+                held = np.flatnonzero(counts)
+                names = pa.array([spoken.dictionary[int(language)].as_py()] * len(held), pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [names, texts.take(pa.array(held)), pa.array(counts[held])], names=["language", "gram", "n"]
+                )
+
+
 def gram_scores(words: Column, weights: dict[str, dict[int, int]], n_languages: int) -> Column:
     """Sums of the weights of all grams of an array of words, by number of the language.
 
@@ -105,14 +130,7 @@ def gram_scores(words: Column, weights: dict[str, dict[int, int]], n_languages:
             table[row, language] = weight
 
     def scored(different: list[str]) -> np.ndarray:
-        lengths = np.fromiter(map(len, different), dtype=np.int64, count=len(different))
-        found = gram_keys(_code_points("".join(f"_{word}_" for word in different)))
-        # The grams that lie in one word, and whose they are.
-        marked = lengths + 2
-        place = np.arange(len(found)) - np.repeat(np.cumsum(marked) - marked, marked)[: len(found)]
-        owner = np.repeat(np.arange(len(different)), marked)[: len(found)]
-        inside = (place <= marked[owner] - GRAM) & (lengths[owner] > 0)
-        found, owner = found[inside], owner[inside]
+        found, owner = cut_words(different)
         rows = np.searchsorted(keys, found)
         rows[keys[rows] != found] = len(keys) - 1
         # Sums of whole numbers in doubles, far below 2^53.
